@@ -80,7 +80,8 @@ def let(value: Column, body) -> Column:
 
 def first_contained(haystack: Column, needles: list[str]) -> Column:
     """The first of ``needles``, in their order, that the text contains; null if none."""
-    return F.get(F.filter(F.array(*map(F.lit, needles)), lambda n: haystack.contains(n)), F.lit(0))
+    words = F.array(*map(F.lit, needles))
+    return let(haystack, lambda h: F.get(F.filter(words, lambda n: h.contains(n)), F.lit(0)))
 
 
 def escape_html(col: Column) -> Column:

@@ -18,11 +18,10 @@ def json_line(record: Column) -> Column:
 
 def ascii_json(text: Column) -> Column:
     """JSON text with characters beyond ASCII escaped, pairs for those beyond the first plane."""
-    point = lambda c: F.conv(F.hex(F.encode(c, "UTF-32BE")), 16, 10).cast("bigint")
     unit = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
 
     def escaped(c: Column) -> Column:
-        n = point(c)
+        n = F.ascii(c).cast("bigint")  # the code point, whatever the name says
         pair = F.concat(unit(F.lit(0xD800) + F.floor((n - 0x10000) / 1024)), unit(F.lit(0xDC00) + (n - 0x10000) % 1024))
         return F.when(n < 128, c).when(n < 0x10000, unit(n)).otherwise(pair)
 
