@@ -57,8 +57,12 @@ def words_rx(alternatives: str) -> str:
     return f"(?dUiu)(?<!{WORD})(?:{body})(?!{WORD})"
 
 
+#: What ``str.strip`` takes off.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def pstrip(col: Column) -> Column:
-    return F.regexp_replace(col, rf"(?dU)\A[{_SPACE}]+|[{_SPACE}]+\z", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def plines(col: Column) -> Column:
