@@ -163,3 +163,35 @@ ORACLES["strip_ui_headers"] = "SELECT rec_no, " + _strip(rf"regexp_replace(conte
 ORACLES["v_json_status"] = f"SELECT path, status, count(*) AS n FROM (SELECT path, CASE WHEN value IS NULL OR {_strip('value')} = '' THEN 'blank' WHEN NOT json_valid(replace(value, ':NaN', ':0')) THEN 'bad' WHEN json_type(replace(value, ':NaN', ':0')) <> 'OBJECT' THEN 'non_object' ELSE 'object' END AS status FROM raw_line) GROUP BY 1, 2"
 ORACLES["rejected_json"] = """SELECT '{"url":' || coalesce('"' || url || '"', 'null') || ',"reason":' || coalesce('"' || reason || '"', 'null') || '}' AS value FROM rejected"""
 ORACLES["mask_pii"] = r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}', 'xxx', 'g'), '\b(?:\d[ -]*?){13,19}\b', 'xxx', 'g'), '\b(?:\+?\d{1,3}[-.\s]?)?(?:\(?\d{2,4}\)?[-.\s]?)?\d{3}[-.\s]?\d{4}\b', 'xxx', 'g') AS clean FROM documents"
+
+# The whole cleaner, step by step. A removed phrase first becomes a mark, so that what stands around it can't join into another.
+_PHRASES = (
+    "photo~*credit|image~*source|stock~*image|affiliate|sponsored|buy~*now|add~*to~*cart|comments?|newsletter|subscribe|related~+(?:posts|recipes)|read~+more|share|pin~+it|follow~+me|amazon|world~+market|copyright|"
+    "all~+rights~+reserved|watch~+the~+video(?:~+(?:above|below))?|video~+tutorial|tiktok|faqs?"
+).replace("~", _SPACE)
+
+
+def _marked(x: str) -> str:
+    return rf"regexp_replace({x}, '(?i)(^|{_W})(?:{_PHRASES})($|{_W})', '\1' || chr(1) || '\2', 'g')"
+
+
+_UNNOISED = f"replace({_marked(_marked('content'))}, chr(1), '')"
+ORACLES["clean_noise"] = f"SELECT rec_no, {_UNNOISED} AS clean FROM ({_R})"
+_CHAIN = f"SELECT rec_no, coalesce(content, '') AS content FROM ({_R})"
+for _step in ("clean_translate", "clean_tags_entities", "clean_symbols", "clean_emoji", "clean_noise", "clean_lines"):
+    _CHAIN = "SELECT rec_no, clean AS content FROM (" + ORACLES[_step].replace(f"({_R})", f"({_CHAIN})") + ")"
+ORACLES["clean_full"] = f"SELECT rec_no, content AS clean FROM ({_CHAIN})"
+
+# Spans that shield signs don't overlap in these tables, so taking them out equals looking outside them.
+_OUTSIDE = r"regexp_matches(regexp_replace(regexp_replace(content, '\$(?:\\\$|[^$])+\$', ' ', 'g'), '\\\[(?:.|\n)+?\\\]', ' ', 'g'), '[±×÷√∑∏≈≠≤≥∞∫∂∆∇]')"
+ORACLES["v_unprotected_math"] = f"SELECT rec_no, {_OUTSIDE} AS unprotected FROM ({_R}) WHERE content IS NOT NULL"
+_ALL = f"({ORACLES['v_findings_native']} UNION ALL SELECT path, line, 'R5' AS tag, '检出未被 $...$ 或 \\[...\\] 包裹的数学符号（±×÷√∑ 等）' AS msg FROM ({_TYPED}) WHERE {_OUTSIDE})"
+ORACLES["v_findings"] = f"SELECT * FROM {_ALL}"
+ORACLES["v_findings_by_tag"] = f"SELECT tag, count(*) AS n FROM {_ALL} GROUP BY tag"
+ORACLES["v_summary"] = f"WITH b AS (SELECT DISTINCT path, line FROM {_ALL}), r AS (SELECT e.path, CASE WHEN b.path IS NULL THEN 1 ELSE 0 END AS p FROM example_clean e LEFT JOIN b ON e.path = b.path AND e.line = b.line) SELECT path, count(*) AS total, CAST(sum(p) AS BIGINT) AS passed, CAST(sum(p) AS BIGINT) / count(*) * 100 AS pass_rate FROM r GROUP BY ROLLUP (path)"
+ORACLES["report_lines"] = (
+    f"WITH f AS (SELECT * FROM {_ALL}), s AS ({ORACLES['v_summary']}) SELECT path, unnest(['[REPORT]', 'FILE: ' || path, repeat('=', 80), repeat('-', 80), printf('total=%d passed=%d pass_rate=%.2f%%', total, passed, pass_rate)]) AS text FROM s WHERE path IS NOT NULL "
+    "UNION ALL SELECT path, path || ':' || line || ': ERROR [' || tag || '] ' || msg FROM f UNION ALL SELECT path, '[PASS]' FROM s WHERE path IS NOT NULL AND path NOT IN (SELECT path FROM f)"
+)
+_STEPS = f"array_to_string(list_filter(list_transform(string_split(coalesce({_C}, ''), chr(10)), lambda x: {_strip('x')}), lambda x: x <> ''), chr(10))"
+ORACLES["jsonld_recipe"] = f"SELECT rec_no, {_strip('''coalesce(meta.data_info.title, '')''')} AS title, length({_STEPS}) AS instructions_length FROM example_clean WHERE meta.data_info.url IS NOT NULL"
