@@ -29,6 +29,8 @@ TAGS = frozenset(
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section table tbody tfoot thead title tr ul".split())
 DROPPED = frozenset("script style noscript iframe head".split())
 
+STRUCTURE = re.compile(r"<(?:img|ol|ul|li|h[1-6]|pre|code|table|t[rdh]|br)\b|</(?:ol|ul|pre|code)>", re.I)
+
 ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|([A-Za-z][A-Za-z0-9]{1,30}));")
 HEADINGS = {f"h{i}": "#" * i for i in range(1, 7)}
 PLACE_NAME = r"[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+|[a-z]+|[A-Z][A-Z ]+"
@@ -226,6 +228,7 @@ def content_regions(text: str, tags: dict[int, int], sigma: float = 1.0, share:
     tags; ratios are smoothed by a Gaussian window, and lines at or above
     ``share`` of the least smoothed ratio of untagged text cluster as content.
     Lines without tags are always content: they carry no markup to judge by.
+    So are lines with text of their own, and those whose tags give structure.
     """
     lines = text.split("\n")
     ratio = [len(re.sub(r"<[^<>]*>", "", line).strip()) / max(1, tags.get(i, 0)) for i, line in enumerate(lines)]
@@ -237,7 +240,7 @@ def content_regions(text: str, tags: dict[int, int], sigma: float = 1.0, share:
         smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
     spread = sum(smooth) / len(smooth)
     threshold = share * min(spread, 4.0)
-    return [not tags.get(i) or s >= threshold or bool(r) for i, (s, r) in enumerate(zip(smooth, ratio))]
+    return [not tags.get(i) or s >= threshold or bool(r) or STRUCTURE.search(lines[i]) is not None for i, (s, r) in enumerate(zip(smooth, ratio))]
 
 
 def clean_markdown(line: str) -> str:

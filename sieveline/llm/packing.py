@@ -38,7 +38,6 @@ def token_sizes(df: DataFrame, key: str, text: str, tokenizers: str = TOKENIZERS
         encoding = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
         def row(k, t):
-            # in runs of whole lines: the tokenizer's time on one run without blanks grows faster than its length
             yield k, len(encoding.encode_ordinary(t)) if t else 0
 
         return row
@@ -154,4 +153,4 @@ def pack(sizes: DataFrame, key: str, size: str, capacities: DataFrame, capacity_
 def fill_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     """``capacity_id, containers, pieces, tokens, fill_share``: how well each capacity is used."""
     per = packed.groupBy("capacity_id").agg(F.count_distinct("container").alias("containers"), F.count(F.lit(1)).alias("pieces"), F.sum("piece_tokens").alias("tokens"))
-    return per.join(F.broadcast(capacities.select("capacity_id", "max_tokens").limit(1000)), "capacity_id").select("capacity_id", "containers", "pieces", "tokens", (F.col("tokens") / (F.col("containers") * F.col("max_tokens"))).alias("fill_share"))
+    return per.join(capacities.select("capacity_id", "max_tokens"), "capacity_id").select("capacity_id", "containers", "pieces", "tokens", (F.col("tokens") / (F.col("containers") * F.col("max_tokens"))).alias("fill_share"))

@@ -61,6 +61,20 @@ def fold(text: str) -> str:
     return fold_table(text) if suspicious(text) else text
 
 
+def aligned(text: str) -> tuple[str, list[int]]:
+    """The folded text, and for each of its characters where in the text it begins; one more entry ends the list."""
+    out, starts, i = [], [], 0
+    while i < len(text):
+        end = i + 1
+        while end < len(text) and unicodedata.combining(text[end]):
+            end += 1
+        shown = fold_table(text[i:end])
+        out.append(shown)
+        starts += [i] * len(shown)
+        i = end
+    return "".join(out), [*starts, len(text)]
+
+
 class Trie:
     """Vocabulary words by character; ``end`` marks the words."""
 

@@ -28,6 +28,7 @@ def test_markup_kinds(text, kinds):
 def test_markup_clean_keeps_structure():
     page = '<h2>Steps</h2><ol><li>Beat&nbsp;it</li><li>Bake</li></ol><pre><code>x = 1\n</code></pre><script>no()</script><img src="u.jpg">'
     assert markup.analyse(page)[1].split("\n") == ["## Steps", "1. Beat\xa0it", "2. Bake", "```", "x = 1", "```", "[Image: u.jpg]"]
+    assert markup.analyse("<h3>A</h3>\n<ul>\n<li>one</li>\n<li>two</li>\n</ul>\n<img src='u.png'>\n<div>\n</div>\nEnd")[1].split("\n") == ["### A", "- one", "- two", "[Image: u.png]", "End"]
     assert markup.analyse("&lt;p&gt;Twice &amp;amp; escaped&lt;/p&gt;")[1] == "Twice & escaped"
     assert markup.analyse("\\subsection*{Notes}\n\\item $\\frac{1}{2}$ cup\n$w \\leq 3$")[1] == "### Notes\n- 1/2 cup\n$w \\leq 3$"
     assert markup.analyse("== H ==\n[[A|b]] '''c'''")[1] == "## H\nb c"
@@ -60,9 +61,9 @@ def test_viterbi_equals_brute_force(model):
 
 
 def test_masking_leaves_the_rest(spark, model):
-    text = "Plain line\nFor the class, text 313-555-0159 or mail ivo.quill@mailbarn.test before Friday.\nÜber ﬁne"
+    text = "Plain line\nFоr the\u200b class, tеxt 313-555-0159 or mail ivo.quill@mailb\u200barn.test before ﬁne Fride\u0301ay.\nÜber ﬁne"
     df = spark.createDataFrame([(1, text)], "k int, t string")
-    assert pii.masked(df, "k", "t", model).first().clean == "Plain line\nFor the class, text [PHONE] or mail [EMAIL] before Friday.\nÜber ﬁne"
+    assert pii.masked(df, "k", "t", model).first().clean == "Plain line\nFоr the\u200b class, tеxt [PHONE] or mail [EMAIL] before ﬁne Fride\u0301ay.\nÜber ﬁne"
 
 
 # boilerplate and quality
