@@ -44,7 +44,7 @@ def _word(pattern: str, text: str = "c", flags: str = "") -> str:
     return f"regexp_matches({text}, '{flags}(?:^|{_W})(?:{pattern})(?:$|{_W})')"
 
 
-_KEYWORD = f"coalesce(CASE WHEN {_word('references', 'c', '(?i)')} THEN 'references' END, CASE WHEN {_word(chr(114) + 'ead' + _SPACE + '+more', 'c', '(?i)')} THEN 'read more' END, {_first('c', _NOISE)})"
+_KEYWORD = f"coalesce(CASE WHEN {_word('references', 'c', '(?i)')} THEN 'references' END, CASE WHEN {_word('read' + _SPACE + '+more', 'c', '(?i)')} THEN 'read more' END, {_first('c', _NOISE)})"
 _DATE = "(regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$') AND left({0}, 4) <> '0000' AND try_strptime({0}, '%Y-%m-%d') IS NOT NULL)"
 _MINUTE = "(regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}T[0-9]{{1,2}}:[0-9]{{1,2}}$') AND left({0}, 4) <> '0000' AND try_strptime({0}, '%Y-%m-%dT%H:%M') IS NOT NULL)"
 _URLS = rf"list_filter(regexp_extract_all(content, 'https?://[^\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+'), lambda u: regexp_matches(u, '(?i)\.(?:png|jpe?g|gif|webp)(?:\?|#|$)'))"
