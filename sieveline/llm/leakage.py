@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from .common import arrow_flat_map
 
 WINDOW = 13
+HEAD = 4
 WORD = re.compile(r"[^\W_]+")
 #: The items are a held-out set of known size; more than this is refused rather than sent to every task.
 MAX_ITEM_CHARS = 16_000_000
@@ -56,7 +57,8 @@ class Pieces:
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, errors: int = 0):
         self.errors = errors
-        self.by_start: dict[tuple[str, ...], list[tuple[tuple[str, ...], int, int]]] = defaultdict(list)
+        # by the number of words looked up, at most HEAD, then by those words
+        self.by_head: dict[int, dict[tuple[str, ...], list[tuple[tuple[str, ...], int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.windows: list[tuple[int, list[str]]] = []
         seen = set()
         for item, text in items:
@@ -72,16 +74,17 @@ class Pieces:
                     piece = tuple(words[at + a : at + b])
                     if (key := (piece, item, at, a)) not in seen:
                         seen.add(key)
-                        self.by_start[piece[:2]].append((piece, len(self.windows) - 1, a))
+                        self.by_head[min(HEAD, len(piece))][piece[:HEAD]].append((piece, len(self.windows) - 1, a))
 
     def matches(self, text: str) -> dict[int, int]:
         """Items that the text contains, each with its least distance."""
         words = words_of(text)
         found: dict[int, int] = {}
-        starts = self.by_start
-        for i in range(len(words)):
-            for key in (tuple(words[i : i + 2]), (words[i],)):
-                for piece, w, offset in starts.get(key, ()):
+        for size, heads in self.by_head.items():
+            for i, head in enumerate(zip(*(words[j:] for j in range(size)))):
+                if head not in heads:
+                    continue
+                for piece, w, offset in heads[head]:
                     item, window = self.windows[w]
                     if found.get(item) == 0 or tuple(words[i : i + len(piece)]) != piece:
                         continue
@@ -92,8 +95,6 @@ class Pieces:
                     distance = myers(window, stretch, self.errors)
                     if distance <= self.errors and distance < found.get(item, distance + 1):
                         found[item] = distance
-                if len(key) == 1 or i + 1 == len(words):
-                    break
         return found
 
 

@@ -41,10 +41,23 @@ NAMES = (
 def is_english(text: str) -> bool:
     """By the text alone: mostly Latin letters, and function words of English among the words."""
     words = WORD.findall(text.lower())
-    if len(words) < 5 or len(CJK.findall(text)) * 4 > len(text):
+    if len(words) < 5 or not text.isascii() and len(CJK.findall(text)) * 4 > len(text):
         return False
-    hits = sum(1 for w in words if w in FUNCTION)
-    return hits >= 0.12 * len(words)
+    return sum(map(FUNCTION.__contains__, words)) >= 0.12 * len(words)
+
+
+class _Words(dict):
+    """What is known of a word: length, long, syllables, abstract, function word, connective, subordinator."""
+
+    def __missing__(self, w: str) -> tuple:
+        if len(self) > 300_000:
+            self.clear()
+        n = len(w)
+        known = self[w] = (n, n >= 8, len(VOWELS.findall(w)), ABSTRACT.search(w) is not None, w in FUNCTION, w in CONNECTIVES, w in SUBORDINATORS)
+        return known
+
+
+_WORDS = _Words()
 
 
 def _quantile(values: list[float], q: float) -> float:
@@ -74,30 +87,33 @@ def sentences_of(text: str) -> list[list[str]]:
 
 def features(text: str) -> list[float] | None:
     """The numbers of ``NAMES``; None for a text without a sentence."""
-    sents = sentences_of(text)
+    sents = sentences_of(text.lower())
     if not sents:
         return None
-    words = [w.lower() for s in sents for w in s]
+    words = [w for s in sents for w in s]
     n, lengths = len(words), [len(s) for s in sents]
     mean = n / len(sents)
-    per = []
+    per, sums = [], [0] * 6
+    long_chars = long_words = long_long = 0
     for s in sents:
-        low = [w.lower() for w in s]
-        per.append((sum(1 for w in low if ABSTRACT.search(w)) / len(low), sum(1 for w in low if w in SUBORDINATORS), sum(map(len, low)) / len(low)))
+        columns = [sum(x) for x in zip(*map(_WORDS.__getitem__, s))]
+        per.append((columns[3] / len(s), columns[6], columns[0] / len(s)))
+        sums = [a + b for a, b in zip(sums, columns)]
+        if len(s) >= 25:
+            long_chars, long_words, long_long = long_chars + columns[0], long_words + len(s), long_long + columns[1]
     overlaps = []
-    content = [{w.lower() for w in s if len(w) > 3} for s in sents]
+    content = [{w for w in s if len(w) > 3} for s in sents]
     for a, b in zip(content, content[1:]):
         overlaps.append(len(a & b) / max(1, min(len(a), len(b))))
-    long_ones = [w.lower() for s in sents if len(s) >= 25 for w in s]
     demanding = sum(len(s) for s, (a, sub, wl) in zip(sents, per) if len(s) >= 22 and sub >= 2 and wl >= 4.3)
-    plain = sum(len(s) for s, (a, sub, wl) in zip(sents, per) if len(s) <= 20)
+    plain = sum(x for x in lengths if x <= 20)
     return [
         len(sents), n, mean, median(lengths), _quantile(lengths, 0.9), max(lengths), math.sqrt(sum((x - mean) ** 2 for x in lengths) / len(lengths)),
         sum(x for x in lengths if x >= 30) / n, sum(x for x in lengths if x <= 8) / n,
-        sum(map(len, words)) / n, sum(1 for w in words if len(w) >= 8) / n, sum(len(VOWELS.findall(w)) for w in words) / n, sum(a * len(s) for s, (a, _, _) in zip(sents, per)) / n, median(a for a, _, _ in per),
-        sum(1 for w in words if w in FUNCTION) / n, sum(1 for w in words if w in CONNECTIVES) / n, sum(x for _, x, _ in per) / len(sents), median(x for _, x, _ in per),
+        sums[0] / n, sums[1] / n, sums[2] / n, sums[3] / n, median(a for a, _, _ in per),
+        sums[4] / n, sums[5] / n, sum(x for _, x, _ in per) / len(sents), median(x for _, x, _ in per),
         text.count(",") / len(sents), text.count(";") / len(sents), words.count("and") / n, len(set(words)) / n, sum(overlaps) / len(overlaps) if overlaps else 0.0,
-        sum(map(len, long_ones)) / len(long_ones) if long_ones else 0.0, sum(1 for w in long_ones if len(w) >= 8) / len(long_ones) if long_ones else 0.0, demanding / n, plain / n,
+        long_chars / long_words if long_words else 0.0, long_long / long_words if long_words else 0.0, demanding / n, plain / n,
     ]
 
 
