@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.html import Node, SelectorError, parse, select, select_all
 from ..functions.text import pstrip, rx
-from ..session import ship
 from ..sources.arrow import arrow_flat_map
 from .clean import build_content, clean_text, record_id, reject_reason
 
@@ -280,8 +279,3 @@ def fragment_text(fragment: Column) -> Column:
         return values.map(one, na_action="ignore")
 
     return text(fragment)
-
-
-def ready(df: DataFrame) -> DataFrame:
-    ship(df.sparkSession)
-    return df

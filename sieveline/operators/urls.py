@@ -7,10 +7,9 @@ from urllib.parse import urljoin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.text import pstrip
-from ..session import ship
+from ..session import checkpoint, ship
 
 
 def rule_parts(rules) -> tuple[list[str], list[str]]:
@@ -132,24 +131,18 @@ def follow(start: DataFrame, edges: DataFrame, most: int) -> DataFrame:
     return out
 
 
-def walk_sitemaps(roots: DataFrame, documents: DataFrame, most_rounds: int = 50) -> DataFrame:
+def walk_sitemaps(roots: DataFrame, documents: DataFrame) -> DataFrame:
     """``url``: pages listed by the sitemaps reached from ``roots``, cycles visited once.
 
-    ``documents`` has ``url, sitemaps, pages`` of each fetched sitemap. The
-    rounds are those of the deepest nesting; each cuts its lineage.
+    ``documents`` has ``url, sitemaps, pages`` of each fetched sitemap. There
+    are as many rounds as the deepest nesting; each checkpoints its frontier.
     """
-    visited = roots.select("url").distinct()
-    front, found = visited, None
-    for _ in range(most_rounds):
+    front = visited = checkpoint(roots.select("url").distinct())
+    found = None
+    while not front.isEmpty():
         opened = front.join(documents, "url")
         pages = opened.select(F.explode("pages").alias("url"))
         found = pages if found is None else found.union(pages)
-        front = opened.select(F.explode("sitemaps").alias("url")).distinct().join(visited, "url", "left_anti").persist()
-        if front.isEmpty():
-            break
+        front = checkpoint(opened.select(F.explode("sitemaps").alias("url")).distinct().join(visited, "url", "left_anti"))
         visited = visited.union(front)
-    return found.distinct()
-
-
-def running_index(by: Column | list[Column]) -> Column:
-    return F.row_number().over(Window.orderBy(by))
+    return found.distinct() if found is not None else visited.limit(0)

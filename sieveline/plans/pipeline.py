@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, extract, preview as render, urls, validate as rules, volumes
 from ..sources import jsonl, sinks
+from ..session import ship
 from ..sources.config import SiteConfig
 
 
@@ -65,7 +66,8 @@ def merge(spark: SparkSession, inputs: str, out: str, min_lines: int = volumes.M
 
 def preview(spark: SparkSession, inputs: list[str] | str, per_page: int = 1000) -> DataFrame:
     """``path, page, html`` of the files that the inputs name."""
-    lines = extract.ready(jsonl.tolerant(jsonl.read_lines(spark, jsonl.expand_paths(inputs))))
+    ship(spark)
+    lines = jsonl.tolerant(jsonl.read_lines(spark, jsonl.expand_paths(inputs)))
     get = lambda p: F.get_json_object("value", p)
     card = render.card(F.col("line"), get("$.id"), get("$.meta.data_info.title"), render.pretty_json(get("$.meta")), get("$.meta.data_info.content"), F.col("error"), F.col("value"))
     return render.pages(lines.select("path", "line", card.alias("card")), per_page=per_page)

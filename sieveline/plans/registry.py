@@ -78,7 +78,6 @@ def links_first_seen(spark, sf_dir):
 
 
 def links_absolute(spark, sf_dir):
-    extract.ready(table(spark, sf_dir, "rejected"))
     rows = records(spark, sf_dir, "url").where("url IS NOT NULL")
     href = F.concat(F.lit("/tips/"), F.col("rec_no").cast("string"), F.lit("/"))
     return rows.select("rec_no", urls.absolute_url(F.lower("url"), href).alias("url"))
@@ -202,7 +201,6 @@ def sitemap_walk(spark, sf_dir):
 
 
 def _checked(spark, sf_dir) -> DataFrame:
-    extract.ready(table(spark, sf_dir, "rejected"))
     return validate.from_table(table(spark, sf_dir, "example_clean").select("path", "line", "id", "text", "meta"))
 
 
@@ -231,7 +229,6 @@ def v_bare_image_url(spark, sf_dir):
 
 
 def v_unprotected_math(spark, sf_dir):
-    extract.ready(table(spark, sf_dir, "rejected"))
     return records(spark, sf_dir).where("content IS NOT NULL").select("rec_no", validate.unprotected_math(F.col("content")).alias("unprotected"))
 
 
@@ -245,7 +242,6 @@ def v_json_status(spark, sf_dir):
 
 
 def v_line_findings(spark, sf_dir):
-    extract.ready(table(spark, sf_dir, "rejected"))
     return validate.findings(validate.with_findings(validate.from_lines(table(spark, sf_dir, "raw_line")))).select("path", "line", "tag", "msg")
 
 
@@ -308,7 +304,7 @@ def preview_blocks(spark, sf_dir):
 
 
 def preview_pages(spark, sf_dir):
-    rows = extract.ready(table(spark, sf_dir, "example_clean"))
+    rows = table(spark, sf_dir, "example_clean")
     card = preview.card(F.col("line"), F.col("id"), F.col("meta.data_info.title"), preview.pretty_json(F.to_json("meta")), F.col("meta.data_info.content"))
     return preview.pages(rows.select("path", "line", card.alias("card"))).select("path", "page", F.length("html").alias("html_length"))
 

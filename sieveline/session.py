@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,3 +20,15 @@ def ship(spark: SparkSession) -> None:
     have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([*have, ROOT])
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cuts lineage through the shared folder of ``spark.checkpoint.dir``, so that a lost executor costs nothing written.
+
+    A temporary folder serves only where the session names none, as in tests.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), f"sieveline-{os.getpid()}"))
+    return df.checkpoint(eager=True)
