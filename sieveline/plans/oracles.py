@@ -152,8 +152,9 @@ _PLAIN = f"regexp_replace(line, '{_EMOJI}', '', 'g')"
 _ENGLISH = f"CASE WHEN lang = 'en' THEN translate({_PLAIN}, '，。！？【】（）％＃＠＆：；、“”‘’—…《》·', ',.!?[]()%#@&:;,\"\"''''--..<') ELSE {_PLAIN} END"
 _NORM = f"regexp_replace(regexp_replace({_ENGLISH}, '^{_SPACE}*(?:[•·*-]|▢){_SPACE}*', ''), '^{_SPACE}*#{_SPACE}*', '')"
 _NORM = _strip(f"regexp_replace({_NORM}, '{_SPACE}+', ' ', 'g')")
+_NORM_CASE = rf"CASE WHEN regexp_matches(line, '!\[[^\]]*\]\([^)]+\)') OR regexp_matches(line, '^{_SPACE}*\|.+\|{_SPACE}*$') THEN '' ELSE translate({_fold(_NORM, _GUARD)}, '∑∫∏∆∇∂', '') END"
 ORACLES["norm_line"] = (
-    rf"SELECT rec_no, CAST(pos AS INTEGER) AS pos, CASE WHEN regexp_matches(line, '!\[[^\]]*\]\([^)]+\)') OR regexp_matches(line, '^{_SPACE}*\|.+\|{_SPACE}*$') THEN '' ELSE translate({_fold(_NORM, _GUARD)}, '∑∫∏∆∇∂', '') END AS line "
+    f"SELECT rec_no, CAST(pos AS INTEGER) AS pos, {_NORM_CASE} AS line "
     f"FROM (SELECT rec_no, coalesce(meta.data_info.lang, 'en') AS lang, i - 1 AS pos, l[i] AS line FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM (SELECT *, string_split({_C}, chr(10)) AS l FROM example_clean)))"
 )
 _NOISY = _word("share|pinterest|facebook|instagram|advertisement|sponsored|copyright|all rights reserved|privacy policy|terms of use", "x", "(?i)")
@@ -195,3 +196,13 @@ ORACLES["report_lines"] = (
 )
 _STEPS = f"array_to_string(list_filter(list_transform(string_split(coalesce({_C}, ''), chr(10)), lambda x: {_strip('x')}), lambda x: x <> ''), chr(10))"
 ORACLES["jsonld_recipe"] = f"SELECT rec_no, {_strip('''coalesce(meta.data_info.title, '')''')} AS title, length({_STEPS}) AS instructions_length FROM example_clean WHERE meta.data_info.url IS NOT NULL"
+ORACLES["extract_parts"] = f"SELECT url, {_strip('''coalesce(max(title), '')''')} AS title, {_strip("max(CASE WHEN content IS NOT NULL THEN regexp_extract(content, '(?s)Ingredients:\\n(.*?)\\nInstructions:', 1) END)")} AS ingredients, 0 AS step_images FROM (SELECT meta.data_info.url AS url, meta.data_info.title AS title, {_C} AS content FROM example_clean) WHERE url IS NOT NULL GROUP BY url"
+_LINED = {c: f"list_filter(list_transform(string_split({c}, chr(10)), lambda line: {_NORM_CASE}), lambda x: x <> '')" for c in "tbn"}
+_COLLAPSED = "list_filter(l, lambda x, i: x <> '' OR i = 1 OR l[i - 1] <> '')"
+ORACLES["assemble_paragraphs"] = f"""
+WITH d AS (SELECT doc_id, coalesce(url, '') AS url, coalesce(title, '') AS t, coalesce(text, '') AS b, coalesce(subdomain, '') AS n, coalesce(lang, 'en') AS lang FROM documents),
+k AS (SELECT doc_id, n, url, list_transform(list_concat(CASE WHEN url <> '' THEN ['[Image: ' || url || ']'] ELSE [] END, CASE WHEN t <> '' THEN list_concat(['Ingredients'], {_LINED['t']}) ELSE [] END,
+  CASE WHEN b <> '' THEN list_concat(['', 'Instructions'], {_LINED['b']}) ELSE [] END, CASE WHEN n <> '' THEN list_concat(['', 'Notes'], {_LINED['n']}) ELSE [] END, CASE WHEN regexp_matches(url, '^https?://') THEN ['[Image: ' || url || ']'] ELSE [] END), lambda y: {_strip('y')}) AS l FROM d),
+c AS (SELECT doc_id, n, url, {_COLLAPSED} AS l FROM k),
+f AS (SELECT doc_id, n, url, list_filter(l, lambda x, i: NOT {_NOISY} AND NOT ((i <= 3 OR i > len(l) - 2) AND {_HEADED})) AS l FROM c)
+SELECT doc_id, {_strip(f'array_to_string({_COLLAPSED}, chr(10))')} AS content, {_strip('n')} = '' AS missing_notes, CAST(CASE WHEN regexp_matches(url, '^https?://') THEN 1 ELSE 0 END AS BIGINT) AS images_count FROM f"""
