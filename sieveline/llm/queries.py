@@ -156,8 +156,23 @@ x AS (
 """
 
 
+def _folded(text: str) -> str:
+    """The character table as SQL: one ``translate``, ligatures by ``replace``, composed accents."""
+    single = {chr(c): v for c, v in visual.FOLD.items() if len(v) == 1}
+    dropped = "".join(chr(c) for c, v in visual.FOLD.items() if not v)
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    out = f"translate({text}, {quoted(''.join(single) + dropped)}, {quoted(''.join(single.values()))})"
+    for c, v in visual.FOLD.items():
+        if len(v) > 1:
+            out = f"replace({out}, {quoted(chr(c))}, {quoted(v)})"
+    return f"nfc_normalize({out})"
+
+
 def oracle_sql() -> dict[str, str]:
+    canonical = f"SELECT rec_no, meta.data_info.content AS content, {_folded('meta.data_info.content')} AS clean FROM example_clean"
     return {
+        "p6_canonical": f"SELECT rec_no, clean FROM ({canonical})",
+        "p6_found": f"WITH c AS ({canonical}) SELECT a.rec_no AS rec_no_a, b.rec_no AS rec_no_b FROM c a JOIN c b ON a.clean = b.clean AND a.rec_no < b.rec_no AND a.content <> b.content",
         "p4_found": _LINES + "SELECT l.rec_no, CAST(l.line_no AS INTEGER) AS line_no FROM l JOIN x ON l.site = x.site AND l.form = x.form",
         "p4_clean": _LINES
         + """, k AS (SELECT l.rec_no, string_agg(line, chr(10) ORDER BY line_no) AS clean FROM l LEFT JOIN x ON l.site = x.site AND l.form = x.form WHERE x.form IS NULL GROUP BY l.rec_no)
