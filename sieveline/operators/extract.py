@@ -94,10 +94,9 @@ def jsonld_recipe(root: Node) -> tuple[str, list[str], str, str, str] | None:
         for x in as_list(data):
             objects += x["@graph"] if isinstance(x, dict) and isinstance(x.get("@graph"), list) else [x]
         for x in objects:
-            if isinstance(x, dict) and any(isinstance(t, str) and "recipe" in t.lower() for t in as_list(x.get("@type"))):
+            if isinstance(x, dict) and "recipe" in [t.lower() for t in as_list(x.get("@type")) if isinstance(t, str)]:
                 ingredients = "\n".join(str(i).strip() for i in as_list(x.get("recipeIngredient")) if str(i).strip())
-                title = x.get("name") or x.get("headline") or ""
-                return (title.strip() if isinstance(title, str) else ""), jsonld_images(x.get("image")), ingredients, jsonld_steps(x.get("recipeInstructions")), ""
+                return str(x.get("name") or "").strip(), jsonld_images(x.get("image")), ingredients, jsonld_steps(x.get("recipeInstructions")), ""
     return None
 
 

@@ -273,7 +273,7 @@ def content_rules() -> list[Rule]:
 
 def line_rules() -> list[Rule]:
     return [
-        Rule("R1", _lit("空行"), F.col("status") == "blank"),
+        Rule("R1", _lit("空行/非 JSON 对象"), F.col("status") == "blank"),
         Rule("R1", F.concat(F.lit("JSON 解析失败："), F.col("error")), F.col("status") == "bad"),
         Rule("R1", _lit("记录必须为 JSON 对象"), F.col("status") == "non_object"),
     ]

@@ -132,9 +132,9 @@ FROM r JOIN s ON r.domain = s.domain""",
     "merge_volumes": "WITH i AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS g, count(*) OVER () AS n FROM lineitem), v AS (SELECT *, g // 10011 + 1 AS own, ceil(n / 10011) AS last FROM i) SELECT l_orderkey, l_linenumber, CAST(CASE WHEN own = last AND last > 1 AND n - (last - 1) * 10011 < 10000 THEN last - 1 ELSE own END AS BIGINT) AS volume FROM v",
     "rolling_parts": "SELECT CAST(g // 400 + 1 AS BIGINT) AS part, count(*) AS n, max(g) AS last_idx FROM (SELECT row_number() OVER (ORDER BY path, line) - 1 AS g FROM example_clean) GROUP BY 1",
     "preview_blocks": rf"""
-SELECT rec_no, CAST(pos AS INTEGER) AS pos, kind, CASE kind WHEN 'image' THEN {_strip(_IMAGE)} WHEN 'heading' THEN {_strip('b[4:]')} ELSE b END AS value
-FROM (SELECT *, CASE WHEN b = '' THEN 'blank' WHEN regexp_matches(b, '(?i)^\[Image:\s*https?://.*\]$') THEN 'image' WHEN starts_with(b, '## ') THEN 'heading' ELSE 'text' END AS kind
-FROM (SELECT rec_no, i - 1 AS pos, {_strip('l[i]')} AS b FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM (SELECT rec_no, string_split(coalesce(content, ''), chr(10)) AS l FROM ({_R})))))""",
+SELECT rec_no, CAST(pos AS INTEGER) AS pos, kind, CASE WHEN kind = 'image' THEN a WHEN kind = 'heading' THEN {_strip('b[4:]')} WHEN starts_with(b, '[Image:') OR kind = 'blank' THEN b ELSE x END AS value
+FROM (SELECT *, CASE WHEN b = '' THEN 'blank' WHEN starts_with(b, '[Image:') AND regexp_matches(lower(a), '^https?://') THEN 'image' WHEN starts_with(b, '## ') THEN 'heading' ELSE 'text' END AS kind
+FROM (SELECT *, trim({_strip('b[8:]')}, ' ]') AS a FROM (SELECT rec_no, i - 1 AS pos, l[i] AS x, {_strip('l[i]')} AS b FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM (SELECT rec_no, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS l FROM (SELECT rec_no, regexp_split_to_array(content, {_LINES}) AS p FROM ({_R})))))))""",
 }
 # Lines: bullets off, lines of marks alone out, leading marks off.
 _MARKS = r",:;.!?)\"''`\-"
@@ -191,8 +191,8 @@ ORACLES["v_findings"] = f"SELECT * FROM {_ALL}"
 ORACLES["v_findings_by_tag"] = f"SELECT tag, count(*) AS n FROM {_ALL} GROUP BY tag"
 ORACLES["v_summary"] = f"WITH b AS (SELECT DISTINCT path, line FROM {_ALL}), r AS (SELECT e.path, CASE WHEN b.path IS NULL THEN 1 ELSE 0 END AS p FROM example_clean e LEFT JOIN b ON e.path = b.path AND e.line = b.line) SELECT path, count(*) AS total, CAST(sum(p) AS BIGINT) AS passed, CAST(sum(p) AS BIGINT) / count(*) * 100 AS pass_rate FROM r GROUP BY ROLLUP (path)"
 ORACLES["report_lines"] = (
-    f"WITH f AS (SELECT * FROM {_ALL}), s AS ({ORACLES['v_summary']}) SELECT path, unnest(['[REPORT]', 'FILE: ' || path, repeat('=', 80), repeat('-', 80), printf('total=%d passed=%d pass_rate=%.2f%%', total, passed, pass_rate)]) AS text FROM s WHERE path IS NOT NULL "
-    "UNION ALL SELECT path, path || ':' || line || ': ERROR [' || tag || '] ' || msg FROM f UNION ALL SELECT path, '[PASS]' FROM s WHERE path IS NOT NULL AND path NOT IN (SELECT path FROM f)"
+    f"WITH f AS (SELECT * FROM {_ALL}), s AS ({ORACLES['v_summary']}) SELECT path, unnest(['Validate Report (2025-01-01T00:00:00Z)', 'File: ' || path, repeat('=', 80), repeat('-', 80), printf('Summary: total=%d passed=%d pass_rate=%.2f%%', total, passed, pass_rate)]) AS text FROM s WHERE path IS NOT NULL "
+    "UNION ALL SELECT path, path || ':' || line || ': ERROR [' || tag || '] ' || msg FROM f UNION ALL SELECT path, '[PASS] 无错误' FROM s WHERE path IS NOT NULL AND path NOT IN (SELECT path FROM f)"
 )
 _STEPS = f"array_to_string(list_filter(list_transform(string_split(coalesce({_C}, ''), chr(10)), lambda x: {_strip('x')}), lambda x: x <> ''), chr(10))"
 ORACLES["jsonld_recipe"] = f"SELECT rec_no, {_strip('''coalesce(meta.data_info.title, '')''')} AS title, length({_STEPS}) AS instructions_length FROM example_clean WHERE meta.data_info.url IS NOT NULL"
@@ -206,3 +206,7 @@ k AS (SELECT doc_id, n, url, list_transform(list_concat(CASE WHEN url <> '' THEN
 c AS (SELECT doc_id, n, url, {_COLLAPSED} AS l FROM k),
 f AS (SELECT doc_id, n, url, list_filter(l, lambda x, i: NOT {_NOISY} AND NOT ((i <= 3 OR i > len(l) - 2) AND {_HEADED})) AS l FROM c)
 SELECT doc_id, {_strip(f'array_to_string({_COLLAPSED}, chr(10))')} AS content, {_strip('n')} = '' AS missing_notes, CAST(CASE WHEN regexp_matches(url, '^https?://') THEN 1 ELSE 0 END AS BIGINT) AS images_count FROM f"""
+ORACLES["report_overall"] = (
+    f"WITH f AS (SELECT * FROM {_ALL} UNION ALL SELECT * FROM ({ORACLES['v_dup_url']}) UNION ALL SELECT * FROM ({ORACLES['v_dup_id']})), s AS ({ORACLES['v_summary']}) SELECT unnest(['Validate Report (2025-01-01T00:00:00Z)', 'Files:', repeat('=', 80), repeat('-', 80), printf('Summary: total=%d passed=%d pass_rate=%.2f%%', total, passed, pass_rate)]) AS text FROM s WHERE path IS NULL "
+    "UNION ALL SELECT '  - ' || path FROM s WHERE path IS NOT NULL UNION ALL SELECT path || ':' || line || ': ERROR [' || tag || '] ' || msg FROM f"
+)

@@ -69,5 +69,5 @@ def preview(spark: SparkSession, inputs: list[str] | str, per_page: int = 1000)
     ship(spark)
     lines = jsonl.tolerant(jsonl.read_lines(spark, jsonl.expand_paths(inputs)))
     get = lambda p: F.get_json_object("value", p)
-    card = render.card(F.col("line"), get("$.id"), get("$.meta.data_info.title"), render.pretty_json(get("$.meta")), get("$.meta.data_info.content"), F.col("error"), F.col("value"))
+    card = render.card(F.col("line"), get("$.id"), get("$.meta.data_info.title"), render.pretty_json(get("$.meta")), get("$.meta.data_info.content"), render.other_members(F.col("value")), F.col("error"), F.col("value"))
     return render.pages(lines.select("path", "line", card.alias("card")), per_page=per_page)

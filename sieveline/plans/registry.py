@@ -295,7 +295,13 @@ def rejected_json(spark, sf_dir):
 
 def report_lines(spark, sf_dir):
     found = validate.with_findings(_checked(spark, sf_dir))
-    return sinks.report_lines(validate.findings(found), validate.summary(found)).select("path", "text")
+    return sinks.report_lines(validate.findings(found), validate.summary(found), "2025-01-01T00:00:00Z").select("path", "text")
+
+
+def report_overall(spark, sf_dir):
+    found = validate.with_findings(_checked(spark, sf_dir))
+    every = validate.findings(found).select("path", "line", "tag", "msg").unionByName(validate.duplicate_urls(_checked(spark, sf_dir))).unionByName(validate.duplicate_ids(_checked(spark, sf_dir)))
+    return sinks.overall_report(every, validate.summary(found), "2025-01-01T00:00:00Z").select("text")
 
 
 def preview_blocks(spark, sf_dir):
@@ -315,7 +321,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         build_content, gate_split, gate_counts, norm_line, noise_blocks, blank_collapse, assemble_paragraphs,
         page_title_h1, image_urls, jsonld_recipe, page_links, extract_article, extract_parts, strip_ui_headers, sitemap_walk,
         v_findings, v_findings_native, v_findings_by_tag, v_summary, v_first_noise_keyword, v_bare_image_url, v_unprotected_math, v_dates, v_json_status, v_line_findings, v_dup_url, v_dup_id, v_short_files,
-        finding_counts, reject_reasons, pass_rates, merge_volumes, merge_volume_sizes, rolling_parts, rejected_json, report_lines, preview_blocks, preview_pages,
+        finding_counts, reject_reasons, pass_rates, merge_volumes, merge_volume_sizes, rolling_parts, rejected_json, report_lines, report_overall, preview_blocks, preview_pages,
     ]
     steps = {
         "clean_translate": over_content(clean.narrow_punctuation), "clean_tags_entities": over_content(clean.drop_tags_and_entities), "clean_symbols": over_content(clean.ascii_symbols),

@@ -55,16 +55,36 @@ def volume_name(day: str, volume: Column) -> Column:
     return F.concat(F.lit(f"{day}_clean_file_"), volume.cast("string"), F.lit(".jsonl"))
 
 
-def report_lines(findings: DataFrame, summary: DataFrame) -> DataFrame:
-    """``path, seq, text``: header, findings or ``[PASS]``, totals, of every file. Lines, not files: a report may be as long as its file."""
-    totals = summary.where(F.col("path").isNotNull())
-    bar = lambda ch: F.lit(ch * 80)
-    head = totals.select("path", F.explode(F.array(F.struct(F.lit(0).alias("s"), F.lit("[REPORT]").alias("t")), F.struct(F.lit(1).alias("s"), F.concat(F.lit("FILE: "), "path").alias("t")), F.struct(F.lit(2).alias("s"), bar("=").alias("t")))).alias("x"))
-    body = findings.select("path", F.struct((F.lit(1000) + F.col("line") * 1000 + F.coalesce("ord", F.lit(999))).alias("s"), report_line(F.col("path"), F.col("line"), F.col("tag"), F.col("msg")).alias("t")).alias("x"))
-    clean = totals.join(findings.select("path").distinct(), "path", "left_anti").select("path", F.struct(F.lit(1000).alias("s"), F.lit("[PASS]").alias("t")).alias("x"))
-    foot = totals.select("path", F.explode(F.array(F.struct(F.lit(2**31 - 2).alias("s"), bar("-").alias("t")), F.struct(F.lit(2**31 - 1).alias("s"), F.format_string("total=%d passed=%d pass_rate=%.2f%%", "total", "passed", "pass_rate").alias("t")))).alias("x"))
-    every = [d.select("path", F.col("x.s").cast("bigint").alias("seq"), F.col("x.t").alias("text")) for d in (head, body, clean, foot)]
-    return every[0].unionByName(every[1]).unionByName(every[2]).unionByName(every[3])
+def _report(found: DataFrame, totals: DataFrame, head: list[Column]) -> DataFrame:
+    """``path, seq, text`` of a report for each row of ``totals``."""
+    numbered = lambda start, texts: F.array(*[F.struct(F.lit(start + i).cast("bigint").alias("seq"), t.alias("text")) for i, t in enumerate(texts)])
+    end = 2**62
+    foot = [F.lit("-" * 80), F.format_string("Summary: total=%d passed=%d pass_rate=%.2f%%", "total", "passed", "pass_rate")]
+    frame = totals.select("path", F.explode(F.concat(numbered(0, head), numbered(end, foot))).alias("x"))
+    clean = totals.join(found.select("path").distinct(), "path", "left_anti").select("path", F.struct(F.lit(2**40).cast("bigint").alias("seq"), F.lit("[PASS] 无错误").alias("text")).alias("x"))
+    lines = found.select("path", F.struct("seq", "text").alias("x"))
+    return frame.unionByName(clean).unionByName(lines).select("path", "x.seq", "x.text")
+
+
+def report_lines(findings: DataFrame, summary: DataFrame, run_time: str) -> DataFrame:
+    """``path, seq, text``: the report of every file. Lines, not files: a report may be as long as its file."""
+    seq = F.lit(2**40) + F.col("line").cast("bigint") * 1000 + (F.coalesce("ord", F.lit(999)) if "ord" in findings.columns else F.lit(0))
+    found = findings.select("path", seq.alias("seq"), report_line(F.col("path"), F.col("line"), F.col("tag"), F.col("msg")).alias("text"))
+    head = [F.lit(f"Validate Report ({run_time})"), F.concat(F.lit("File: "), "path"), F.lit("=" * 80)]
+    return _report(found, summary.where(F.col("path").isNotNull()), head)
+
+
+def overall_report(findings: DataFrame, summary: DataFrame, run_time: str) -> DataFrame:
+    """``path, line, seq, text`` of the report over all files, in the order path, line, seq; frame lines have no path."""
+    files = summary.where(F.col("path").isNotNull()).select(F.lit("").alias("path"), F.lit(0).alias("line"), F.lit(1).cast("bigint").alias("seq"), F.concat(F.lit("  - "), "path").alias("text"))
+    body = findings.select("path", "line", F.lit(2).cast("bigint").alias("seq"), report_line(F.col("path"), F.col("line"), F.col("tag"), F.col("msg")).alias("text"))
+    total = summary.where(F.col("path").isNull())
+    frame = _report(body.select(F.lit(None).cast("string").alias("path"), "seq", "text").limit(0), total, [F.lit(f"Validate Report ({run_time})"), F.lit("Files:")]).where("text NOT LIKE '[PASS]%'")
+    bar = total.select(F.lit("").alias("path"), F.lit(1).alias("line"), F.lit(0).cast("bigint").alias("seq"), F.lit("=" * 80).alias("text"))
+    none = bar.join(findings.limit(1).select(F.lit("").alias("path")), "path", "left_anti").select("path", F.lit(2).alias("line"), "seq", F.lit("[PASS] 无错误").alias("text"))
+    last = F.lit("\U0010ffff")
+    ends = frame.select(F.when(F.col("seq") < 2, F.lit("")).otherwise(last).alias("path"), F.lit(0).alias("line"), F.when(F.col("seq") < 2, F.col("seq") - 2).otherwise(F.col("seq")).alias("seq"), "text")
+    return ends.unionByName(files).unionByName(bar).unionByName(none).unionByName(body)
 
 
 def write_files(df: DataFrame, path: str, text: str, out: str) -> int:

@@ -142,7 +142,7 @@ def test_lines_and_preview(spark, tmp_path):
     lines = jsonl.read_lines(spark, jsonl.expand_paths(str(tmp_path)))
     assert [(r.line, bool(r.value)) for r in lines.orderBy("line").collect()] == [(1, True), (2, False), (3, True)]
     page = pipeline.preview(spark, str(tmp_path)).collect()[0].html
-    assert "T&lt;" in page and "<h3>H</h3><p>a<br>b</p>" in page and '<img src="https://i">' in page and "<p>[Image: no]</p>" in page and "JSON decode error" in page
+    assert "T&lt;" in page and "<h3>H</h3>\n<p>a<br>b</p>" in page and "<img src='https://i'" in page and "<p>[Image: no]</p>" in page and "JSON decode error" in page
     assert preview.output_path("/d/x.clean.jsonl") == "deliveries_pre_check/d/preview_x.html"
     assert preview.output_path("/d/x.jsonl", "o/p.html") == "o/p.html"
 
@@ -183,3 +183,22 @@ def test_stream(spark, tmp_path):
 
 def test_record_id(spark):
     assert spark.range(1).select(clean.record_id(F.lit("a")).alias("i")).first().i == "ca978112ca1bbdcafac231b39a23dc4da786eff8147c4e72b9807785afee48bb"
+
+
+def test_rendered_content(spark):
+    texts = [None, "", " \n", "a\n b \n\n[Image: HTTP://x/1.png ]\n[Image: no]\n## H & M\r\nend"]
+    got = [r.h for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(preview.render_content(F.col("t")).alias("h")).collect()]
+    picture = "<div class='img-line'><div class='img-box'><img src='HTTP://x/1.png' alt='image' loading='lazy'></div><div class='img-url'>HTTP://x/1.png</div></div>"
+    assert got == [preview.NO_CONTENT, preview.NOTHING_SHOWN, preview.NOTHING_SHOWN, f"<p>a<br> b </p>\n{picture}\n<p>[Image: no]</p>\n<h3>H &amp; M</h3>\n<p>end</p>"]
+
+
+def test_reports(spark):
+    found = spark.createDataFrame([("f", 2, 3, "R1", "m"), ("f", 1, 0, "R2", "n")], "path string, line int, ord int, tag string, msg string")
+    rates = spark.createDataFrame([("f", 2, 0, 0.0), ("g", 1, 1, 100.0), (None, 3, 1, 33.333)], "path string, total bigint, passed bigint, pass_rate double")
+    lines = sinks.report_lines(found, rates, "T")
+    bars = "=" * 80, "-" * 80
+    assert [r.text for r in lines.where("path = 'f'").orderBy("seq").collect()] == ["Validate Report (T)", "File: f", bars[0], "f:1: ERROR [R2] n", "f:2: ERROR [R1] m", bars[1], "Summary: total=2 passed=0 pass_rate=0.00%"]
+    assert [r.text for r in lines.where("path = 'g'").orderBy("seq").collect()] == ["Validate Report (T)", "File: g", bars[0], "[PASS] 无错误", bars[1], "Summary: total=1 passed=1 pass_rate=100.00%"]
+    order = ["path", "line", "seq", "text"]
+    assert [r.text for r in sinks.overall_report(found, rates, "T").orderBy(*order).collect()] == ["Validate Report (T)", "Files:", "  - f", "  - g", bars[0], "f:1: ERROR [R2] n", "f:2: ERROR [R1] m", bars[1], "Summary: total=3 passed=1 pass_rate=33.33%"]
+    assert [r.text for r in sinks.overall_report(found.limit(0), rates, "T").orderBy(*order).collect()] == ["Validate Report (T)", "Files:", "  - f", "  - g", bars[0], "[PASS] 无错误", bars[1], "Summary: total=3 passed=1 pass_rate=33.33%"]
