@@ -49,8 +49,6 @@ _DATE = "(regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$') AND left
 _MINUTE = "(regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}T[0-9]{{1,2}}:[0-9]{{1,2}}$') AND left({0}, 4) <> '0000' AND try_strptime({0}, '%Y-%m-%dT%H:%M') IS NOT NULL)"
 _URLS = rf"list_filter(regexp_extract_all(content, 'https?://[^\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+'), lambda u: regexp_matches(u, '(?i)\.(?:png|jpe?g|gif|webp)(?:\?|#|$)'))"
 _BARE = _URLS.replace("list_filter(", "list_filter(list_filter(", 1) + rf", lambda u: NOT regexp_matches({_strip('list_filter(string_split(content, chr(10)), lambda x: contains(x, u))[1]')}, '^\[Image:\s*https?://[^\]\s]+?\]$'))"
-_IMAGE = r"regexp_extract(b, '(?i)^\[Image:\s*(.*?)\s*\]$', 1)"
-_MATH = r"regexp_matches(content, '[±×÷√∑∏≈≠≤≥∞∫∂∆∇]')"
 
 _SEP = "[-." + _SPACE[1:-1] + "]?"
 _TAIL = rf"{_SEP}\p{{Nd}}{{3}}{_SEP}\p{{Nd}}{{4}}(?:$|{_W})"

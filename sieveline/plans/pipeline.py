@@ -57,6 +57,12 @@ def validate(spark: SparkSession, inputs: list[str] | str, strict: bool = False,
     return Validation(every, rules.summary(found))
 
 
+def reports(result: Validation, run_time: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of the report of each file, and of the one over all; repeated ids are in the latter only."""
+    own = result.findings.where("tag <> 'DUP_ID'")
+    return sinks.report_lines(own, result.summary, run_time), sinks.overall_report(result.findings, result.summary, run_time)
+
+
 def merge(spark: SparkSession, inputs: str, out: str, min_lines: int = volumes.MIN_LINES, soft_max: int = volumes.SOFT_MAX) -> DataFrame:
     """Lines of all files in order into volumes under ``out``; returns ``volume, lines``."""
     merged = volumes.merge_volumes(jsonl.read_lines(spark, jsonl.expand_paths(inputs)), ["path"], ["line"], soft_max, min_lines)
