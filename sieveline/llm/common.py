@@ -1,9 +1,7 @@
-"""Shared plumbing: table readers, Arrow row maps and checkpointing."""
+"""Shared plumbing: table readers and Arrow row maps."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,11 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import ship
-
-#: Sides above this size are never broadcast by these operators.
-BROADCAST_LIMIT_BYTES = 8 << 20
-
+from ..session import checkpoint, ship  # noqa: F401 - checkpoint for the other modules
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -62,22 +56,6 @@ def arrow_flat_map(df: DataFrame, make: Callable[[], Callable[..., Iterable[tupl
     return df.mapInArrow(run, schema)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only where none is configured."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = os.path.join(tempfile.gettempdir(), f"sieveline-{os.getpid()}")
-    return where
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder (reliable, survives lost executors)."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def site_of(url):
     """Lower-case host without ``www.`` and port; null where there is none."""
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#\s]+)", 1))
