@@ -35,8 +35,8 @@ def volume_of(idx: Column, n: Column, soft_max: int = SOFT_MAX, min_lines: int =
 
 def merge_volumes(df: DataFrame, group: list[str], order: list[str], soft_max: int = SOFT_MAX, min_lines: int = MIN_LINES) -> DataFrame:
     """``df`` with ``idx`` and ``volume``."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    return global_index(df, group, order).crossJoin(F.broadcast(n)).withColumn("volume", volume_of(F.col("idx"), F.col("_n"), soft_max, min_lines)).drop("_n")  # n is one row
+    n = df.agg(F.count(F.lit(1))).scalar()
+    return global_index(df, group, order).withColumn("volume", volume_of(F.col("idx"), n, soft_max, min_lines))
 
 
 def volume_sizes(merged: DataFrame) -> DataFrame:
