@@ -23,6 +23,7 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The split pattern that goes with the byte-level vocabulary (public, of the GPT-2 tokenizer).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MAX_CAPACITIES = 1000
 ITEMS_PER_GROUP, FAN_IN, NEARLY_FULL = 40_000, 8, 0.995
 
 
@@ -100,15 +101,15 @@ def pack(sizes: DataFrame, key: str, size: str, capacities: DataFrame, capacity_
     is cut into full pieces and a rest. Full pieces are containers of their
     own. Sizes of zero or null count as zero and share any container. Rows with
     a null key are packed like others. Capacities must be positive; they are a
-    short list (joined by broadcast after a check of their number).
+    short list (its number is checked).
     """
-    few = capacities.select(F.col(capacity_id).cast("int").alias("capacity_id"), F.col(capacity).cast("int").alias("max_tokens")).where("max_tokens > 0")
-    n_capacities = few.count()
-    if n_capacities > 1000:
-        raise ValueError("more than 1000 capacities")
+    few = capacities.select(F.col(capacity_id).cast("int"), F.col(capacity).cast("int")).where(F.col(capacity).cast("int") > 0).limit(MAX_CAPACITIES + 1).collect()
+    if len(few) > MAX_CAPACITIES:
+        raise ValueError(f"more than {MAX_CAPACITIES} capacities")
+    each = F.array(*[F.struct(F.lit(c[0]).cast("int").alias("capacity_id"), F.lit(c[1]).cast("int").alias("max_tokens")) for c in few]) if few else F.array().cast("array<struct<capacity_id:int,max_tokens:int>>")
     rows = checkpoint(sizes.select(F.col(key).alias("_k"), F.coalesce(F.col(size), F.lit(0)).cast("int").alias("_n"), F.monotonically_increasing_id().alias("_row")))
     pieces = (
-        rows.crossJoin(F.broadcast(few))  # a checked, short list
+        rows.select("*", F.inline(each))
         .withColumn("_pieces", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.col("max_tokens")).cast("int")))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
         .withColumn("size", F.least(F.col("max_tokens"), F.col("_n") - F.col("piece") * F.col("max_tokens")).cast("int"))
