@@ -1,9 +1,11 @@
 """Problem 7: template residue, filler and error pages.
 
-Lines of the same template are aligned by their frame, the words around a
-marked slot. A slot still holding a variable's name, a default or a blank is
-residue: a name counts as a variable by its form, or where the aligned lines of
-the corpus show it in several kinds of marks. Error messages and script
+Lines of the same template are aligned by their frame, the words around their
+slots (for a slot that is a whole line, the line before or after it). A place
+that the other records of the site fill with varying words is a slot, and one
+still holding a name in marks, a default or a blank is residue. A name counts
+as a variable also by its form, or where the corpus shows it in several kinds
+of marks. Error messages and script
 notices are told by their wording, and weaker wording counts where the same
 whole page, digits and names aside, stands at several urls.
 """
@@ -12,12 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boilerplate
-from .common import arrow_flat_map, checkpoint
+from .common import arrow_flat_map, checkpoint, site_of
 from .visual import fold
 
 NAME = r"[A-Za-z][A-Za-z0-9]*(?:[_. ][A-Za-z0-9]+){0,3}"
@@ -56,12 +60,17 @@ BLANK = re.compile(r"^[\W_]*(?:n/?a|null|none|undefined|nan|untitled|tbd|todo|_{
 WORDS = re.compile(r"[^\W\d_]+")
 
 
-def slots(line: str) -> list[tuple[str, str, str]]:
-    """``(marks, name, frame)`` of the marked slots of a line."""
+#: What stands before an argument of a LaTeX command, which is no template place.
+COMMAND = re.compile(r"\\[A-Za-z]+\*?(?:\[[^\[\]]*\])?(?:\{[^{}]*\})*$")
+
+
+def slots(line: str) -> list[tuple[str, str, int, int]]:
+    """``(marks, name, start, end)`` of the marked slots of a line."""
     out = []
     for marks, pattern in (*SURE, *OPEN, TODO, GOES_HERE):
         for m in pattern.finditer(line):
-            out.append((marks, m[1], (line[: m.start()] + "\0" + line[m.end() :])[:120]))
+            if marks != "{" or not COMMAND.search(line[: m.start()]):
+                out.append((marks, m[1], m.start(), m.end()))
     return out
 
 
@@ -104,11 +113,12 @@ EVIDENT = frozenset(("error", "script", "filler", "latin"))
 
 
 def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, str]], bytes | None]:
-    """``(evident, open slots, page)`` of a text.
+    """``(evident, slots, page)`` of a text.
 
-    ``evident``: some section is residue by its own wording. ``open slots``:
-    (marks, name) whose nature only the corpus can tell. ``page``: digest of
-    the page's template where the wording of a whole page is weak.
+    ``evident``: some section is residue by its own wording. ``slots``: its
+    (marks, name); where the text isn't evident, only the corpus can tell their
+    nature. ``page``: digest of the page's template where the wording of a
+    whole page is weak.
     """
     text = fold(text)
     raws = text.split("\n")
@@ -119,7 +129,7 @@ def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, st
         return False, [], None
     drop = set(boilerplate.furniture(text, url))
     sections: list[list[tuple[str, str]] | None] = [[]]
-    evident, unsure = False, []
+    evident, named = False, []
     for i, line in enumerate(lines):
         if i + 1 in drop and (states[i] not in ("error", "script") or boilerplate.role(line) in ("script", "menu", "share")) or not line or line.startswith("[Image"):
             continue
@@ -127,11 +137,9 @@ def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, st
             # values below the nutrition heading are no section of their own
             sections.append(None if line[:9].lower() == "nutrition" else [])
             continue
-        for marks, name, _ in marked[i]:
-            if is_variable(marks, name):
-                evident = True
-            else:
-                unsure.append((marks, name))
+        for marks, name, _, _ in marked[i]:
+            evident = evident or is_variable(marks, name)
+            named.append((marks, name))
         if sections[-1] is not None:
             sections[-1].append((line, states[i]))
     weak = 0
@@ -150,38 +158,247 @@ def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, st
     if not evident and weak and 2 * weak >= len(whole):
         template = "\n".join(re.sub(r"\d+", "0", x.lower()) for x, _ in whole)
         page = hashlib.blake2b(template.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-    return evident, unsure, page
+    return evident, named, page
+
+
+# What a template holds before it is filled. "None" and "n/a" answer a question, so they fill a slot.
+DEFAULT = re.compile(r"(?<![\w/])(?:null|undefined|NaN|[Uu]ntitled|TBD|TODO|[xX]{3,})(?![\w/])|(?<!\w)_{3,}(?!\w)|\.{4,}")
+#: Places where a word is missing: between two blanks, and before a mark that ends something.
+GAP = re.compile(r"(?<=\S )(?= \S)|(?<=\w )(?=[.,;!?](?:\s|$))")
+#: Without any of these, a text has neither.
+HINTS = ("  ", " .", " ,", " ;", " !", " ?", "null", "undefined", "NaN", "ntitled", "TBD", "TODO", "xxx", "xxX", "xXx", "xXX", "Xxx", "XxX", "XXx", "XXX", "___", "....")
+LIST_MARK = re.compile(r"^(?:(?:[-*+•·▢☐◦‣–#>]+|\d{1,3}[.)])\s+)+")
+PIECE = re.compile(r"\w+|\s+|[^\w\s]")
+DIGITS = re.compile(r"\d+")
+#: A whole sentence stands beside a frame, not in it; tags and entities fill nothing.
+SENTENCE_END = re.compile(r"[.!?…][\"'”’)\]]*$")
+TAG_OR_ENTITY = re.compile(r"<[^<>]*>|&#?\w+;")
+WORDY = re.compile(r"[^\W_]")
+LETTERS = re.compile(r"[^\W\d_]+")
+BITS = 1 << 22
+
+
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def _key(site: str, kind: str, head: str, tail: str) -> bytes:
+    return hashlib.blake2b(_bytes("\0".join((site, kind, head, tail))), digest_size=16).digest()
+
+
+def _form(text: str) -> str:
+    return DIGITS.sub("0", text)
+
+
+def _tail_crc(text: str) -> int:
+    crc = 0
+    for piece in reversed(PIECE.findall(text)):
+        crc = zlib.crc32(_bytes(_form(piece)), crc)
+    return crc
+
+
+def _hint_crc(seed: int, head: str, tail: str) -> int:
+    """Checksum of the first word of a frame and of its last one, as far as the holes leave them whole."""
+    first, last = _bytes(head).split(None, 1), _bytes(tail).rsplit(None, 1)
+    one = first[0] if len(first) == 2 or first and head[-1:] == " " else b""
+    return zlib.crc32(b"%b\0%b" % (one, last[-1] if len(last) == 2 or last and tail[:1] == " " else b""), seed)
+
+
+def _count(text: str) -> int:
+    return len(LETTERS.findall(text))
+
+
+def _lines(text: str) -> list[tuple[int, str]]:
+    """Number and wording of the lines that aren't blank, without marks of lists and headings."""
+    return [(i, x) for i, raw in enumerate(text.split("\n"), 1) if (x := LIST_MARK.sub("", raw.strip()))]
+
+
+def _label(line: str) -> bool:
+    return line.endswith(":") or boilerplate.HEADING.match(boilerplate.plain(line)) is not None
+
+
+def _quoted(text: str) -> str:
+    """A constant piece of a frame as a pattern of the JVM; numbers stand for any number."""
+    return r"\d+".join("\\Q" + x.replace("\\E", "\\E\\\\E\\Q") + "\\E" if x else "" for x in DIGITS.split(text))
+
+
+def unfilled(text: str, url: str | None, site: str) -> list[tuple[bytes, int, int, int, str, int, bool, list[str]]]:
+    """``(key, hint, head, tail, inner, words, label, names)`` of the frames of a text's lines with names in open marks, defaults or blanks.
+
+    The frame of a line is what is constant around all its holes. ``key``: its
+    site and what stands before the first hole and after the last one; ``hint``,
+    ``head`` and ``tail``: checksums of these; ``inner``: pattern of what stands between,
+    a group for each hole; ``words``: most words that this part of an aligned
+    line has, so that no more words vary than agree, except after a label;
+    ``names``: what the holes hold, empty for defaults and blanks. A hole that
+    is the whole line lies between the lines beside it, furniture aside.
+    """
+    text = fold(text)
+    hints = [x for x in HINTS if x in text]
+    if not (hints or MARK.search(text)):
+        return []
+    seed = zlib.crc32(_bytes(site))
+    lines, out, drop = _lines(text), [], None
+    for at, (i, line) in enumerate(lines):
+        spans = [(a, b, n) for _, n, a, b in slots(line)] if MARK.search(line) else []
+        if any(x in line for x in hints):
+            spans += [(m.start(), m.end(), "") for m in DEFAULT.finditer(line)]
+            gaps = [(m.start(), m.end(), "") for m in GAP.finditer(line)]
+            spans += gaps if len(gaps) == 1 else []  # more of them are how the line is spaced
+        if not spans or line.startswith("[Image"):
+            continue
+        drop = set(boilerplate.furniture(text, url)) if drop is None else drop
+        if i in drop:
+            continue
+        holes: list[tuple[int, int, str]] = []
+        for span in sorted(spans):
+            if not holes or span[0] >= holes[-1][1]:
+                holes.append(span)
+        names = [n.lower() for _, _, n in holes]
+        head, tail = _form(line[: holes[0][0]]), _form(line[holes[-1][1] :])
+        if not head and not tail and len(holes) == 1:
+            for kind, j in (("before", at - 1), ("after", at + 1)):
+                if 0 <= j < len(lines) and lines[j][0] not in drop and (words := _count(lines[j][1])):
+                    beside = _form(lines[j][1])
+                    out.append((_key(site, kind, beside, ""), zlib.crc32(_bytes(beside), seed), -1, -1, "(?s)^(.+)$", words, kind == "before" and _label(lines[j][1]), names))
+            continue
+        between = [line[a[1] : b[0]] for a, b in zip(holes, holes[1:])]
+        words = _count(head) + _count(tail) + 2 * sum(map(_count, between))
+        if words:
+            inner = "(?s)^" + "".join("(.+?)" + _quoted(x) for x in between) + "(.+)$"
+            out.append((_key(site, "line", head, tail), _hint_crc(seed, head, tail), zlib.crc32(_bytes(head)), _tail_crc(tail), inner, words, not tail and head.rstrip().endswith(":"), names))
+    return out
+
+
+def filled(text: str, site: str, hints: bytes, heads: bytes, tails: bytes, keys: bytes, most: int) -> Iterator[tuple[bytes, str, int]]:
+    """``(key, filler, words)`` of every line that may lie in one of the frames, by the bits of their hints, heads, tails and keys.
+
+    ``most``: most words that frames with several holes allow. Bits can
+    only pass too many; the keys are joined afterwards.
+    """
+    crc32 = zlib.crc32
+
+    def has(bits: bytes, n: int) -> int:
+        n %= BITS
+        return bits[n >> 3] >> (n & 7) & 1
+
+    def known(kind: str, head: str, tail: str) -> bytes | None:
+        key = _key(site, kind, head, tail)
+        return key if has(keys, int.from_bytes(key[:4], "big")) else None
+
+    def within(line: str) -> Iterator[tuple[bytes, str, int]]:
+        pieces = PIECE.findall(line)
+        forms = [_form(p) for p in pieces]
+        crc, starts = 0, []
+        for i, piece in enumerate(pieces):
+            if has(heads, crc) and not piece.isspace():
+                starts.append(i)
+            crc = crc32(_bytes(forms[i]), crc)
+        if not starts:
+            return
+        crc, ends = 0, []
+        for j in range(len(pieces), starts[0], -1):
+            if has(tails, crc) and not pieces[j - 1].isspace():
+                ends.append(j)
+            crc = crc32(_bytes(forms[j - 1]), crc)
+        for i in starts:
+            for j in ends:
+                if i < j < i + len(pieces):
+                    head, tail, filler = "".join(forms[:i]), "".join(forms[j:]), "".join(pieces[i:j])
+                    n, label = _count(filler), not tail and head.rstrip().endswith(":")
+                    if (label or n <= max(most, _count(head) + _count(tail)) and not SENTENCE_END.search(filler)) and (key := known("line", head, tail)):
+                        yield key, filler, n
+
+    seed = crc32(_bytes(site))
+    open_ = has(hints, crc32(b"\0", seed))
+    lines = [x for _, x in _lines(fold(text))]
+    beside = []
+    got: list[tuple[bytes, str, int]] = []
+    for line in lines:
+        form = _bytes(_form(line))
+        beside.append(has(hints, crc32(form, seed)))
+        first, last = form.split(None, 1)[0], form.rsplit(None, 1)[-1]
+        if open_ or has(hints, crc32(first + b"\0" + last, seed)) or has(hints, crc32(first + b"\0", seed)) or has(hints, crc32(b"\0" + last, seed)):
+            got.extend(within(line))
+    if any(beside):
+        for at, line in enumerate(lines):
+            for kind, j in (("before", at - 1), ("after", at + 1)):
+                if 0 <= j < len(lines) and beside[j] and (key := known(kind, _form(lines[j]), "")):
+                    got.append((key, line, _count(line)))
+    for x in got:
+        if WORDY.search(TAG_OR_ENTITY.sub("", x[1])) and not (MARK.search(x[1]) and slots(x[1]) or DEFAULT.search(x[1])):
+            yield x
+
+
+def _induced(df: DataFrame, text: str, url: str, holes: DataFrame, min_urls: int) -> DataFrame:
+    """``_id`` of the rows of ``holes`` where a hole is a slot: the frame has other fillers, at ``min_urls`` urls of the site and not all the same.
+
+    A name that is also among the fillers is a word in emphasis. Lines are
+    sought by fixed bit tables of the frames, 512 KB each whatever the corpus.
+    """
+    key_bits = F.conv(F.substring(F.hex("_key"), 1, 8), 16, 10).cast("bigint")
+    bits = holes.select(F.posexplode(F.array("_hint", "_head", "_tail", key_bits)).alias("what", "n")).where("n >= 0").select("what", (F.pmod("n", F.lit(BITS)) + 1).alias("n"))
+    tables = [bytearray(BITS // 8) for _ in range(4)]
+    for r in bits.groupBy("what", F.bitmap_bucket_number("n").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")).collect():
+        tables[r.what][(r.b - 1) * 4096 : r.b * 4096] = r.bits
+    if not any(tables[3]):
+        return holes.select("_id").limit(0)
+    hints, heads, tails, keys = map(bytes, tables)
+    most = holes.agg(F.max("_between")).first()[0]
+
+    def make():
+        def row(t, u, site):
+            if t:
+                for key, filler, n in filled(t, site, hints, heads, tails, keys, most):
+                    yield key, filler, n, u
+
+        return row
+
+    lines = arrow_flat_map(df.select(F.col(text), F.col(url), F.coalesce(site_of(F.col(url)), F.lit("")).alias("_site")), make, "_key binary, _filler string, _n int, _u string").distinct()
+    frames = holes.select("_key", "_inner", "_words", "_label", F.size("_names").alias("_holes")).distinct()
+    aligned = lines.join(frames, "_key").where("(_n <= _words or _label) and _filler rlike _inner")
+    fillers = aligned.select("_key", "_inner", "_u", F.explode(F.expr("transform(sequence(1, _holes), i -> struct(i AS hole, regexp_extract(_filler, _inner, i) AS word))")).alias("x")).select("_key", "_inner", "_u", F.col("x.hole").alias("_hole"), F.regexp_replace(F.lower("x.word"), r"^\W+|\W+$", "").alias("_word"))
+    places = ["_key", "_inner", "_hole"]
+    varying = fillers.groupBy(*places).agg(F.count_distinct("_u").alias("_m"), F.count_distinct("_word").alias("_w")).where(f"_m >= {int(min_urls)} and _w >= 2").select(*places)
+    held = holes.select("_id", "_key", "_inner", F.posexplode("_names").alias("_hole", "_word")).withColumn("_hole", F.col("_hole") + 1)
+    return held.join(varying, places, "left_semi").join(fillers.select(*places, "_word").distinct(), [*places, "_word"], "left_anti").select("_id")
 
 
 def residue(df: DataFrame, key: str, text: str, url: str, min_urls: int = 3, max_names: int = 10_000) -> DataFrame:
     """``key`` of every row whose text, or a section of it, is residue.
 
-    Open slot names are variables where two kinds of marks and ``min_urls`` urls
-    show them; pages of weak wording count where ``min_urls`` urls have the
-    same template. Both tables hold suspicious texts only. Null and empty texts
-    are never residue; rows with repeated keys count on their own.
+    Names in open marks, defaults and blanks are residue where aligned lines of
+    the site fill their place otherwise at ``min_urls`` urls. Names are variables
+    also where two kinds of marks and ``min_urls`` urls show them; pages of weak
+    wording count where ``min_urls`` urls have the same template. These tables
+    hold suspicious texts only, and of other texts the lines in their frames.
+    Null and empty texts are never residue; rows with repeated keys count on their own.
     """
     kind = df.schema[key].dataType.simpleString()
 
     def make():
-        def row(k, t, u):
+        def row(k, t, u, site):
             if t:
-                evident, unsure, page = examine(t, u)
-                if evident or unsure or page:
-                    yield k, u, evident, [f"{m}\0{n}" for m, n in dict.fromkeys(unsure)], page
+                evident, named, page = examine(t, u)
+                frames = [] if evident else unfilled(t, u, site)
+                if evident or named or page or frames:
+                    held = [{"_key": a, "_hint": h, "_head": b, "_tail": c, "_inner": d, "_words": w, "_label": e, "_names": n, "_between": w if len(n) > 1 else 0} for a, h, b, c, d, w, e, n in frames]
+                    yield k, u, evident, [f"{m}\0{n}" for m, n in dict.fromkeys(named)], page, held
 
         return row
 
-    # a small table read five times; texts are examined once
-    seen = checkpoint(arrow_flat_map(df.select(F.col(key), F.col(text), F.col(url)), make, "_k " + kind + ", _u string, _evident boolean, _slots array<string>, _page binary"))
+    # a small table read several times; texts are examined once
+    frame = "array<struct<_key:binary,_hint:bigint,_head:bigint,_tail:bigint,_inner:string,_words:int,_label:boolean,_names:array<string>,_between:int>>"
+    seen = checkpoint(arrow_flat_map(df.select(F.col(key), F.col(text), F.col(url), F.coalesce(site_of(F.col(url)), F.lit("")).alias("_site")), make, f"_k {kind}, _u string, _evident boolean, _slots array<string>, _page binary, _frames {frame}"))
     doubtful = seen.where(~F.col("_evident"))
-    names = doubtful.select("_u", F.explode("_slots").alias("_s")).select("_u", F.split("_s", "\0").getItem(0).alias("_marks"), F.split("_s", "\0").getItem(1).alias("_name"))
+    names = seen.select("_u", F.explode("_slots").alias("_s")).select("_u", F.split("_s", "\0").getItem(0).alias("_marks"), F.split("_s", "\0").getItem(1).alias("_name"))
     variables = names.groupBy("_name").agg(F.count_distinct("_marks").alias("_m"), F.count_distinct("_u").alias("_n")).where(f"_m >= 2 and _n >= {int(min_urls)}").select("_name")
     pages = doubtful.where(F.col("_page").isNotNull()).groupBy("_page").agg(F.count_distinct("_u").alias("_n")).where(f"_n >= {int(min_urls)}").select("_page")
     ids = doubtful.withColumn("_id", F.monotonically_increasing_id())
     by_name = ids.select("_k", F.explode(F.transform("_slots", lambda x: F.split(x, "\0").getItem(1))).alias("_name"), "_id").join(variables, "_name", "left_semi").select("_k", "_id")
     by_page = ids.join(pages, "_page", "left_semi").select("_k", "_id")
-    return seen.where("_evident").select(F.col("_k").alias(key)).unionByName(by_name.union(by_page).distinct().select(F.col("_k").alias(key)))
+    by_frame = ids.join(_induced(df, text, url, ids.select("_id", F.inline("_frames")), min_urls), "_id", "left_semi").select("_k", "_id")
+    return seen.where("_evident").select(F.col("_k").alias(key)).unionByName(by_name.union(by_page).union(by_frame).distinct().select(F.col("_k").alias(key)))
 
 
 def without_residue(df: DataFrame, key: str, text: str, url: str) -> DataFrame:

@@ -156,6 +156,20 @@ def test_open_slots_are_induced_from_the_corpus(spark):
     assert residue.without_residue(df, "k", "t", "u").count() == 3
 
 
+def test_slots_are_induced_from_aligned_lines(spark):
+    plain = ["Oat stew\nServes 4 people.", "Bean soup\nServes 6 people.", "Leek pie\nServes 12 people.", "Title:\nRye", "Title:\nOat stew with leeks", "Title:\nBeans", "Done in 4 steps, 20 minutes.", "Done in 5 steps, 30 minutes.", "Done in 4 steps, 9 minutes."]
+    left = ["Serves [servings] people.", "Serves ___ people.", "Serves  people.", "Serves undefined people.", "Title:\n{title}", "Done in {steps} steps, {time} minutes."]
+    other = ["Pick [mild] now.", "Pick [hot] now.", "\\section*{Notes}", "__Four__ eggs.", "__Note__ Chill the dough.", "It is late. Chill the dough.", "<p>Chill the dough.", "Be quick! Chill the dough."]
+    rows = [(i, f"https://a.test/{i}", t) for i, t in enumerate(left + plain + other)] + [(99, "https://b.test/1", left[0])]  # b.test shows no other filler
+    df = spark.createDataFrame(rows, "k int, u string, t string")
+    assert sorted(r.k for r in residue.residue(df, "k", "t", "u").collect()) == list(range(len(left)))
+
+
+def test_marks_of_evident_rows_count_for_a_name(spark):
+    rows = [(0, "https://a.test/0", "{{servings}}"), (1, "https://a.test/1", "Add [servings] now."), (2, "https://a.test/2", "Try [servings]"), (3, "https://a.test/3", "Try [mild]"), (4, "https://a.test/4", "\\section*{mild}"), (5, "https://a.test/5", "Add [mild]")]
+    assert sorted(r.k for r in residue.residue(spark.createDataFrame(rows, "k int, u string, t string"), "k", "t", "u").collect()) == [0, 1, 2]
+
+
 # packing
 
 
