@@ -82,21 +82,46 @@ def is_variable(marks: str, name: str) -> bool:
     return marks in SURE_MARKS or VARIABLE.fullmatch(name) is not None
 
 
+SENTENCES = re.compile(r"(?<=[.!?…])\s+|\s*[|•·]\s*")
+CLAUSES = re.compile(r"(?<=[,;:])\s+|\s+[–—-]\s+|\s{2,}")
+#: A wording tells about so many characters around it; longer lines are judged by their parts.
+REACH = 260
+
+
+def wording(text: str) -> str:
+    """``error``, ``script``, ``filler`` or ``follow`` by the wording of a line or sentence; empty for none of them."""
+    if ERROR.search(text):
+        return "error"
+    if SCRIPT.search(text) and SCRIPT_NEED.search(text) and not re.search(r"\b(?:do|does) not need\b", text, re.I):
+        return "script"
+    if FILLER.search(text):
+        return "filler"
+    if FOLLOW_UP.search(text) and len(WORDS.findall(text)) <= 16:
+        return "follow"
+    return ""
+
+
+def shared_wording(text: str) -> str:
+    """``wording`` of a long line: the one of most characters, where at least half of the line's sentences have any."""
+    parts = [c for x in SENTENCES.split(text) for c in ([x] if len(x) <= REACH else CLAUSES.split(x)) if c]
+    told: dict[str, int] = {}
+    for x in parts:
+        if kind := wording(x):
+            told[kind] = told.get(kind, 0) + min(len(x), REACH)
+    if 2 * sum(told.values()) < sum(map(len, parts)) or not told:
+        return ""
+    strong = [k for k in told if k != "follow"]
+    return max(strong, key=told.__getitem__) if strong else "follow"
+
+
 def state(line: str) -> str:
     """``error``, ``script``, ``follow``, ``filler``, ``latin`` or ``blank`` by a line's wording; empty for none of them."""
     text = line.strip()
     words = WORDS.findall(text.lower())
     if BLANK.match(text):
         return "blank"
-    if len(text) <= 260:
-        if ERROR.search(text):
-            return "error"
-        if SCRIPT.search(text) and SCRIPT_NEED.search(text) and not re.search(r"\b(?:do|does) not need\b", text, re.I):
-            return "script"
-        if FILLER.search(text):
-            return "filler"
-        if FOLLOW_UP.search(text) and len(words) <= 16:
-            return "follow"
+    if kind := wording(text) if len(text) <= REACH else shared_wording(text):
+        return kind
     if len(words) >= 3 and EVERYDAY.isdisjoint(words) and not LATIN.isdisjoint(words) and len(LATIN.intersection(words)) * 12 >= len(set(words)):
         return "latin"
     return ""

@@ -170,6 +170,14 @@ def test_marks_of_evident_rows_count_for_a_name(spark):
     assert sorted(r.k for r in residue.residue(spark.createDataFrame(rows, "k int, u string, t string"), "k", "t", "u").collect()) == [0, 1, 2]
 
 
+def test_residue_in_one_long_line():
+    error = "Error 404. The page you are looking for could not be found. It may have been moved or deleted. Please try again later. If the problem persists, contact the webmaster. Go back to the start page. Something went wrong on our side. The server took too long to answer. Use the search box above."
+    assert len(error) > 260 and residue.examine(error)[0]
+    assert residue.examine("Please enable JavaScript to view this recipe. " * 8)[0] and residue.examine("This is placeholder text. Sample text for the page. " * 6)[0]
+    prose = "The jar we wanted could not be found. " + "Stir the oats over a low flame, then add the leeks and let them rest for a while. " * 4
+    assert not residue.examine(prose)[0]
+
+
 # packing
 
 
