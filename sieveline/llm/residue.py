@@ -127,13 +127,19 @@ def state(line: str) -> str:
     return ""
 
 
-# Words without one of which no wording above can match.
-GATE_WORDS = frozenset(
-    "script scripts scripting javascript java noscript error denied permission authorized authorised found gone exist exists moved removed deleted available broken gateway server service database undefined fatal call "
-    "upstream status http request requests expired sign wrong verify human robot browser reload load loaded shown displayed suspended disabled renew quota bandwidth try refresh sample placeholder dummy example demo "
-    "filler default test ignore replace blah asdf qwerty foo null none undefined nan untitled tbd todo maintenance apologise apologize sorry unavailable forbidden timeout time unauthorized nothing show page return go "
-    "use check problem support contact back reference trace variable index parked sale na insert here fixme lorem ipsum dolor amet".split()
-)
+# Beginnings of six and of four letters: every wording above but that of blanks and scripts holds a word that begins so.
+# Ends of words are open, as the patterns leave them open.
+GATE_LONG = frozenset(x[:6] for x in "forbidden gateway unauthorized service internal access permission authorized temporarily maintenance database undefined http status upstream server request session please deleted removed available nothing verify checking displayed suspended disabled account domain bandwidth search return problem support contact apologize spelling reference sample placeholder example filler default replace qwerty".split())
+GATE_SHORT = frozenset(x[:4] for x in "error found gone many perm fatal undefined stack wrong exist moved link robot browser reload load show renew quota try back check sorry owner dummy demo test blah asdf foo".split())
+
+
+def may_tell(line: str) -> bool:
+    """Whether ``state`` can be other than empty; true too often, never false too often."""
+    low = line.casefold()
+    words = WORDS.findall(low)
+    return "script" in low or not (GATE_LONG.isdisjoint([w[:6] for w in words]) and GATE_SHORT.isdisjoint([w[:4] for w in words]) and LATIN.isdisjoint(words)) or BLANK.match(line.strip()) is not None
+
+
 EVIDENT = frozenset(("error", "script", "filler", "latin"))
 
 
@@ -148,7 +154,7 @@ def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, st
     text = fold(text)
     raws = text.split("\n")
     lines = [boilerplate.plain(raw) for raw in raws]
-    states = [state(x) if x and (not GATE_WORDS.isdisjoint(WORDS.findall(x.lower())) or not x[0].isalnum() and BLANK.match(x)) else "" for x in lines]
+    states = [state(x) if x and may_tell(x) else "" for x in lines]
     marked = [slots(raw.strip()) if MARK.search(raw) else [] for raw in raws] if MARK.search(text) else [[] for _ in raws]
     if not any(states) and not any(marked):
         return False, [], None

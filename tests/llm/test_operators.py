@@ -178,6 +178,51 @@ def test_residue_in_one_long_line():
     assert not residue.examine(prose)[0]
 
 
+def random_match(r, pattern):
+    """A text that a parsed pattern may match; assertions are left out."""
+    out = ""
+    for op, value in pattern:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(value)
+        elif op == "BRANCH":
+            out += random_match(r, r.choice(value[1]))
+        elif op == "SUBPATTERN":
+            out += random_match(r, value[3])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(random_match(r, value[2]) for _ in range(r.randint(value[0], min(value[1], value[0] + 2))))
+        elif op == "IN":
+            kind, x = r.choice(value)
+            out += chr(x) if str(kind) == "LITERAL" else "7" if str(x) == "CATEGORY_DIGIT" else str(kind) == "RANGE" and chr(x[0]) or " "
+        elif op in ("ANY", "NOT_LITERAL"):
+            out += " "
+    return out
+
+
+def test_gate_lets_every_wording_through():
+    from re import _parser
+
+    r = random.Random(4)
+    seen = Counter()
+    for p in (residue.ERROR, residue.FOLLOW_UP, residue.FILLER, residue.BLANK, residue.SCRIPT):
+        tree = _parser.parse(p.pattern, p.flags)
+        for _ in range(3000):
+            line = r.choice(["", "", "Oh, "]) + random_match(r, tree) + r.choice(["", "s", " here", " must be on"])
+            if line.strip() and residue.state(line):
+                seen[residue.state(line)] += 1
+                assert residue.may_tell(line), line
+    assert min(seen[k] for k in ("error", "follow", "filler", "blank", "script")) > 100
+
+
+@pytest.mark.parametrize("text", ["Consectetur adipiscing elit, sed eiusmod tempor", "That link is dead", "500 internal", "403 unauthorised"])
+def test_residue_whose_words_the_gate_left_out(text):
+    assert residue.examine(text)[0]
+
+
+def test_blank_lines_of_letters_count():
+    assert all(residue.examine(f"Soup\n{x}")[2] for x in ("N/A", "xxx"))  # half of a page of weak wording
+
+
 # packing
 
 
