@@ -25,6 +25,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_CAPACITIES = 1000
 ITEMS_PER_GROUP, FAN_IN, NEARLY_FULL = 40_000, 8, 0.995
+#: Levels in a row that may join no two bins before the tree ends.
+IDLE_LEVELS = 2
 
 
 def token_sizes(df: DataFrame, key: str, text: str, tokenizers: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -122,27 +124,27 @@ def pack(sizes: DataFrame, key: str, size: str, capacities: DataFrame, capacity_
     # the row number sets the group: items of all sizes spread evenly, whatever their keys
     packed = checkpoint(_packed(open_.select("capacity_id", "max_tokens", "item", "size"), F.pmod(F.xxhash64("item"), F.lit(groups)).cast("int"), 0))
     moved = None
-    level, current = 0, packed
-    while groups > 1:
+    level, current, idle = 0, packed, 0
+    while groups > 1 and idle < IDLE_LEVELS:
         level += 1
         bins = current.groupBy("capacity_id", "max_tokens", "bin").agg(F.first("fill").alias("size"))
         residual = bins.where(F.col("size") < F.lit(nearly_full) * F.col("max_tokens"))
         least = residual.groupBy("capacity_id").agg(F.min("size").alias("_least"))
         residual = residual.join(F.broadcast(least), "capacity_id").where(F.col("size") + F.col("_least") <= F.col("max_tokens")).drop("_least")  # one row for each capacity
-        groups = math.ceil(groups / fan_in)
         left = residual.select("capacity_id", "max_tokens", F.col("bin").alias("item"), F.col("size").cast("int").alias("size"))
         # a group never takes more than its share of the residual bins
-        count = left.groupBy("capacity_id").count().agg(F.max("count")).first()[0] or 0
-        spread = max(groups, math.ceil(count / items_per_group))
+        count, total = left.groupBy("capacity_id").count().agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+        spread = max(math.ceil(groups / fan_in), math.ceil(count / items_per_group))
         current = checkpoint(_packed(left, F.pmod(F.xxhash64("item"), F.lit(spread)).cast("int"), level))
+        # bins have new names at each level, so that other ones meet even in as many groups
+        idle = idle + 1 if spread == groups and current.select("capacity_id", "bin").distinct().count() == total else 0
+        groups = spread
         step = current.select("capacity_id", F.col("item").alias("bin"), F.col("bin").alias("to"))
         if moved is None:
             moved = step
         else:
             onward = step.select("capacity_id", F.col("bin").alias("to"), F.col("to").alias("next"))
             moved = moved.join(onward, ["capacity_id", "to"], "left").select("capacity_id", "bin", F.coalesce("next", "to").alias("to")).unionByName(step)
-        if spread > groups:
-            break
     final = packed.select("capacity_id", "item", "bin")
     if moved is not None:
         final = final.join(moved, ["capacity_id", "bin"], "left").select("capacity_id", "item", F.coalesce("to", "bin").alias("bin"))

@@ -256,6 +256,19 @@ def test_packing_invariants(spark, per_group):
         assert len(fill) <= 1.05 * len(packing.best_fit(pieces, most)[1]) + 2
 
 
+def test_tree_goes_on_where_residual_bins_exceed_a_group(spark):
+    # a few items to a group, so that small ones often meet no large one
+    sizes = [90] * 100 + [5] * 40 + [15] * 12
+    df = spark.createDataFrame(list(enumerate(sizes)), "k int, n int")
+    caps = spark.createDataFrame([(1, 100)], "capacity_id int, max_tokens int")
+    packed = packing.pack(df, "k", "n", caps, items_per_group=4, fan_in=8).collect()
+    fill = Counter()
+    for p in packed:
+        fill[p.container] += p.piece_tokens
+    assert sum(fill.values()) == sum(sizes) and max(fill.values()) <= 100
+    assert max(int(p.container.split(".")[0]) for p in packed) > 1  # it once ended after one level
+
+
 def test_sizes_are_the_tokenizers(spark, sf):
     from tokenizers import Tokenizer
 
