@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import plines, pstrip, replace_each, rx, words_rx
+from ..functions.text import LINE_END, pstrip, replace_each, rx, words_rx
 
 # Fixed values of the cleaner.
 FULL_WIDTH = "，。！？【】（）％＃＠＆：；“”‘’《》"
@@ -55,13 +55,17 @@ def drop_noise(col: Column) -> Column:
 
 
 def tidy_lines(col: Column) -> Column:
-    """Bullets and leading punctuation off each line, lines of punctuation alone dropped, blank runs collapsed."""
-    bullet = rx(rf"^\s*{BULLETS}\s+")
-    only_marks = r"\A[,:;.!?)\"'`\-*×]+\z"
-    leading = rx(r"^[,:;.!?)\"'`\-]+\s*")
-    unbulleted = F.transform(plines(col), lambda line: F.regexp_replace(line, bullet, ""))
-    kept = F.filter(unbulleted, lambda line: ~pstrip(line).rlike(only_marks))
-    joined = F.array_join(F.transform(kept, lambda line: F.regexp_replace(line, leading, "")), "\n")
+    """Bullets and leading punctuation off each line, lines of punctuation alone dropped, blank runs collapsed.
+
+    Line ends of all kinds become one kind first; then each rule is one
+    multi-line pattern over the whole text, so no text is cut into arrays.
+    """
+    blank = r"[\s\x{1c}-\x{1f}&&[^\n]]"  # what is left of blanks within a line
+    head = "(?dUm)^"
+    lines = F.regexp_replace(col, LINE_END, "\n")
+    unbulleted = F.regexp_replace(lines, f"{head}{blank}*+{BULLETS}{blank}++", "")
+    kept = F.regexp_replace(unbulleted, head + blank + r"*+[,:;.!?)\"'`\-*×]++" + blank + r"*+(?:\n|\z)", "")
+    joined = F.regexp_replace(kept, head + r"[,:;.!?)\"'`\-]++" + blank + "*+", "")
     return pstrip(F.regexp_replace(joined, "\n{2,}", "\n"))
 
 

@@ -12,9 +12,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
-from ..functions.text import first_contained, pstrip, rx
+from ..functions.text import pstrip, rx
+from ..session import checkpoint
 from ..sources.arrow import arrow_flat_map
 
 # Required keys, keywords and patterns of the rules.
@@ -32,8 +32,10 @@ EMOJI = r"[\x{1F300}-\x{1FAFF}\x{2700}-\x{27BF}\x{2600}-\x{26FF}]"
 FANCY_BULLETS = "[•●○■□▢◆◇▪▫]"
 CJK_PUNCTUATION = "[，。！？【】（）％＃＠：；、“”‘’—…《》·]"
 MATH_SYMBOLS = "±×÷√∑∏≈≠≤≥∞∫∂∆∇"
+MATH_SPANS = (r"\$(?=[^$])(?:[^$]*\\\$)*[^$]*\$", r"(?s)\\\[.+?\\\]")
 MARKDOWN_IMAGE = r"!\[[^\]]*\]\([^)]+\)"
 IMAGE_URL_END = r"(?i)\.(?:png|jpe?g|gif|webp)(?:\?|#|$)"
+IMAGE_URL_AT = r"https?://\S*\.(?i:png|jpe?g|gif|webp)(?:[?#]|(?!\S))"
 IMAGE_LINE = r"\A\[Image:\s*https?://[^\]\s]+?\]\z"
 EMAIL = r"\b[a-zA-Z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 PHONE = r"\b(?:\+?\d{1,3}[-.\s]?)?(?:\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4})\b"
@@ -147,13 +149,18 @@ def is_hex_id(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\A(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{64})\z"), F.lit(False))
 
 
-def noise_keyword(text: Column) -> Column:
-    """The first noise word: two whole-word patterns, then substrings in their order."""
-    low = F.lower(text)
+def first_word(low: Column, words: list[str]) -> Column:
+    """The first of ``words``, in their order, that the text contains; null if none. No higher-order function, so it compiles."""
+    return F.coalesce(*[F.when(low.contains(w), F.lit(w)) for w in words])
+
+
+def noise_keyword(text: Column, low: Column | None = None) -> Column:
+    """The first noise word: two whole-word patterns, then substrings in their order. ``low``: the text in lower case, where it is at hand."""
+    low = F.lower(text) if low is None else low
     return F.coalesce(
-        F.when(text.rlike(rx(r"\breferences\b", ignore_case=True)), F.lit("references")),
-        F.when(text.rlike(rx(r"\bread\s+more\b", ignore_case=True)), F.lit("read more")),
-        first_contained(low, NOISE_KEYWORDS),
+        F.when(low.contains("reference") & text.rlike(rx(r"\breferences\b", ignore_case=True)), F.lit("references")),
+        F.when(low.contains("read") & text.rlike(rx(r"\bread\s+more\b", ignore_case=True)), F.lit("read more")),
+        first_word(low, NOISE_KEYWORDS),
     )
 
 
@@ -162,48 +169,40 @@ def bare_image_urls(content: Column) -> Column:
     urls = F.filter(F.regexp_extract_all(content, F.lit(rx(r"https?://\S+")), F.lit(0)), lambda u: u.rlike(IMAGE_URL_END))
     lines = F.split(content, "\n", -1)
     held = lambda u: F.get(F.filter(lines, lambda x: x.contains(u)), F.lit(0))
-    return F.filter(urls, lambda u: ~pstrip(held(u)).rlike(IMAGE_LINE))
-
-
-@F.pandas_udf(BooleanType())
-def _math_outside(texts):
-    import re
-
-    spans = [re.compile(r"\$(?:\\\$|[^$])+\$"), re.compile(r"\\\[[\s\S]+?\\\]")]
-
-    def outside(text):
-        if text is None:
-            return False
-        shielded = set()
-        for pattern in spans:
-            for m in pattern.finditer(text):
-                shielded.update(range(*m.span()))
-        return any(ch in MATH_SYMBOLS and i not in shielded for i, ch in enumerate(text))
-
-    return texts.map(outside)
+    # an address within an image line ends in its bracket, so few texts go past this test
+    return F.when(content.rlike(rx(IMAGE_URL_AT)), F.filter(urls, lambda u: ~pstrip(held(u)).rlike(IMAGE_LINE))).when(content.isNotNull(), F.array().cast("array<string>"))
 
 
 def unprotected_math(content: Column) -> Column:
-    """A mathematical sign outside dollar and bracket spans; Python sees only texts that hold a sign and a span's mark."""
-    some = content.rlike(f"[{MATH_SYMBOLS}]")
-    spans = content.contains("$") | content.contains("\\[")
-    return F.when(~some, F.lit(False)).when(~spans, F.lit(True)).otherwise(_math_outside(F.when(some & spans, content)))
+    """A mathematical sign outside dollar and bracket spans.
+
+    Signs within dollar spans become letters where they stand, so bracket spans
+    are found in a text of the same length, whatever they overlap.
+    """
+    sign = f"[{MATH_SYMBOLS}]"
+    dollars, brackets = MATH_SPANS
+    between = F.split(content, dollars, -1)
+    within = F.transform(F.regexp_extract_all(content, F.lit(dollars), F.lit(0)), lambda x: F.translate(x, MATH_SYMBOLS, "x" * len(MATH_SYMBOLS)))
+    shielded = F.concat_ws("", F.flatten(F.zip_with(between, within, lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))))
+    outside = F.regexp_replace(shielded, brackets, "").rlike(sign)
+    return F.when(~content.rlike(sign), F.lit(False)).when(~(content.contains("$") | content.contains("\\[")), F.lit(True)).otherwise(outside)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A finding: where it fires, its tag and message, or messages where one rule gives many."""
+    """A finding: where it fires, its tag and message.
+
+    ``word``: a text, null where the rule doesn't fire, that ends the message.
+    ``many``: an array of such texts, one finding for each.
+    """
 
     tag: str
-    message: Column
+    message: str = ""
     when: Column = field(default=None)
+    word: Column = field(default=None)
     many: Column = field(default=None)
 
 
-def _lit(text: str) -> Column:
-    return F.lit(text)
-
-
 def structure_rules(p: Policy) -> list[Rule]:
     obj = F.col("status") == "object"
     meta = obj & (F.col("meta_state") == "object")
@@ -211,24 +210,24 @@ def structure_rules(p: Policy) -> list[Rule]:
     kind = info & (F.col("content_info_state") == "object")
     is_one = lambda c, allowed: F.coalesce(F.col(c).isin(*allowed), F.lit(False))
     listed = lambda values: "[" + ", ".join(f"'{v}'" for v in values) + "]"
-    missing = lambda name, col, where: Rule("R1", None, many=F.when(where, F.transform(col, lambda k: F.concat(F.lit(f"缺少字段 `{name}."), k, F.lit("`")))))
+    missing = lambda name, col, where: Rule("R1", f"缺少字段 `{name}.", many=F.when(where & (F.size(col) > 0), F.transform(col, lambda k: F.concat(k, F.lit("`")))))
     return [
-        Rule("R1", _lit("缺少字段 `id`"), obj & (F.col("id_state") == "absent")),
-        Rule("R1", _lit("缺少字段 `text`"), obj & (F.col("text_state") == "absent")),
-        Rule("R1", _lit("缺少或非法字段 `meta`"), obj & ~meta),
-        Rule("R1", _lit("缺少或非法字段 `meta.data_info`"), meta & ~info),
+        Rule("R1", "缺少字段 `id`", obj & (F.col("id_state") == "absent")),
+        Rule("R1", "缺少字段 `text`", obj & (F.col("text_state") == "absent")),
+        Rule("R1", "缺少或非法字段 `meta`", obj & ~meta),
+        Rule("R1", "缺少或非法字段 `meta.data_info`", meta & ~info),
         missing("meta.data_info", F.col("missing_data"), info),
-        Rule("R1", _lit("缺少或非法字段 `meta.content_info`"), info & ~kind),
+        Rule("R1", "缺少或非法字段 `meta.content_info`", info & ~kind),
         missing("meta.content_info", F.col("missing_content"), kind),
-        Rule("R1", _lit(f"meta.collector 必须为 '{p.collector}'"), info & ~is_one("collector", [p.collector])),
-        Rule("R1", _lit("meta.collected_time 非 'YYYY-MM-DDThh:mm'"), info & ~is_minute(F.col("collected_time"))),
-        Rule("R1", _lit("meta.data_info.lang 仅允许 " + " 或 ".join(f"'{x}'" for x in p.langs)), info & ~is_one("lang", p.langs)),
-        Rule("R1", _lit(f"meta.data_info.type 不在允许集合 {listed(p.types)}"), info & ~is_one("type", p.types)),
-        Rule("R1", _lit("meta.data_info.processing_date 非 'YYYY-MM-DD'"), info & ~is_date(F.col("processing_date"))),
-        Rule("R1", _lit(f"meta.data_info.delivery_version 必须为 '{p.version}'"), info & ~is_one("delivery_version", [p.version])),
-        Rule("R1", _lit(f"meta.content_info.domain 不在允许集合 {listed(p.domains)}"), kind & ~is_one("domain", p.domains)),
-        Rule("R1", _lit(f"meta.content_info.subdomain 不在允许集合 {listed(p.subdomains)}"), kind & ~is_one("subdomain", p.subdomains)),
-        Rule("R1", _lit("id 需为 32/40/64 位 hex"), info & (F.col("id_state") != "absent") & ~is_hex_id(F.col("id"))),
+        Rule("R1", f"meta.collector 必须为 '{p.collector}'", info & ~is_one("collector", [p.collector])),
+        Rule("R1", "meta.collected_time 非 'YYYY-MM-DDThh:mm'", info & ~is_minute(F.col("collected_time"))),
+        Rule("R1", "meta.data_info.lang 仅允许 " + " 或 ".join(f"'{x}'" for x in p.langs), info & ~is_one("lang", p.langs)),
+        Rule("R1", f"meta.data_info.type 不在允许集合 {listed(p.types)}", info & ~is_one("type", p.types)),
+        Rule("R1", "meta.data_info.processing_date 非 'YYYY-MM-DD'", info & ~is_date(F.col("processing_date"))),
+        Rule("R1", f"meta.data_info.delivery_version 必须为 '{p.version}'", info & ~is_one("delivery_version", [p.version])),
+        Rule("R1", f"meta.content_info.domain 不在允许集合 {listed(p.domains)}", kind & ~is_one("domain", p.domains)),
+        Rule("R1", f"meta.content_info.subdomain 不在允许集合 {listed(p.subdomains)}", kind & ~is_one("subdomain", p.subdomains)),
+        Rule("R1", "id 需为 32/40/64 位 hex", info & (F.col("id_state") != "absent") & ~is_hex_id(F.col("id"))),
     ]
 
 
@@ -236,68 +235,97 @@ def text_rules(p: Policy) -> list[Rule]:
     obj = F.col("status") == "object"
     said = F.col("text_state").isin("string", "absent")
     return [
-        Rule("R1", _lit("`text` 必须为字符串"), obj & ~said),
-        Rule("R9", _lit(f"文本长度 < {p.min_text}"), obj & said & (F.length(F.coalesce("text", F.lit(""))) < p.min_text)),
+        Rule("R1", "`text` 必须为字符串", obj & ~said),
+        Rule("R9", f"文本长度 < {p.min_text}", obj & said & (F.length(F.coalesce("text", F.lit(""))) < p.min_text)),
     ]
 
 
 def content_rules() -> list[Rule]:
+    """Rules over ``_c``, the content where it is a text (``_low`` in lower case)."""
     obj = F.col("status") == "object"
-    c = F.when(obj & F.col("content_state").isin("string", "absent"), F.coalesce("content", F.lit("")))
-    low = F.lower(c)
+    c, low = F.col("_c"), F.col("_low")
     english = F.when(F.col("lang_state") == "absent", F.lit(True)).otherwise(F.coalesce(F.col("lang") == "en", F.lit(False)))
-    worded = lambda tag, head, word: Rule(tag, None, many=F.transform(F.array_compact(F.array(word)), lambda w: F.concat(F.lit(head), w)))
     has = lambda pattern, **kw: c.rlike(rx(pattern, **kw))
     return [
-        Rule("R1", _lit("`meta.data_info.content` 必须为字符串"), obj & ~F.col("content_state").isin("string", "absent")),
-        Rule("R2", _lit("正文内禁止 Markdown 标题（# 开头的行）"), has(r"^#+\s", multiline=True)),
-        worded("R2", "疑似模板头/多主题内容触发关键字：", first_contained(low, TEMPLATE_HEADS)),
-        Rule("R3", _lit("存在连续 >=2 个换行符"), c.contains("\n\n")),
-        Rule("R3", _lit("含 emoji/艺术字/特殊装饰符"), c.rlike(EMOJI) | c.rlike(FANCY_BULLETS)),
-        Rule("R3", _lit("中英文标点混用或与 lang 不匹配"), english & c.rlike(CJK_PUNCTUATION)),
-        Rule("R3", _lit("存在异常缩进行"), has(r"^(?: {4,}|\t+)\S", multiline=True)),
-        Rule("R4", _lit("存在 HTML 标签或实体残留"), has(r"<\s*/?\s*[a-zA-Z][^>]*>") | c.rlike(r"&[a-zA-Z0-9#]+;")),
-        worded("R4", "检出网页噪音（广告/导航/版权/推荐/FAQ/社交/HTML 等）：", noise_keyword(c)),
-        Rule("R5", _lit("禁止 Markdown 图片语法 ![alt](...)"), c.rlike(MARKDOWN_IMAGE)),
-        Rule("R5", _lit("禁止 Markdown 表格行（|...|）"), has(r"^\s*\|.+\|\s*$", multiline=True)),
-        Rule("R5", _lit("检出未被 $...$ 或 \\[...\\] 包裹的数学符号（±×÷√∑ 等）"), unprotected_math(c)),
-        Rule("R5", None, many=F.transform(bare_image_urls(c), lambda u: F.concat(F.lit("图片需用 '[Image: URL]' 行表示："), u))),
-        Rule("R6", _lit("PII 掩码只能为 'xxx'，不允许 'xxxx' 或 'xxx@/ @xxx' 等变体"), F.when(c.contains("xxx"), has(r"\bxxxx+\b") | has(r"\bxxx@|@xxx\b")).otherwise(False)),
-        Rule("R6", _lit("检测到邮箱明文，应匿名为 'xxx'"), F.when(c.contains("@"), has(EMAIL)).otherwise(False)),
-        Rule("R6", _lit("检测到电话号码明文，应匿名为 'xxx'"), has(PHONE)),
-        Rule("R6", _lit("检测到银行卡号/信用卡号明文，应匿名为 'xxx'"), has(CARD)),
-        Rule("R6", _lit("检测到社会安全号明文，应匿名为 'xxx'"), has(SSN)),
-        Rule("R3", _lit("仍存在列表前缀（-/*/▢ 等），应在清洗阶段去除"), has(r"^\s*[-*▢]\s+\S", multiline=True)),
+        Rule("R1", "`meta.data_info.content` 必须为字符串", obj & ~F.col("content_state").isin("string", "absent")),
+        Rule("R2", "正文内禁止 Markdown 标题（# 开头的行）", c.contains("#") & has(r"^#+\s", multiline=True)),
+        Rule("R2", "疑似模板头/多主题内容触发关键字：", word=first_word(low, TEMPLATE_HEADS)),
+        Rule("R3", "存在连续 >=2 个换行符", c.contains("\n\n")),
+        Rule("R3", "含 emoji/艺术字/特殊装饰符", c.rlike(EMOJI) | c.rlike(FANCY_BULLETS)),
+        Rule("R3", "中英文标点混用或与 lang 不匹配", english & c.rlike(CJK_PUNCTUATION)),
+        Rule("R3", "存在异常缩进行", (c.contains("    ") | c.contains("\t")) & has(r"^(?: {4,}|\t+)\S", multiline=True)),
+        Rule("R4", "存在 HTML 标签或实体残留", (c.contains("<") & has(r"<\s*/?\s*[a-zA-Z][^>]*>")) | (c.contains("&") & c.rlike(r"&[a-zA-Z0-9#]+;"))),
+        Rule("R4", "检出网页噪音（广告/导航/版权/推荐/FAQ/社交/HTML 等）：", word=noise_keyword(c, low)),
+        Rule("R5", "禁止 Markdown 图片语法 ![alt](...)", c.contains("![") & c.rlike(MARKDOWN_IMAGE)),
+        Rule("R5", "禁止 Markdown 表格行（|...|）", c.contains("|") & has(r"^\s*\|.+\|\s*$", multiline=True)),
+        Rule("R5", "检出未被 $...$ 或 \\[...\\] 包裹的数学符号（±×÷√∑ 等）", many=F.when(unprotected_math(c), F.array(F.lit("")))),
+        Rule("R5", "图片需用 '[Image: URL]' 行表示：", many=bare_image_urls(c)),
+        Rule("R6", "PII 掩码只能为 'xxx'，不允许 'xxxx' 或 'xxx@/ @xxx' 等变体", c.contains("xxx") & (has(r"\bxxxx+\b") | has(r"\bxxx@|@xxx\b"))),
+        Rule("R6", "检测到邮箱明文，应匿名为 'xxx'", c.contains("@") & has(EMAIL)),
+        Rule("R6", "检测到电话号码明文，应匿名为 'xxx'", has(PHONE)),
+        Rule("R6", "检测到银行卡号/信用卡号明文，应匿名为 'xxx'", has(CARD)),
+        Rule("R6", "检测到社会安全号明文，应匿名为 'xxx'", has(SSN)),
+        Rule("R3", "仍存在列表前缀（-/*/▢ 等），应在清洗阶段去除", has(r"^\s*[-*▢]\s+\S", multiline=True)),
     ]
 
 
 def line_rules() -> list[Rule]:
     return [
-        Rule("R1", _lit("空行/非 JSON 对象"), F.col("status") == "blank"),
-        Rule("R1", F.concat(F.lit("JSON 解析失败："), F.col("error")), F.col("status") == "bad"),
-        Rule("R1", _lit("记录必须为 JSON 对象"), F.col("status") == "non_object"),
+        Rule("R1", "空行/非 JSON 对象", F.col("status") == "blank"),
+        Rule("R1", "JSON 解析失败：", word=F.when(F.col("status") == "bad", F.coalesce("error", F.lit("")))),
+        Rule("R1", "记录必须为 JSON 对象", F.col("status") == "non_object"),
     ]
 
 
 def with_findings(checked: DataFrame, policy: Policy | None = None) -> DataFrame:
-    """The checked form with ``findings array<struct<ord, tag, msg>>`` and ``passed``. No shuffle."""
+    """The checked form with ``findings array<struct<ord, tag, msg>>`` and ``passed``. No shuffle.
+
+    Three projections: the content and its lower case; all plain conditions as
+    bits of one number, and the words of messages, which compile; the arrays,
+    which don't compile but only look at bits and at what few rows have. Each
+    is read more than once by the next, so they aren't run together again.
+    """
     policy = policy or Policy()
     rules = line_rules() + structure_rules(policy) + text_rules(policy) + content_rules()
+    text = F.when((F.col("status") == "object") & F.col("content_state").isin("string", "absent"), F.coalesce("content", F.lit("")))
+    bits, words = F.lit(0).cast("bigint"), {}
+    for i, r in enumerate(rules):
+        if r.when is not None:
+            bits = bits + F.when(r.when, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        elif r.word is not None:
+            words[i] = f"_word{i}"
+    judged = checked.withColumn("_c", text).withColumn("_low", F.lower("_c")).select("*", bits.alias("_bits"), *[rules[i].word.alias(name) for i, name in words.items()])
     none = F.array().cast("array<struct<ord:int,tag:string,msg:string>>")
 
-    def finding(i: int, tag: str, msg: Column) -> Column:
-        return F.struct(F.lit(i).alias("ord"), F.lit(tag).alias("tag"), msg.alias("msg"))
+    def finding(i: int, msg: Column) -> Column:
+        return F.struct(F.lit(i).alias("ord"), F.lit(rules[i].tag).alias("tag"), msg.alias("msg"))
 
-    def each(i: int, tag: str):
-        return lambda msg: finding(i, tag, msg)
+    def each(i: int):
+        return lambda end: finding(i, F.concat(F.lit(rules[i].message), end))
 
-    parts = []
+    parts, fires = [], [F.col("_bits") != 0]
     for i, r in enumerate(rules):
         if r.many is not None:
-            parts.append(F.coalesce(F.transform(r.many, each(i, r.tag)), none))
+            parts.append(F.coalesce(F.transform(r.many, each(i)), none))
+            fires.append(F.coalesce(F.size(r.many) > 0, F.lit(False)))
+        elif i in words:
+            parts.append(F.when(F.col(words[i]).isNotNull(), F.array(each(i)(F.col(words[i])))).otherwise(none))
+            fires.append(F.col(words[i]).isNotNull())
         else:
-            parts.append(F.when(r.when, F.array(finding(i, r.tag, r.message))).otherwise(none))
-    return checked.withColumn("findings", F.concat(*parts)).withColumn("passed", (F.col("status") == "object") & (F.size("findings") == 0))
+            parts.append(F.when(F.getbit("_bits", F.lit(i)) == 1, F.array(finding(i, F.lit(r.message)))).otherwise(none))
+    any_fires = fires[0]
+    for x in fires[1:]:
+        any_fires = any_fires | x
+    return judged.withColumn("findings", F.concat(*parts)).withColumn("passed", (F.col("status") == "object") & ~any_fires).drop("_c", "_low", "_bits", *words.values())
+
+
+#: What findings, rates and duplicates need of a checked record.
+KEPT = ("path", "line", "status", "id_state", "id", "url", "findings", "passed")
+
+
+def judged_once(checked: DataFrame, policy: Policy | None = None) -> DataFrame:
+    """``with_findings`` without the texts, written once, for results that are read several times."""
+    return checkpoint(with_findings(checked, policy).select(*KEPT))
 
 
 def findings(found: DataFrame) -> DataFrame:

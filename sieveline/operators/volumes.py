@@ -6,22 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import checkpoint
+
 SOFT_MAX, MIN_LINES, CHUNK = 10_010, 10_000, 10_000
+#: ``monotonically_increasing_id`` holds the partition above these bits and the row's place in it below them.
+PLACE_BITS = 33
 
 
 def global_index(df: DataFrame, group: list[str], order: list[str], buckets: int | None = None) -> DataFrame:
-    """``df`` with ``idx``, its 0-based place by ``group`` then ``order``.
-
-    Rows are range-partitioned and sorted; each partition is counted, and the
-    counts, one for each partition, give the offsets. No window spans all rows.
+    """``df`` with ``idx``, its 0-based place by ``group`` then ``order``, nulls first.
+
+    Rows are range-partitioned, sorted and written once. Range bounds come from
+    a sample, so counts and numbers must be taken of one and the same layout:
+    the checkpoint. Its partitions are counted, and the counts, one for each
+    partition, give the offsets. No window spans all rows. Rows equal in all
+    of the columns follow each other in any order; columns of ``df`` that begin
+    with ``_at_`` are not allowed.
     """
     parts = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
-    placed = df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id())
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # one row for each partition
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*keys)) - 1
-    return placed.withColumn("_local", local).join(F.broadcast(offsets), "_part").withColumn("idx", (F.col("_before") + F.col("_local")).cast("bigint")).drop("_part", "_local", "_before")
+    placed = checkpoint(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)).withColumn("_at_row", F.monotonically_increasing_id())
+    part = F.shiftrightunsigned("_at_row", PLACE_BITS).cast("int")
+    counts = placed.groupBy(part.alias("_at_part")).agg(F.count(F.lit(1)).alias("_at_n"))
+    offsets = counts.select("_at_part", (F.sum("_at_n").over(Window.orderBy("_at_part")) - F.col("_at_n")).alias("_at_before"))  # one row for each partition
+    place = F.col("_at_row").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return placed.withColumn("_at_part", part).join(F.broadcast(offsets), "_at_part").withColumn("idx", F.col("_at_before") + place).select(*[F.col(f"`{c}`") for c in df.columns if c != "idx"], "idx")
 
 
 def volume_of(idx: Column, n: Column, soft_max: int = SOFT_MAX, min_lines: int = MIN_LINES) -> Column:

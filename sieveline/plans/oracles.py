@@ -127,7 +127,7 @@ FROM r JOIN s ON r.domain = s.domain""",
     "finding_counts": "SELECT path, upper(tag) AS tag, count(*) AS n FROM finding GROUP BY 1, 2",
     "reject_reasons": "SELECT lower(reason) AS reason, count(*) AS n, count(DISTINCT url) AS urls FROM rejected GROUP BY 1",
     "pass_rates": "SELECT path, CASE WHEN total > 0 THEN passed / total * 100 ELSE 0.0 END AS pass_rate FROM file_summary",
-    "merge_volumes": "WITH i AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS g, count(*) OVER () AS n FROM lineitem), v AS (SELECT *, g // 10011 + 1 AS own, ceil(n / 10011) AS last FROM i) SELECT l_orderkey, l_linenumber, CAST(CASE WHEN own = last AND last > 1 AND n - (last - 1) * 10011 < 10000 THEN last - 1 ELSE own END AS BIGINT) AS volume FROM v",
+    "merge_volumes": "WITH i AS (SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, row_number() OVER (ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST, l_shipdate NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM lineitem), v AS (SELECT *, g // 10011 + 1 AS own, ceil(n / 10011) AS last FROM i) SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, g AS idx, CAST(CASE WHEN own = last AND last > 1 AND n - (last - 1) * 10011 < 10000 THEN last - 1 ELSE own END AS BIGINT) AS volume FROM v",
     "rolling_parts": "SELECT CAST(g // 400 + 1 AS BIGINT) AS part, count(*) AS n, max(g) AS last_idx FROM (SELECT row_number() OVER (ORDER BY path, line) - 1 AS g FROM example_clean) GROUP BY 1",
     "preview_blocks": rf"""
 SELECT rec_no, CAST(pos AS INTEGER) AS pos, kind, CASE WHEN kind = 'image' THEN a WHEN kind = 'heading' THEN {_strip('b[4:]')} WHEN starts_with(b, '[Image:') OR kind = 'blank' THEN b ELSE x END AS value

@@ -48,12 +48,12 @@ def validate(spark: SparkSession, inputs: list[str] | str, strict: bool = False,
     broken = rules.unreadable_files(jsonl.read_binary(spark, paths))
     lines = jsonl.read_lines(spark, paths).join(broken.select("path"), "path", "left_anti")
     checked = rules.from_lines(lines)
-    found = rules.with_findings(checked, policy)
+    found = rules.judged_once(checked, policy)  # lines are parsed and judged once
     no_order = lambda df: df.withColumn("ord", F.lit(None).cast("int")).select("path", "line", "ord", "tag", "msg")
-    every = rules.findings(found).unionByName(no_order(broken)).unionByName(no_order(rules.duplicate_urls(checked))).unionByName(no_order(rules.duplicate_ids(checked)))
+    every = rules.findings(found).unionByName(no_order(broken)).unionByName(no_order(rules.duplicate_urls(found))).unionByName(no_order(rules.duplicate_ids(found)))
     if strict:
         names = spark.createDataFrame([(p,) for p in paths], "path string")
-        every = every.unionByName(no_order(rules.short_files(names, checked)))
+        every = every.unionByName(no_order(rules.short_files(names, found)))
     return Validation(every, rules.summary(found))
 
 

@@ -276,8 +276,8 @@ def pass_rates(spark, sf_dir):
 
 
 def merge_volumes(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return volumes.merge_volumes(lines, ["l_orderkey"], ["l_linenumber"]).select("l_orderkey", "l_linenumber", "volume")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    return volumes.merge_volumes(lines, ["l_orderkey"], ["l_linenumber", "l_quantity", "l_shipdate"])
 
 
 def merge_volume_sizes(spark, sf_dir):
@@ -294,13 +294,13 @@ def rejected_json(spark, sf_dir):
 
 
 def report_lines(spark, sf_dir):
-    found = validate.with_findings(_checked(spark, sf_dir))
+    found = validate.judged_once(_checked(spark, sf_dir))
     return sinks.report_lines(validate.findings(found), validate.summary(found), "2025-01-01T00:00:00Z").select("path", "text")
 
 
 def report_overall(spark, sf_dir):
-    found = validate.with_findings(_checked(spark, sf_dir))
-    every = validate.findings(found).select("path", "line", "tag", "msg").unionByName(validate.duplicate_urls(_checked(spark, sf_dir))).unionByName(validate.duplicate_ids(_checked(spark, sf_dir)))
+    found = validate.judged_once(_checked(spark, sf_dir))
+    every = validate.findings(found).select("path", "line", "tag", "msg").unionByName(validate.duplicate_urls(found)).unionByName(validate.duplicate_ids(found))
     return sinks.overall_report(every, validate.summary(found), "2025-01-01T00:00:00Z").select("text")
 
 

@@ -25,10 +25,14 @@ def ship(spark: SparkSession) -> None:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts lineage through the shared folder of ``spark.checkpoint.dir``, so that a lost executor costs nothing written.
 
-    A temporary folder serves only where the session names none, as in tests.
+    A temporary folder serves only on one machine (a local master), as in
+    tests; on a cluster a session without the setting is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), f"sieveline-{os.getpid()}"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), f"sieveline-{os.getpid()}"))
     return df.checkpoint(eager=True)

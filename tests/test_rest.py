@@ -39,6 +39,18 @@ def test_volume_formula_equals_writing(spark):
             assert [r.v for r in df.orderBy("id").collect()] == [i + 1 for i, part in enumerate(want) for _ in part]
 
 
+def test_global_index_of_millions_with_payload(spark):
+    n = 3_000_000
+    df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(10**12)).alias("k"), "id", F.concat(F.lit("row "), "id").alias("payload"))
+    got = volumes.global_index(df, [], ["k", "id"], buckets=32)
+    least, most, distinct = got.agg(F.min("idx"), F.max("idx"), F.count_distinct("idx")).first()
+    assert (least, most, distinct) == (0, n - 1, n)
+    # each row after the first follows a smaller one, and carries its own payload
+    later = got.select((F.col("idx") + 1).alias("idx"), F.struct("k", "id").alias("before"))
+    wrong = got.join(later, "idx").where((F.col("before") >= F.struct("k", "id")) | (F.col("payload") != F.concat(F.lit("row "), "id")))
+    assert wrong.count() == 0
+
+
 def test_rolling_parts(spark):
     df = spark.range(20).select(F.lit("f").alias("p"), F.col("id").alias("l"))
     assert sorted(r["count"] for r in sinks.rolling(df, ["p"], ["l"], 10).groupBy("part").count().collect()) == [10, 10]

@@ -1,12 +1,14 @@
 import random
 
-import plain
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions.text import plines, pstrip
 from sieveline.operators import clean, normalize
 from sieveline.operators.extract import strip_ui_headers
+from sieveline.plans.oracles import ORACLES
 
 
 def col_values(spark, values, make):
@@ -27,11 +29,20 @@ def test_strip_and_lines_are_pythons(spark):
     assert col_values(spark, values, plines) == [v.splitlines() for v in values]
 
 
-def test_clean_text_equals_plain_python_once_and_twice(spark):
-    values = [*strings(2500, 2), None, ""]
-    once = col_values(spark, values, clean.clean_text)
-    assert once == [plain.clean(v) for v in values]
-    assert col_values(spark, once, clean.clean_text) == [plain.clean(v) for v in once]
+def by_sql(query, values):
+    """The query's SQL over texts of our own."""
+    con = duckdb.connect()
+    con.register("texts", pd.DataFrame({"rec_no": range(len(values)), "x": pd.Series(values, dtype=object)}))
+    con.execute("CREATE VIEW example_clean AS SELECT rec_no, {'data_info': {'content': x, 'url': 'u'}} AS meta FROM texts")
+    return [r[0] for r in con.execute(f"SELECT clean FROM ({ORACLES[query]}) ORDER BY rec_no").fetchall()]
+
+
+@pytest.mark.parametrize(("query", "step"), [("clean_lines", clean.tidy_lines), ("clean_noise", clean.drop_noise), ("clean_full", clean.clean_text)])
+def test_cleaner_equals_sql_on_random_texts(spark, query, step):
+    values = [*strings(2500, 2), ""]
+    once = col_values(spark, values, step)
+    assert once == by_sql(query, values)
+    assert col_values(spark, once, step) == by_sql(query, once)
 
 
 @pytest.mark.parametrize(
