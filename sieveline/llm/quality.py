@@ -117,7 +117,7 @@ def statistics(text: str, url: str | None = None, common: frozenset[str] | None
     counts = Counter(words)
     kinds = Counter()
     for line in lines:
-        if not (len(line) < 24 and boilerplate.HEADING.match(boilerplate.plain(line))):
+        if not boilerplate.HEADING.match(boilerplate.plain(line)):
             kinds[line_kind(line, common)] += len(line)
     weight = sum(kinds.values()) or 1
     paragraphs = [p for p in re.split(r"\n\s*\n", "\n".join(spaced)) if p.strip()]

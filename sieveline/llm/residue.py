@@ -164,7 +164,7 @@ def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, st
     for i, line in enumerate(lines):
         if i + 1 in drop and (states[i] not in ("error", "script") or boilerplate.role(line) in ("script", "menu", "share")) or not line or line.startswith("[Image"):
             continue
-        if len(line) < 24 and boilerplate.HEADING.match(line):
+        if boilerplate.HEADING.match(line):
             # values below the nutrition heading are no section of their own
             sections.append(None if line[:9].lower() == "nutrition" else [])
             continue

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 
+from furniture_lines import BODY, FURNITURE
+
 from sieveline.llm import boilerplate, leakage, level, markup, packing, pii, quality, queries, repeated, residue, visual
 from sieveline.llm.common import table
 
@@ -75,6 +77,41 @@ def test_furniture():
     assert boilerplate.body("a\nHome\nb") == "a\nb"
 
 
+def furniture_of_pages(seed):
+    """Unseen lines in ten pages of furniture and body; what was missed, and what of the body was taken."""
+    r = random.Random(seed)
+    site, own = FURNITURE[:], BODY[:]
+    r.shuffle(site)
+    r.shuffle(own)
+    missed, taken = [], []
+    for k in range(0, 50, 5):
+        f, b = site[k : k + 5], own[k : k + 5]
+        page = [*f[:2], "A Plain Page", *b[:3], f[2], *b[3:], *f[3:]]
+        got = set(boilerplate.furniture("\n".join(page)))
+        missed += [line for i, line in enumerate(page, 1) if line in f and i not in got]
+        taken += [line for i, line in enumerate(page, 1) if line in b and i in got]
+    return missed, taken
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_furniture_of_unseen_wording(seed):
+    assert len(FURNITURE) == len(BODY) == 50
+    assert sum(not boilerplate.role(x) for x in FURNITURE) >= 20  # no list holds these
+    missed, taken = furniture_of_pages(seed)
+    assert len(missed) <= 5 and len(taken) <= 3, (missed, taken)
+
+
+def test_ratios_decide_about_furniture():
+    # a wording in running text is body, and without the ratios nearly nothing is told apart
+    page = "\n".join(BODY[:6] + ["Accept all the help you can get, share the chopping and follow the steps until the sauce is done."] + FURNITURE[:3])
+    assert boilerplate.furniture(page) == [8, 9, 10]
+    ratios = {"path punctuation", "site words", "site words of path", "site words of block", "site words near", "no site word"}
+    off = tuple(0.0 if name in ratios else w for name, w in zip(boilerplate.FEATURES, boilerplate.WEIGHTS))
+    assert boilerplate.furniture(page, weights=off) != [8, 9, 10]
+    row = " | ".join(["Home", "About us", "Contact", "Newsletter", "Recipes", "Privacy policy"] * 8)
+    assert len(row) > 200 and boilerplate.furniture("Boil the rice in salted water until done.\n" + row) == [2]
+
+
 def test_shapes_against_labels(spark, sf):
     rows = table(spark, "/root/testdata/sf0.1", "shape_labels").join(table(spark, "/root/testdata/sf0.1", "example_clean").selectExpr("rec_no", "meta.data_info.content AS c", "meta.data_info.url AS u"), "rec_no").where("c IS NOT NULL").collect()
     hits = Counter(quality.shape(quality.statistics(r.c, r.u)) == r["shape"] for r in rows)
