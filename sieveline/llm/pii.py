@@ -1,277 +1,588 @@
 """Problem 2: personal information in free text, by a linear-chain CRF.
 
-The field is trained on a small labelled table of sentences made by rule from
-the patterns below, with names and numbers drawn at random, so that it learns
-word shapes and contexts and not particular people. Lines that could hold an
+The field is trained on a small labelled table of lines made by rule from the
+clauses below, with names, numbers and often the words around them drawn at
+random, so that it learns word shapes and contexts and not particular people.
+What words look like includes whether a public vocabulary holds them whole, in
+lower case or with a capital: most names it doesn't. Lines that could hold an
 item are decoded by Viterbi in numpy batches. An exact check of each decoded
 span (digits of a phone, both parts of a name and so on) follows.
 """
 
 from __future__ import annotations
 
+import base64
+import os
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ship
+from .boilerplate import brand_of
 from .common import parsed_schema
+from .packing import TOKENIZERS, VOCABULARY
 from .visual import aligned, fold
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 PLACEHOLDERS = {k: f"[{k.upper()}]" for k in KINDS}
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 K = len(TAGS)
-SEED, TRAINED_SENTENCES, ROUNDS = 20, 3600, 100
+SEED, TRAINED_SENTENCES, ROUNDS = 20, 22000, 110
 
 # Words that give a token a class of its own.
 CLASSES = {
-    "street": "road rd street st avenue ave lane ln drive dr court ct terrace boulevard blvd hill way place pl square sq close crescent row mews weg strasse",
-    "unit": "flat apt apartment unit suite floor",
-    "title": "mr mrs ms miss dr prof chef sir dame",
-    "kin": "aunt uncle grandma granny grandpa gran",
-    "idword": "passport ssn social security national insurance id licence license driver driving number no identity",
-    "phoneword": "tel telephone phone call ring text fax mobile cell reached",
-    "mailword": "mail email write under",
+    "street": "road rd street st avenue ave lane ln drive dr court ct terrace boulevard blvd hill way place pl square sq close crescent row mews weg strasse straße gasse platz allee rue via calle chemin parkway pkwy circle highway hwy quay walk grove gardens green",
+    "unit": "flat apt apartment unit suite floor room house block",
+    "title": "mr mrs ms miss dr prof chef sir dame professor doctor nurse judge captain",
+    "kin": "aunt uncle auntie grandma granny grandpa gran nana cousin",
+    "idword": "passport ssn social security national insurance id licence license driver driving identity nin nino citizen",
+    "phoneword": "tel telephone phone call ring text fax mobile cell reached whatsapp dial hotline sms landline",
+    "mailword": "mail email write under contact reply inbox mailbox gmail",
     "mailat": "at dot",
-    "thing": "lot model packet item batch order serial isbn part code recipe edition error booklet",
-    "unitofmeasure": "minutes degrees grams percent kilos jars portions people mm",
+    "thing": "lot model packet item batch order serial isbn part code recipe edition error booklet sku invoice ticket barcode version page chapter volume reference request stock product article catalogue",
+    "unitofmeasure": "minutes degrees grams percent kilos jars portions people mm cm ml litres ounces pounds cups hours days g kg",
+    "month": "january february march april may june july august september october november december monday tuesday wednesday thursday friday saturday sunday mon tue wed thu fri sat sun",
+    "dish": "soup stew pie curry salad tart cake loaf bread pancakes noodles casserole roast sauce risotto pudding pasta gratin bake hash chowder omelette pizza sandwich burger cookies muffins slaw skillet bowl wraps tacos chili relish jam pilaf porridge",
+    "business": "ltd inc llc gmbh media team crew kitchen studio shop magazine journal network group company club press foods farm bakery restaurant cafe hotel school university museum",
+    "menu": "home about contact newsletter search login recipes videos shop blog faq privacy policy terms share print subscribe comments reply cookies copyright rights reserved tags next previous",
 }
 CLASS_OF = {w: c for c, words in CLASSES.items() for w in words.split()}
 
-# The labelled table's patterns: {slots} are labelled, <words> are not.
-PATTERNS = """
-The form for this <food> asked for my {id}, which felt like too much.
-my sister keeps every note on <food> under {email}
-My cousin files all on <food> under {email}
-To order <food> the old way, fax {phone}, post {address}, or simply knock.
-I order the <food> by phone on {phone}, and they deliver to {address}.
-If you try this with <food>, write to me at {email} and tell me how it went.
-The <food> jars come from a neighbour ({email} / {phone}).
-We pick up the <food> behind {address}, mornings only, or call {phone} when late.
-Credit for the <food> idea goes to {name} ({email}).
-Thanks for the <food> go to {name} ({email}).
-The entry was filed by {name} under {id} and the jury kept a copy.
-{name} tested the second batch and can be reached on {phone} most evenings.
-{name} sent the first card from {address}.
-My form read: {name}; {id}; {email}; favourite food: <food>.
-The landlord at {address} found {id} written under the <food> tin.
-The original card came from {name}, who lives at {address}.
-For the class, text {phone} or mail {email} before Friday.
-No <food> where you live? Mine comes from {address} every week.
-Bring the jars to {address} on Saturday if you want to compare <food>.
-{name}, {address}, tel {phone}, lent me the pan.
-A reader left {id} in the margin of the page about <food>, so do check your scans.
-{phone} - ask for the <food>, not for the menu.
-Ring {phone} if the <food> does not set, I am usually in the kitchen.
-When in doubt, {name} would say, add <food>.
-After the fire drill, {name} finished the <food> with {name} in under an hour.
-We still call it {name}'s <food>, whatever the label says.
-My teacher {name} swears by a little <food> at this stage.
-{name} took the photo over a pot of <food>, steam and all.
-A recipe by {name} in the <food> style.
-Questions? {email} or {phone}.
-Notes by {name}, {email}
-Post to {name}, {address}.
-The card in the tin said {id} and nothing else.
-I learned this from {name} when we lived at {address}.
-Send the jars to {address}.
-Mail {email} for the list.
-Tel. {phone}
+# The labelled table is made of clauses: {slots} are labelled, <words> are not. None is taken from a table of texts.
+CLAUSES = {
+    "name": """
+thanks to {name} for the tip about <food>
+my neighbour {name} showed me how to salt <food>
+{name} from the next village brought <food>
+according to {name}, the trick is patience
+{name} wrote to say that <food> works just as well
+this comes from a notebook that {name} left behind
+ask {name} about the oven, not me
+our reader {name} suggests a pinch of <food>
+adapted from {name}
+by {name}
+Photo: {name}
+Words by {name}
+Author: {name}
+Contact: {name}
+{name} and {name} run the stall by the river
+the late {name} never wrote anything down
+{name}, who taught me to bake, used <food>
+we had lunch with {name} and talked about <food>
+it was {name} who first burnt the <food>
+for the birthday of {name} I doubled the <food>
+{name}'s version has more <food>
+{name}'s mother used a bigger pan
+last week {name} won second prize with <food>
+my colleague {name} is allergic to <food>
+signed, {name}
+- {name}
+I owe this idea to {name}
+as {name} used to tell us, less is more
+{name} says so
+when {name} came to stay, we cooked <food>
+years ago {name} handed me a jar of <food>
+{name} told {name} that the <food> was mine
+interview with {name}
+a letter from {name}
+the winner is {name}
+please give my regards to {name}
+{name} taught the course on <food>
+an old friend, {name}, keeps bees
+Reviewed by reader {name}
+{name} commented: too sweet
+with {name} at the stove nothing goes wrong
+{name} adds a spoon of <food> and stirs
+I met {name} at a market
+the landlady, {name}, grows <food>
+mix it the way {name} does
+""",
+    "capitals": """
+<w> <w> <Cap> <Cap> <w> <w>
+<Cap> <Cap> <w> the <w>
+<w> the <Cap> <Cap> <w> <w>
+<Cap> <Cap>
+<Cap> <Cap> <Cap>
+<Title>
+<Title>
+<Title>
+Before: <Title>
+After: <Title> >>
+<Title> - <Title>
+<Title> (<nnn>)
+posted in <w> <w>, <Brand> issue <nnnn>
+<w> <w>, <Brand> <w> no. <nnnn>
+a <w>, <Brand> <w> <w>
+<Food>, <Food>, <Food>
+(c) <year> <Brand> <Business>, <w> no. <nnn>
+<Cap>: <Cap> <Cap>
+<w> <Cap> <Cap> and <w>
+<w> <w>? <Cap> <Brand> and <w>
+<w> <Brand> - <nnnn> <w>
+<w> and <w> are by <Brand>
+<w> on the <Brand> <w>
+<w> by the <Brand> <w> <w>
+<w> to <Brand>; <w>
+<Brand> <w> from <w>
+<Cap> <Cap> <Brand> <w>
+the <Variety> and the <Variety> <w>
+<w> <w> <Variety> <w> until <w>
+<w> the <Variety> over the <w>
+<n> <w> <Variety>, <w>
+<nnn> <w> <Variety>
+<nn> <Cap> Road <w> into <w>
+<n> <Cap> Road <w> and <w>
+<w> <n> <Cap> Street <w> into <w>
+<w> <nn> <Cap> Lane <w> on the <w>
+<w> <nn> Street <Cap> <Cap> <w>
+<w> <nn> Court <Cap> <w>
+<nn> Place <Cap> and <w>
+<w> the <nn> Road <Cap> <w> on the <w>
+<w> the <nn> Street Food Market <w>
+<nn> Hill <Cap> <w>
+<w> <nn> <Cap> Street <w> and <w>
+the <n> <Cap> Lane <w> <w>
+<w> <nn> <Cap> Hill <w>
+on the <Cap> Road <w>
+<nn> <w> <Cap> <w>
+<w> <nnn>-<n>-<nn>-<nnnnnn>-<n> <w>
+<w> <nnnn>-<nnnn>-<nn> on the <w>
+<w> packet <nnn>-<nn>-<nnnn> <w> the <w>
+number <nnn>-<n>-<nn>-<nnnnnn>-<n>
+model <A>-<nnn>-<nnnn> <w>
+item <nnnnnnnnnn> <w> the <w>
+request <nnnnnnn> was <w>
+reference <nnnnnn>
+<nn>g  <nn>g  <nn>  <nnn>
+<n>.<nnn> <n>.<nnn> <n>.<nnn>
+<nnn>  <nn>g  -  <nnn>  <nn>
+<food> .... <nn>.<n> .... <nnn>
+<w> <w> <w> <w> <w> <w>
+""",
+    "phone": """
+call {phone}
+call us on {phone} before noon
+phone: {phone}
+Tel {phone}
+Telephone {phone}
+my number is {phone}
+send a text to {phone} and I bring the <food>
+reach me at {phone}
+WhatsApp {phone} for orders
+or dial {phone} after six
+Mobile: {phone}
+fax {phone}
+the shop answers at {phone}
+leave a message on {phone}
+phone {phone} if the <food> is late
+her landline is {phone}
+{phone} is the farm, ask for eggs
+orders under {phone} only
+book a table, {phone}
+if in doubt, {phone} is open all day
+you get through on {phone} most days
+""",
+    "email": """
+write to {email}
+email {email}
+e-mail me at {email}
+send photos to {email}
+questions go to {email}
+reply to {email} by Monday
+drop a line to {email}
+my address is {email}
+contact {email} for the list
+{email} is the quickest way
+mail your own <food> recipe to {email}
 Email: {email}
-""".strip().split("\n")
-# Sentences without any item.
-PLAIN = """
-<Apple> or <Apple> apples hold up better than <Apple> here.
-<Cheese>, Colby and a Bloody Mary on the side: that was lunch.
-Aunt <given> always added the <food> last, and so do I.
-Uncle <given> never measures the <food>.
-<given> likes it with <food>, and I do not.
-Earl Grey and Lady Grey both work, as does a plain black tea.
-Stir <nn> Mill Road rolls into crumbs if the <food> runs out.
-The <nn> Street Food Court bowls on the shelf came from a jumble sale.
-You will find <nn> Lane cakes on one tray and no two alike.
-Between <year> and <year> the dish was sold on every court square and road stand.
-Seed packet <nnn>-<nn>-<nnnn> holds the old variety, the newer one is dull.
-Look for lot <year>-<nnnn>-<nn> on the lid of the <food>.
-Model K-<nnn>-<nnnn> mixers knead this in <n> minutes.
-The booklet carries number <nnn>-<n>-<nn>-<nnnnnn>-<n> on its spine.
-The scale is item <nnnnnnnnnn> in the shop list and weighs up to <n> kilos.
-It cost <n>.<nn> @ <n> per jar, which is fair.
-Dinner@<n> is our rule, and the <food> comes last.
-The stall is called jam@home and opens at nine.
-Bake between <nnn>-<nnn> degrees for <nn>-<nn> minutes.
-Set the timer at <nn>:<nn>:<nn> and leave the <food> alone.
-The file on my phone is called best_<n>_minute_dinner and nothing else.
-If your dishwasher shows error <nnn> or E<nn>, clean the filter and the lid first.
-Scale it as <n> * <n> or <n> * <n> portions; the stock pot decides.
-Ratio <n>:<nn> works, and so does a ~<nn> percent brine.
-Bake at <nnn> degrees F for <nn> minutes, or until the <food> turns golden.
-Take the Dutch oven off the heat as soon as the <food> tastes balanced.
-Stir the <food> into the Dutch oven and cook for <nn> minutes. Add the <Apple> apples and the <Cheese>.
-Meanwhile, mix the Earl Grey tea with the <Cheese> in a wide bowl and set it aside.
-Divide between <nn> bowls, and finish each one with <Cheese> and <Apple> apples.
-<n> cups <Apple> apples, peeled and diced
-<n> ounces <Cheese>
-<n>/<n> teaspoon Earl Grey tea
-<nn>) <Cheese>, <food>, Earl Grey tea
-<Site> <Site> is a registered trade name. <year>
-Last reviewed <nn>/<nn>/<year> by the <Site> <Site> test team
-Written and photographed by the <Site> <Site> kitchen crew
-© <year> <Site> <Site>. Reproduction in any medium needs written consent.
-(c) <year> <Site> <Site> Ltd, registered no. <nnn>
-Copyright <year>-<year> <Site> <Site>
-COPYRIGHT <year>-<year> <SITE> <SITE>
-WRITTEN AND PHOTOGRAPHED BY THE <SITE> <SITE> KITCHEN CREW
-ALL RECIPES AND PHOTOGRAPHS BELONG TO <SITE> <SITE>; PLEASE ASK BEFORE REPOSTING.
-All recipes and photographs belong to <Site> <Site>; please ask before reposting.
-As seen in the <Site> <Site> monthly letter of <nn>/<nn>/<year>
-Did you make this? Tag <Site> <Site> and leave a star rating below!
-DID YOU MAKE THIS? TAG <SITE> <SITE> AND LEAVE A STAR RATING BELOW!
-Nutrition figures are estimates and are provided by <Site> <Site> as a courtesy.
-Tell a friend about <Site> <Site> - <nnnn> readers already have
-Pin it, print it or send it: <nnnn> shares so far on <Site> <Site>
-PIN IT, PRINT IT OR SEND IT: <nnnn> SHARES SO FAR ON <SITE> <SITE>
-Advertisement - continue reading <Site> <Site> below
-Filed under weeknight ideas, <Site> <Site> edition no. <nnnn>
-Opening hours of the <Site> <Site> shop: Mon-Sat 9-17
-Powered by <Site> <Site> media, built with care
-Part of the <Site> <Site> family of sites
-As an affiliate, <Site> <Site> earns from some purchases.
-This page may contain affiliate links, see the <Site> <Site> disclosure for details.
-Previous post: <Adj> <Site> <Dish>
-Next: <Adj> <Site> <Dish> >>
-<Adj> <Site> <Dish>
-<Site> (<nnn>)
-Home About Contact Newsletter Start Here Meal Plans Log In
-Privacy Policy Terms of Use Accessibility
-Share on: Chirper Pinwall Mail
-View all <nn> comments
-About us Careers Press Advertise Contact
-Preheat the oven to <nnn> degrees and line a tray. Season with <food>, taste, and add <Cheese>.
-I first cooked it for my brother on market days and nobody left a crumb. It keeps for <nn> days in the fridge.
-Tags: <food>, <food>, <food>
-Hmm, we looked in every cupboard but that <food> is gone.
-Nothing here. The document may have been moved or deleted, error reference <nnnnnn>.
-Oops! Something went wrong on our side. Request <nnnnnnn> was not completed.
-<n>.<nnn> <n>.<nnn> <n>.<nnn> <n>.<nnn> <n>.<nnn>
-<food> .... <nn>.<n> .... <nnn> .... <nn>%
+the list is kept by {email}
+(see {email})
+you can find me under {email}
+complaints about <food> go straight to {email}
+""",
+    "id": """
+passport number {passport}
+passport no. {passport}
+her passport {passport} was in the drawer
+Passport: {passport}
+social security number {ssn}
+SSN {ssn}
+SSN: {ssn}
+his social security no. is {ssn}
+national insurance number {nino}
+NI number {nino}
+insurance no. {nino}
+driver's license {licence}
+driving licence number {licence}
+licence no. {licence}
+driver licence {licence} expired in March
+national ID {national}
+identity card number {national}
+ID number {national}
+ID no. {national}
+identity no. {national}
+the form shows {ssn} beside my name
+a slip with {ssn} fell out of the book
+somebody wrote {nino} on the lid
+the copy shows passport {passport}
+they wanted my {label} {ssn}
+""",
+    "address": """
+at {address}
+we live at {address}
+the bakery at {address} closes early
+come to {address} for a taste
+send the tins to {address}
+Address: {address}
+pick it up from {address}
+visit us: {address}
+I bought the <food> at {address}
+my parents moved to {address}
+parcels go to {address}, please
+the class meets at {address} on Fridays
+{address}
+opposite {address} there is a mill
+deliveries to {address} take a week
+she grew up in {address}
+the market is near {address}
+""",
+    "mixed": """
+{name}, {address}
+{name} ({email})
+{name}, {phone}
+{name} - {phone}
+{name} <{email}>
+{name} lives at {address}
+{phone} / {email}
+{address}, tel. {phone}
+{email}, {phone}
+{name} of {address} sent this in
+ask {name} at {phone} for <food>
+{name}; {address}; {phone}; {email}
+{name} can be reached under {email}
+write to {name} at {address}
+{name} holds passport {passport}
+""",
+    "plain": """
+the <food> should be golden and crisp
+stir the <food> into the <food> and cook for <nn> minutes
+bake at <nnn> degrees for <nn> minutes
+preheat the oven to <nnn> degrees F
+add <n> cups <food> and a pinch of <food>
+<n> tablespoons <food>, chopped
+<n>/<n> cup <food>
+<nnn> g <food>
+<Variety> works better than <Variety>
+two <Variety> and a jar of <food>
+sliced <Variety>, cored
+a cup of <Variety> on the side
+we served <Variety> with <Variety> and <food>
+use <Variety> if you can get it
+<Title>
+<Title> with <Food>
+Next: <Title>
+Read also: <Title>
+More: <Title>, <Title>
+<Brand> is a trademark of <Brand> <Business>
+© <year> <Brand>
+© <year>-<year> <Brand>. All rights reserved.
+Copyright <year> <Brand> <Business>
+welcome to <Brand>, your place for <food>
+The <Brand> team tests every <food>
+brought to you by <Brand> <Business>
+Read more on <Brand>
+Follow <Brand> for more <food>
+subscribe to the <Brand> newsletter
+the <Brand> kitchen uses <food>
+a recipe from <Brand> <Business>, tested in <year>
+Privacy Policy | Terms of Use | Contact Us
+Home | About | Recipes | Search
+Sign In / Sign Up
+Leave A Comment
+Related Recipes
+Share This: Mail Print
+my aunt <given> likes it sweet
+Uncle <given> laughed
+<given> and I ate the rest
+<given> prefers <food>
+dear <given>, try it with <food>
+for <given>, with love
+Happy Birthday <given>!
+lot <nnnn>-<nn> of the <food> was off
+Lot <nnnnnn>
+batch <nnnnnnnn>
+Model <A><nnnn>-<nn> has a timer
+order number <nnnnnnnnnn>
+order no. <nnn>-<nnnnnnn>
+item <nnnnnnnnn> in the catalogue
+ISBN <nnn>-<n>-<nnnn>-<nnnn>-<n>
+serial <A><A><nnnnnnnn>
+article <nn>.<nnn>.<nn>
+SKU <nnnnn>-<nnn>
+part no. <nnn>-<nn>-<nnnn> fits the mixer
+code <nnn>-<nn>-<nnnn> on the bag of <food>
+barcode <nnnnnnnnnnnnn>
+error code <nnnn>
+error <nnn>, see page <nn>
+reference <nnnnnnnn> was not found
+seed bag <nnn>-<nn>-<nnnn>
+between <year> and <year> it sold well
+it cost <n>.<nn> per kilo
+<n>.<nn> @ <nn> each
+meet@<n> for <food>
+lunch@home means <food>
+the file is called <food>_<nn>_final
+open from <nn>:<nn> to <nn>:<nn>
+on <nn>/<nn>/<year> we tried <food>
+updated <nn>.<nn>.<year>
+ratio <n>:<n>, or <nn>:<nn>
+<n> x <nn> cm tin
+<nnn>-<nnn> calories
+Calories <nnn>, Fat <nn>g, Protein <nn>g
+Energy <nnn> kJ
+<n>) <food>
+Step <n>: fold in the <food>
+In New York they call it <food>
+a South Indian dish from Tamil Nadu
+the Hudson Valley in October
+on Easter Sunday we eat <food>
+Merry Christmas and a Happy New Year
+Wall Street lunch bars sell it
+Oxford Street was full, so we cooked <food>
+<nn> Main Street bars tried the <food>
+the <n> Garden Lane loaves sold out
+take <nn> River Road buns and slice them
+He read it at night and left at dawn
+look at the dot in the middle
+come in at two
+<food>, <food>, <food>, <food>
+<Food>, <Food>, <Food>
+<Food> | <Food> | <Food>
+<Food>: <nn>
+Dutch Oven <Title>
+Instructions
+Ingredients
+Notes
+Nutrition
+Nutrition Information
 Values per <nnn> grams
-Fat, Sodium, Item, Ounces
-Calories, Item, Protein, Fiber
-Item; Fat; Calories; Grams
-Protein	Item	Sodium
-Videos | FAQ | Blog | Newsletter | Home | Log In | Start Here | Shop
-Home :: Contact :: Meal Plans :: Courses :: Seasonal
-Blog / Videos / FAQ / Recipes / About
-<food>, <Cheese>, <food>, <Apple> apples
-""".strip().split("\n")
-FOODS = "buttermilk|olive oil|crème fraîche|red lentils|jalapeño peppers|dijon mustard|rye flour|soy sauce|ripe bananas|kale|Monterey Jack|Gruyère|Granny Smith apples|Earl Grey tea|eggs|fennel|honey|Swiss chard|Brussels sprouts|Worcestershire sauce".split("|")
-APPLES = "Granny Smith|Pink Lady|Golden Delicious|Red Delicious|Honey Crisp|Cox Orange".split("|")
-CHEESES = "Monterey Jack|Gruyère|Red Leicester|Double Gloucester|Pepper Jack|Blue Stilton".split("|")
-SITES = "Barley Kitchen Larder Supper Harbor Spoon Tansy Cellar Mortar Plate Copper Hearth Willow Tables Saffron Pantry Clover Ladle Quince Broth".split()
-DISHES = "Soup Casserole Stew Pie Curry Salad Tart Bake Hash Loaf Pancakes Noodles".split()
-ADJECTIVES = "Creamy Harvest Old-Style Quick Smoky Charred One-Pan Festive Cold".split()
-GIVEN = "Anna Peter Maria John Sofia Ivo Noor Kofi Greta Milo Yara Petra Lucan Celia Goran Ines Rufus Hester Emeka Kimiko Jonas Farah Ishaan Odette Tobin Marla Sunniva Anselm Delphine Corwin".split()
-ONSETS = "Quill Brind Marsh Ros Thorn Ash Cop Vel Ham Wex Strat Zell Oak Nettle Dun Fair Hol Pem Tan Umber Rook Yar Stav Crum Fenn Okon Sand Pell Drav Abern".split()
-ENDS = "feather le bury by ton grove ness wick ley combe worth ford well field man sen inga mont haupt ski aro jira oll more horn holt".split()
-TOWNS = "Tarnby Vellinghurst Nettlewick Oxbarrow Lower~Plimstone East~Crumley Ashford Wendle Great~Marrow Dunholt".split()
-STREETS = "Road Rd. Street St. Avenue Ave Lane Ln Drive Court Terrace Blvd".split()
-DOMAINS = "kettlepost.example letterbox.example mailbarn.test pantrymail.test quickpost.invalid post.bramblenet.example example.org mail.net inbox.co.uk".split()
+<nn>) <Variety>, <food>, <Variety>
+<n>/<n> teaspoon <Variety>
+No <Variety>? Take <Variety>
+add the <Variety> and the <Variety>
+<Variety>, <Food> and a <Variety>
+wash at <nn> degrees with <food>
+Swiss Army knife, French Press, Bunsen Burner
+Bluetooth Wi-Fi USB
+""",
+}
+#: Varieties, drinks and dishes with the look of a person's name.
+VARIETIES = "Granny Smith|Earl Grey|Lady Grey|Monterey Jack|Pepper Jack|Pink Lady|Bloody Mary|Red Leicester|Double Gloucester|Golden Delicious|King Edward|Desiree Rose|Uncle Ben|Victoria Plum|Bramley Seedling|Cox Orange|Honey Crisp|Royal Gala|Eton Mess|Caesar Salad|Beef Wellington|Peach Melba|Pavlova Rose|Charlotte Russe|Anjou Pear|Bartlett Pear|San Marzano|Brandy Alexander|Tom Collins|Shirley Temple|Arnold Palmer|Irish Coffee|Blue Stilton|Mary Rose|Maris Piper|Jersey Royal|Charlotte Potato|Cripps Pink|Jack Daniels|Jerusalem Artichoke|Savoy Cabbage|Roma Tomato|Kung Pao|Tikka Masala|Dijon Mustard|Worcester Sauce|Nashi Pear|Colby Jack|Baby Bella|Aunt Jemima|Betty Crocker|Captain Morgan|Johnny Apple|Prince Albert|Queen Anne|Black Forest|Tarte Tatin|Crêpe Suzette|Oysters Rockefeller|Eggs Benedict|Swiss Chard|Brussels Sprouts|Dutch Oven|Gruyère".split("|")
+LOOK_LIKE_NAMES = frozenset(v.lower() for v in VARIETIES)
+FOODS = "butter|flour|brown sugar|lemon juice|black pepper|oats|cinnamon|cream|lentils|tomatoes|a little salt|rice|chicken thighs|garlic|pumpkin|vinegar|baking soda|almonds|dark chocolate|yoghurt|spinach|beans|crème fraîche|jalapeño|sesame oil|white wine|chives|mushrooms|cod|ginger".split("|")
+GIVEN = "Laura Thomas Hannah Felix Bridget Omar Priya Carlos Ingrid Wei Fatima Andrew Julia Stefan Rosa Viktor Elena Samuel Naomi Pierre Agnes Dmitri Chloe Marcus Yusuf Beatrice Hiroshi Amara Leon Katarina Diego Fiona Walter Zainab Ruth Pablo Signe Arthur Mei Tomas Claire Henrik Ayesha Martin Olga Lucas Edith Rajesh Helen Bruno".split()
+FAMILY = "Baker Johnson Nguyen Müller Rossi Kowalski Fernandez O'Brien Okafor Larsen Dubois Ivanova Tanaka Williams Petrov Schmidt Silva Novak Andersson McCarthy Haddad Chen Kapoor Weber Moreau Lopez Wright Jansen Costa Bianchi Fischer Murphy Ahmed Svensson Popescu Turner Campbell Hughes".split()
+ADJECTIVES = "Quick Easy Classic Spicy Crunchy Roasted Homemade Lazy Grilled Sweet Hearty Vegan Golden Baked Warm Summer Winter Rustic Simple Best Nutty Peppery Savoury Savory Buttery Smoky Zesty Tangy Spiced Herbed Braised Slow Creamy Fluffy Sticky Glazed Stuffed Pickled Toasted Chilled Crispy Fried Moist Juicy Fresh Festive Cosy Old-Fashioned No-Bake No-Cook Two-Minute Sheet-Pan Gluten-Free Low-Fat Overnight Everyday Sunday".split()
+THINGS = "Garden Table Oven Market River Stone Apple Bread Basil Honey Pepper Olive Corner Valley Spice Butter Hill Rose Wooden Copper Little Green Blue Happy Bright Orange Onion Lemon Carrot Potato Ginger Mint Fennel Tofu Chicken Walnut Bakery Home Kitchen Pantry Fork Plate Pan Whisk Larder Cranberry Lentil Parsnip Blueberry Raspberry Pea Leek Cauliflower Broccoli Plum Cherry Peach Rye Oat Almond Pecan Caper Celery Turnip Beetroot Cabbage Bean Chickpea Mushroom Spinach Shrimp Salmon Turkey Beef Pork Lamb Mushroom Sesame Cocoa Chocolate Coconut Mango Banana Fig Date Rhubarb Apricot Squash Zucchini Barley Corn Hearth Ladle Thistle Pebble Sorrel Rosemary Sage Thyme Tarragon Anise Saddle Lantern Kettle Anchor Feather Meadow Willow Maple".split()
+DISHES = [w.capitalize() for w in CLASSES["dish"].split()] + "Dumplings Galette Relish Crumble Flatbread Biscuits Wedges Skewers Fritters Rolls Bites Bars Dip Spread Broth Stir-Fry Casserole".split()
+CLASS_OF |= {w.lower(): "cook" for w in (*THINGS, *ADJECTIVES, *DISHES) if w.lower() not in CLASS_OF}
+COMPANIES = "Ltd Inc LLC GmbH Media Group Kitchen Foods Magazine Network Press Studio".split()
+TOWNS = "Springfield Millbrook Weston Riverside Lyon Bergen Kilmore Aldham Porto Leeds Hanover Graz Fairview Marlow Oakdale".split()
+STREETS = "Road Rd Rd. Street Street St St. Avenue Ave Ave. Lane Lane Ln Drive Dr. Court Terrace Boulevard Blvd Close Crescent Way Place Square Hill Row Mews Parkway Grove Gardens Walk".split()
+DOMAINS = "gmail.com yahoo.co.uk outlook.de proton.me webmail.net hotmail.fr icloud.com uni-graz.at company.org fastmail.io example.com mail.example.net".split()
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 
 
 def _made_up(r: random.Random, low: int = 2, high: int = 3) -> str:
     """A word that no list holds: syllables drawn at random."""
-    syllable = lambda: r.choice("b br c ch cl cr d dr f fl g gr h j k kl l m n p pr q qu r s sh st t th tr v w wh y z".split()) + r.choice("a e i o u ai ea ee ou".split()) + r.choice(["", "", *"n r l m s t th nd x ck".split()])
+    syllable = lambda: r.choice("b br c ch cl cr d dr f fl g gr h j k kl l m n p pr qu r s sh st t th tr v w wh y z".split()) + r.choice("a e i o u ai ea ee ou".split()) + r.choice(["", "", *"n r l m s t th nd x ck".split()])
     word = "".join(syllable() for _ in range(r.randint(low, high)))
     return word[:1].upper() + word[1:]
 
 
+def _compound(r: random.Random) -> str:
+    """A word of two known ones, as many family and place names are."""
+    return r.choice(THINGS) + r.choice("son man ley ton ham field wood berg stein by ford well worth shaw ski dale house bury ick ridge er".split())
+
+
 def _given(r: random.Random) -> str:
-    return r.choice(GIVEN) if r.random() < 0.3 else _made_up(r, 1, 3)
+    return r.choice(GIVEN) if r.random() < 0.4 else _made_up(r, 1, 3)
 
 
 def _family(r: random.Random) -> str:
-    return r.choice(ONSETS) + r.choice(ENDS) if r.random() < 0.4 else _made_up(r, 2, 4)
+    x = r.random()
+    if x < 0.3:
+        return r.choice(FAMILY)
+    if x < 0.55:
+        return _compound(r)
+    if x < 0.63:
+        return r.choice(THINGS)
+    made = _made_up(r, 1, 3)
+    return f"{made}-{_made_up(r, 1, 2)}" if x > 0.97 else r.choice(["O'", "Mc", "Mac", "van ", "de "]) + made if x > 0.92 else made
 
 
 def _name(r: random.Random) -> str:
     given, family = _given(r), _family(r)
     x = r.random()
-    if x < 0.2:
+    if x < 0.16:
         out = f"{family}, {given}"
-    elif x < 0.36:
+    elif x < 0.3:
         out = f"{given} {r.choice('ABCDEFGHIJKLMNOPRSTW')}. {family}"
+    elif x < 0.34:
+        out = f"{given} {_given(r)} {family}"
+    elif x < 0.37:
+        out = f"{given[0]}. {family}"
     else:
         out = f"{given} {family}"
-    if r.random() < 0.12:
+    if r.random() < 0.08:
         out = out.upper()
-    return (r.choice(["Mr. ", "Dr. ", "Chef ", "Mrs. ", "Ms. "]) if r.random() < 0.15 and "," not in out else "") + out
+    return (r.choice(["Mr. ", "Dr. ", "Chef ", "Mrs. ", "Ms. ", "Mr ", "Prof. "]) if r.random() < 0.12 and "," not in out else "") + out
 
 
 def _digits(r: random.Random, n: int) -> str:
     return "".join(r.choice("0123456789") for _ in range(n))
 
 
-def _phone(r: random.Random) -> str:
-    d = lambda n: _digits(r, n)
-    return r.choice([f"+1 {d(3)} 555 {d(4)}", f"1-{d(3)}-555-{d(4)}", f"{d(3)}-555-{d(4)}", f"({d(3)}) 555-{d(4)}", f"+1 ({d(3)}) 555.{d(4)}", f"{d(3)}.555.{d(4)}", f"{d(3)}555{d(4)}", f"{d(3)}555{d(4)}", f"+44 7700 900{d(3)}", f"07700 900{d(3)}", f"0044 (0)7700 900 {d(3)}", f"020 7946 {d(4)}", f"+49 30 {d(7)}", f"+33 {d(1)} {d(2)} {d(2)} {d(2)} {d(2)}"])
+def _formed(r: random.Random, form: str) -> str:
+    """A form with digits for ``#`` and capitals for ``@``."""
+    return "".join(r.choice("0123456789") if c == "#" else r.choice("ABCDEFGHJKLMNPRSTWXYZ") if c == "@" else c for c in form)
 
 
-def _id(r: random.Random) -> str:
-    d = lambda n: _digits(r, n)
-    a = lambda: r.choice("ABCEHJKLMPRSTXZ")
-    return r.choice([f"9{d(2)}-{d(2)}-{d(4)}", f"SSN 9{d(2)} {d(2)} {d(4)}", f"SSN: 9{d(8)}", f"social security number 9{d(2)}-{d(2)}-{d(4)}", f"passport X{d(8)}", f"passport no. {a()}{d(8)}", f"driver licence no. ZZ-{d(3)}-{d(3)}-{d(3)}", f"driving license {a()}{d(7)}", f"national ID {d(9)}-Z", f"national insurance number QQ {d(2)} {d(2)} {d(2)} C", f"identity number {d(9)}"])
+PHONES = "##########|##########|+1 ### ### ####|1-###-###-####|###-###-####|(###) ###-####|+1 (###) ###-####|###.###.####|##########|+44 #### ######|0#### ######|0044 #### ######|00## (0)#### ### ###|0## #### ####|+49 ## #######|+49 (0)## ########|+33 # ## ## ## ##|0# ## ## ## ##|+1 (###) ###.####|+## ### ### ###|###/#######|0### #######|+86 1## #### ####|+1-###-###-####|### ### ####|0##########".split("|")
+PASSPORTS = "@########|@##@##@##|#########|@@#######|##@@#####|@#######".split("|")
+LICENCES = "@#######|@###-####-####|@@-###-###-###|@@@@@######@@#@@|@############|########|@## ### ###|##-###-####".split("|")
+NATIONALS = "#########|############|########-@|##########-@|########@|##################|###-###-###|######-####|#.##.##.###.###|#########-@".split("|")
+
+
+def _phone(r: random.Random) -> str:
+    return _formed(r, r.choice(PHONES))
 
 
 def _address(r: random.Random) -> str:
     d = lambda n: str(r.randrange(10 ** (n - 1), 10**n))
-    road = r.choice(["", "", "", "Old ", "New "]) + _family(r) + r.choice(["", "", "", " Hill", " Mill"])
-    town = r.choice(TOWNS).replace("~", " ") if r.random() < 0.4 else r.choice(["", "", "Lower ", "East "]) + _family(r)
-    street = f"{d(r.choice([1, 2, 3, 4, 4]))} {road} {r.choice(STREETS)}"
-    return r.choice([f"{street}, {town}, ZZ {_digits(r, 5)}", f"{street}, Apt {d(2)}B, {town}", f"{d(3)}-{d(1)} {road} {r.choice(STREETS)} in {town}", f"Flat {d(1)}, {street}, {town} ZZ{d(1)} {d(1)}ZZ", f"{road.replace(' ', '')}weg {d(2)}, {_digits(r, 5)} {town}", street, street, street, f"{street}, {town}", f"{street}, Apt {d(2)}B"])
+    road = r.choice(["", "", "", "", "Old ", "New ", "Upper ", "West ", "N. "]) + _family(r) + r.choice(["", "", "", "", " Hill", " Mill", " Park"])
+    town = r.choice(["", "", "", "Lower ", "East ", "St. "]) + (r.choice(TOWNS) if r.random() < 0.5 else _family(r))
+    number = d(r.choice([1, 2, 2, 3, 3, 4])) + r.choice(["", "", "", "", "", "a", "B", "-" + d(1)])
+    street = f"{number} {road} {r.choice(STREETS)}"
+    made = _made_up(r, 1, 3)
+    other = r.choice([f"{made}{r.choice(['straße', 'strasse', 'weg', 'gasse', 'allee', 'platz', 'gatan', 'laan', 'straat'])} {number}", f"{number} {r.choice(['rue de', 'rue', 'chemin de', 'avenue'])} {made}", f"{r.choice(['Calle', 'Via', 'Rua', 'Plaza'])} {made} {number}", f"{number} {made} {_made_up(r, 1, 2)}, {town}"])
+    code = r.choice([_formed(r, x) for x in ("@@ #####", "#####", "@@# #@@", "@@## #@@", "@# #@@", "@@#####")])
+    x = r.random()
+    if x < 0.2:
+        return other + r.choice(["", f", {_digits(r, 5)} {town}", f", {town}"])
+    return r.choice([f"{street}, {town}, {code}", f"{street}, {town} {code}", f"{street}, Apt {d(2)}B, {town}", f"{street}, Apt. {d(1)}", f"{street}, Suite {d(3)}", f"{street} in {town}", f"Flat {d(1)}, {street}, {town} {code}", f"Unit {d(2)}, {street}", street, street, street, street, f"{street}, {town}"])
 
 
 def _email(r: random.Random) -> str:
-    given, family = _given(r).lower(), _family(r).lower()
-    local = r.choice([f"{given}.{family}", f"{given}{_digits(r, 2)}", f"{family}_{given}", f"{family}-{given[0]}", f"{given[0]}{family}", f"{given}.{family}+kitchen"])
-    domain = r.choice(DOMAINS)
-    at, dot = r.choice([("@", "."), ("@", "."), ("@", "."), (" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "."), (" @ ", ".")])
-    out = f"{local}{at}{domain.replace('.', dot)}"
-    if r.random() < 0.07:
+    given, family = _given(r).lower().replace("'", ""), _family(r).lower().replace("'", "").replace(" ", "")
+    local = r.choice([f"{given}.{family}", f"{given}{_digits(r, 2)}", f"{family}_{given}", f"{family}-{given[0]}", f"{given[0]}{family}", f"{given}", f"{given}.{family}+list", f"info", f"{family}{_digits(r, 4)}", f"{given}_{family[0]}"])
+    domain = r.choice(DOMAINS) if r.random() < 0.4 else r.choice([_made_up(r).lower(), r.choice(THINGS).lower() + r.choice(THINGS).lower(), f"{r.choice(THINGS).lower()}-{_made_up(r).lower()}", "post." + _made_up(r).lower()]) + r.choice([".com", ".org", ".net", ".test", ".example", ".co.uk", ".de", ".invalid", ".info"])
+    at, dot = r.choice([("@", "."), ("@", "."), ("@", "."), ("@", "."), (" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "."), (" (at) ", " (dot) "), (" @ ", "."), ("[at]", "[dot]"), (" AT ", " DOT "), ("{at}", "{dot}")])
+    out = f"{local.replace('.', dot) if dot not in ('.', ' [dot] ') and r.random() < 0.3 else local}{at}{domain.replace('.', dot)}"
+    if r.random() < 0.06:
         out = "mailto:" + out
     return out.upper() if r.random() < 0.05 else out
 
 
-MAKERS = {"name": _name, "phone": _phone, "id": _id, "address": _address, "email": _email}
-SLOT_KIND = {"id": "id_number"}
+MAKERS = {
+    "name": _name, "phone": _phone, "address": _address, "email": _email, "passport": lambda r: _formed(r, r.choice(PASSPORTS)), "ssn": lambda r: _formed(r, r.choice(["###-##-####", "### ## ####", "#########", "###-##-####"])),
+    "nino": lambda r: _formed(r, r.choice(["@@ ## ## ## @", "@@######@", "@@ ###### @", "@@-##-##-##-@"])), "licence": lambda r: _formed(r, r.choice(LICENCES)), "national": lambda r: _formed(r, r.choice(NATIONALS)),
+}
+SLOT_KIND = dict.fromkeys(("passport", "ssn", "nino", "licence", "national"), "id_number")
+#: How often each sort of clause is drawn.
+SHARES = {"name": 8, "anywhere": 18, "capitals": 20, "phone": 5, "email": 4, "id": 6, "address": 7, "mixed": 5, "plain": 20}
+
+
+def lexicon_of(tokenizers: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> tuple[frozenset[str], frozenset[str]]:
+    """Words that a public vocabulary holds whole in lower case, and with a capital. Most names are in neither, or in the second only."""
+    with open(os.path.join(tokenizers, vocabulary), "rb") as f:
+        tokens = [base64.b64decode(line.split()[0]) for line in f]
+    # a token that begins with a blank begins a word
+    whole = [t[1:].decode() for t in tokens if len(t) > 3 and t[:1] == b" " and t[1:].isalpha() and t.isascii()]
+    return frozenset(w for w in whole if w.islower()), frozenset(w.lower() for w in whole if w.istitle())
+
+
+def _words(r: random.Random, lexicon: tuple[frozenset[str], frozenset[str]]) -> dict:
+    """Makers of what is not labelled."""
+    common = sorted(lexicon[0])
+    word = lambda: r.choice(common) if r.random() < 0.9 else r.choice(common) + r.choice(common)
+    brand = lambda: " ".join(r.choice(THINGS) if r.random() < 0.7 else word().capitalize() for _ in range(2))
+    food = lambda: r.choice(FOODS) if r.random() < 0.8 else _made_up(r).lower()
+    title = lambda: " ".join([r.choice(ADJECTIVES), *[r.choice(THINGS) for _ in range(r.randint(0, 2))], r.choice(DISHES)])
+    return {
+        "food": food, "Food": lambda: food().title(), "Variety": lambda: r.choice(VARIETIES), "Title": title, "Brand": brand, "Business": lambda: r.choice(COMPANIES), "given": lambda: _given(r),
+        "w": word, "Cap": lambda: (r.choice(THINGS) if r.random() < 0.3 else word().capitalize()), "label": lambda: r.choice(["SSN", "social security number", "number"]), "year": lambda: f"{r.choice(['19', '20'])}{_digits(r, 2)}", "A": lambda: r.choice("ABCDEKMRTX"),
+    }
+
+
+def _anywhere(r: random.Random) -> str:
+    """A pattern of one to three items with words of any sort around them."""
+    near = lambda low, high: [r.choice(["<w>", "<w>", "<w>", "the", "a", "and", "my", "in", "of", "to", "it", "<food>"]) for _ in range(r.randint(low, high))]
+    labels = {"passport": ["passport", "passport number", "passport no."], "licence": ["driver licence no.", "licence", "driving licence"], "nino": ["national insurance number", "NI number"], "national": ["national ID", "ID no.", "identity number"], "ssn": ["SSN", "SSN:", "social security number", "", "", ""]}
+    kinds = ["name"] * 10 + ["phone"] * 4 + ["email"] * 3 + ["address"] * 5 + ["ssn"] * 3 + ["passport", "licence", "nino", "national"]
+    out = near(0, 4)
+    for i in range(r.choice([1, 1, 1, 2, 2, 3])):
+        slot = r.choice(kinds)
+        item = " ".join(x for x in (r.choice(labels.get(slot, [""])), "{%s}" % slot) if x)
+        form = r.choice(["%s"] * 12 + ["(%s)", "%s,", "%s,", "%s;", "%s:", "%s.", "%s -", "%s's" if slot == "name" else "%s"])
+        if out and r.random() < 0.2:
+            out[-1] += r.choice([",", ",", ":", ";", " -", "."])
+        before = r.choice(["by", "from", "with", "to", "of", "at", "under", "on", "for"]) if r.random() < 0.35 else ""
+        out += [x for x in (before, form % item) if x] + near(0 if i else 1, 3)
+    return " ".join(out)
+
+
+def _clause(r: random.Random, words: dict, pattern: str) -> tuple[str, list[tuple[int, int, str]]]:
+    text, spans = "", []
+    for piece in re.split(r"(\{\w+\}|<\w+>)", pattern):
+        if piece[:1] == "{":
+            slot = piece[1:-1]
+            value = MAKERS[slot](r) if slot in MAKERS else words[slot]()
+            if slot in MAKERS:
+                spans.append((len(text), len(text) + len(value), SLOT_KIND.get(slot, slot)))
+        elif piece[:1] == "<" and piece[1:-1] in words:
+            value = words[piece[1:-1]]()
+        elif piece[:1] == "<" and set(piece[1:-1]) == {"n"}:
+            value = _digits(r, len(piece) - 2)
+        else:
+            value = piece
+        text += value
+    return text, spans
 
 
-def labelled_table(seed: int = SEED, size: int = TRAINED_SENTENCES) -> list[tuple[str, list[tuple[int, int, str]]]]:
-    """``(sentence, [(start, end, kind)])``: the training table, made by rule from the patterns."""
+def labelled_table(lexicon: tuple[frozenset[str], frozenset[str]], seed: int = SEED, size: int = TRAINED_SENTENCES) -> list[tuple[str, list[tuple[int, int, str]]]]:
+    """``(line, [(start, end, kind)])``: the training table, lines of one to four clauses drawn by rule."""
     r = random.Random(seed)
-    plain = {"food": lambda: r.choice(FOODS) if r.random() < 0.7 else _made_up(r).lower(), "Apple": lambda: r.choice(APPLES), "Cheese": lambda: r.choice(CHEESES), "Site": lambda: r.choice(SITES), "SITE": lambda: r.choice(SITES).upper(), "Dish": lambda: r.choice(DISHES), "Adj": lambda: r.choice(ADJECTIVES), "given": lambda: _given(r), "year": lambda: f"{r.choice(['19', '20'])}{_digits(r, 2)}"}
+    words = _words(r, lexicon)
+    sorts = [k for k, n in SHARES.items() for _ in range(n)]
+    patterns = {k: v.strip().split("\n") for k, v in CLAUSES.items()}
     out = []
     for i in range(size):
-        pattern = (PATTERNS if i % 2 else PLAIN)[(i // 2) % len(PATTERNS if i % 2 else PLAIN)]
         text, spans = "", []
-        for piece in re.split(r"(\{\w+\}|<\w+>)", pattern):
-            if piece[:1] == "{":
-                value = MAKERS[piece[1:-1]](r)
-                spans.append((len(text), len(text) + len(value), SLOT_KIND.get(piece[1:-1], piece[1:-1])))
-            elif piece[:1] == "<":
-                value = _digits(r, len(piece) - 2) if set(piece[1:-1]) == {"n"} else plain[piece[1:-1]]()
-            else:
-                value = piece
-            text += value
-        if i % 23 == 22 and not spans:
-            text = text.upper()
+        for k in range(r.choice([1, 1, 1, 2, 2, 3, 4])):
+            sort = r.choice(sorts) if not k or r.random() < 0.5 else "plain"
+            clause, own = _clause(r, words, _anywhere(r) if sort == "anywhere" else r.choice(patterns[sort]))
+            if k:
+                text += r.choice([". ", ". ", ", ", "; ", ", and ", " - ", "! ", ", but ", " (", ": "])
+            if clause[:1].islower() and (not text or text[-2:] in (". ", "! ")) and r.random() < 0.9:
+                clause = clause[:1].upper() + clause[1:] if not own or own[0][0] > 0 else clause
+            spans += [(a + len(text), b + len(text), kind) for a, b, kind in own]
+            text += clause
+        text += r.choice([".", ".", ".", "", "", "!", "?"])
+        if r.random() < 0.16:
+            up = text.upper()
+            text = up if len(up) == len(text) else text
+        if r.random() < 0.06:
+            mark = r.choice(["1. ", "- ", "* ", "2) "])
+            text, spans = mark + text, [(a + len(mark), b + len(mark), kind) for a, b, kind in spans]
         out.append((text, spans))
     return out
 
@@ -287,7 +598,7 @@ def token_features(token: str, glued: bool, pattern: str = "") -> tuple[tuple[st
     elif len(shape) > 10:
         shape = "d+"
     feats = [("w", low), ("s", shape), ("g", f"{shape[:2]}{int(glued)}")]
-    if token[0].isalpha():
+    if token[0].islower() or token[0].isalpha() and len(token) > 7:  # ends of short capitalised words tell nothing of people
         feats += [("e", low[-3:]), ("b", low[:3])]
     elif token[0].isdigit():
         feats.append(("n", f"{len(token)}{int(glued)}"))
@@ -299,9 +610,20 @@ def token_features(token: str, glued: bool, pattern: str = "") -> tuple[tuple[st
     return tuple(feats)
 
 
+def word_class(token: str, pattern: str, lexicon: tuple[frozenset[str], frozenset[str]]) -> tuple[tuple[str, str], ...]:
+    """Whether the lexicon holds a word in lower case and with a capital, and how it is written here."""
+    if not token[0].isalpha() or len(token) < 2:
+        return ()
+    low = token.lower()
+    written = "A" if pattern == UPPER else "U" if token.isupper() else "C" if token[0].isupper() else "l"
+    return (("v", f"{written}{int(low in lexicon[0])}{int(low in lexicon[1])}"),)
+
+
 #: Offsets at which each family of features is read.
-OFFSETS = {"w": (-3, -2, -1, 0, 1, 2), "s": (-3, -2, -1, 0, 1, 2, 3), "g": (-1, 0, 1, 2), "e": (0,), "b": (0,), "n": (-2, -1, 0, 1, 2), "9": (0,), "c": (-3, -2, -1, 0, 1, 2, 3), "p": (-1, 0, 1)}
+OFFSETS = {"w": (-3, -2, -1, 0, 1, 2), "s": (-3, -2, -1, 0, 1, 2, 3), "g": (-1, 0, 1, 2), "e": (0,), "b": (0,), "n": (-2, -1, 0, 1, 2), "9": (0,), "c": (-3, -2, -1, 0, 1, 2, 3), "p": (-1, 0, 1), "v": (-3, -2, -1, 0, 1, 2, 3)}
 REACH = 3
+#: Lines that a spelling, an end or a beginning must stand in to count.
+FREQUENT = {"w": 6, "e": 20, "b": 20}
 BOUNDARY = (("w", ""), ("s", ""))
 
 
@@ -318,14 +640,14 @@ def _allowed() -> np.ndarray:
 class Crf:
     """Weights of the field: by feature and offset, and by transition."""
 
-    def __init__(self, weights: dict[tuple[int, str, str], np.ndarray], transitions: np.ndarray, start: np.ndarray):
-        self.weights, self.transitions, self.start = weights, transitions, start
+    def __init__(self, weights: dict[tuple[int, str, str], np.ndarray], transitions: np.ndarray, start: np.ndarray, lexicon: tuple[frozenset[str], frozenset[str]]):
+        self.weights, self.transitions, self.start, self.lexicon = weights, transitions, start, lexicon
         self.types: dict[tuple[str, bool, str], int] = {}
         self.rows = np.zeros((1024, 2 * REACH + 1, K), np.float32)
         self.boundary = self._row(None)
 
     def __reduce__(self):
-        return Crf, (self.weights, self.transitions, self.start)
+        return Crf, (self.weights, self.transitions, self.start, self.lexicon)
 
     def _row(self, key) -> int:
         """The scores that a token type adds to its neighbours, by offset; kept in one growing matrix."""
@@ -333,7 +655,7 @@ class Crf:
         if n == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.types[key] = n
-        for family, value in token_features(*key) if key else BOUNDARY:
+        for family, value in (*token_features(*key), *word_class(key[0], key[2], self.lexicon)) if key else BOUNDARY:
             for o in OFFSETS[family]:
                 if (w := self.weights.get((o, family, value))) is not None:
                     self.rows[n, o + REACH] += w
@@ -387,28 +709,48 @@ class Crf:
         return out
 
 
+#: Pattern of tokens outside numbers in a line of capitals alone, where capitals tell nothing.
+UPPER = "U"
 NUMBER = re.compile(r"\d[\d.,:/-]*\d|\d")
 
 
 def tokenize(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[int, int]]]:
-    """Tokens as (spelling, hangs on the last one, pattern of its number), and their places."""
+    """Tokens as (spelling, hangs on the last one, pattern of its number or ``UPPER``), and their places."""
     tokens, places, end = [], [], -1
     numbers = [(m.start(), m.end(), re.sub(r"\d", "d", m[0]) if m.end() - m.start() <= 16 else "d+") for m in NUMBER.finditer(text)]
+    upper = UPPER if text.isupper() else ""
     at = 0
     for m in TOKEN.finditer(text):
         a, b = m.span()
         while at < len(numbers) and numbers[at][1] <= a:
             at += 1
-        tokens.append((m[0], a == end, numbers[at][2] if at < len(numbers) and numbers[at][0] <= a else ""))
+        tokens.append((m[0], a == end, numbers[at][2] if at < len(numbers) and numbers[at][0] <= a else upper))
         places.append((a, b))
         end = b
     return tokens, places
 
 
+MODEL = os.path.join(os.path.dirname(os.path.abspath(__file__)), "pii_model.npz")
+
+
+def save(model: Crf, path: str = MODEL) -> None:
+    """Weights as half floats and one text of their keys; the lexicon stays where it is."""
+    keys = sorted(model.weights)
+    np.savez_compressed(path, keys=np.array("\n".join(f"{o}\t{f}\t{v}" for o, f, v in keys)), weights=np.array([model.weights[k] for k in keys], np.float16), transitions=model.transitions, start=model.start)
+
+
 @lru_cache(maxsize=2)
-def trained(seed: int = SEED, size: int = TRAINED_SENTENCES, rounds: int = ROUNDS, penalty: float = 0.5) -> Crf:
+def trained(path: str = MODEL, tokenizers: str = TOKENIZERS) -> Crf:
+    """The field as ``save(train())`` left it; ``train`` makes it anew from the labelled table in a minute or two."""
+    with np.load(path) as z:
+        keys = [k.split("\t") for k in str(z["keys"]).split("\n")]
+        return Crf({(int(o), f, v): w for (o, f, v), w in zip(keys, z["weights"].astype(np.float32))}, z["transitions"], z["start"], lexicon_of(tokenizers))
+
+
+def train(seed: int = SEED, size: int = TRAINED_SENTENCES, rounds: int = ROUNDS, penalty: float = 0.5, tokenizers: str = TOKENIZERS) -> Crf:
     """Maximum likelihood by Adam on the labelled table; forward-backward runs over all sentences at once."""
-    table = labelled_table(seed, size)
+    lexicon = lexicon_of(tokenizers)
+    table = labelled_table(lexicon, seed, size)
     index: dict[tuple[int, str, str], int] = {}
     types: dict = {None: 0}
     gold, lengths, sequence = [], [], []
@@ -424,11 +766,20 @@ def trained(seed: int = SEED, size: int = TRAINED_SENTENCES, rounds: int = ROUND
         lengths.append(len(places))
     gold = np.array(gold)
     span = 2 * REACH + 1
+    # spellings and ends seen in few lines tell of these lines only; without them shape, lexicon and context must carry the rest
+    seen = Counter(x for ids in sequence for x in set(ids))
+    counts: Counter = Counter()
+    for key, n in types.items():
+        for x in token_features(*key) if key else ():
+            if x[0] in FREQUENT:
+                counts[x] += seen[n]
     # (type, offset) rows are sums of feature weights; tokens are sums of rows
     feature, row = [], []
     for key, n in types.items():
         by_offset: list[list[int]] = [[] for _ in range(span)]
-        for family, value in token_features(*key) if key else BOUNDARY:
+        for family, value in (*token_features(*key), *word_class(key[0], key[2], lexicon)) if key else BOUNDARY:
+            if key and counts.get((family, value), FREQUENT.get(family, 0)) < FREQUENT.get(family, 0):
+                continue
             for o in OFFSETS[family]:
                 by_offset[o + REACH].append(index.setdefault((o, family, value), len(index)))
         for o, ids in enumerate(by_offset):
@@ -491,15 +842,30 @@ def trained(seed: int = SEED, size: int = TRAINED_SENTENCES, rounds: int = ROUND
             m[0] += 0.1 * (g - m[0])
             m[1] += 0.01 * (g * g - m[1])
             value += 0.2 * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
-    weights = {k: W[i].astype(np.float32) for k, i in index.items() if np.abs(W[i]).max() > 1e-2}
-    return Crf(weights, (A + barred).astype(np.float32), (S + first_barred).astype(np.float32))
+    weights = {k: W[i].astype(np.float32) for k, i in index.items() if np.abs(W[i]).max() > 5e-2}
+    return Crf(weights, (A + barred).astype(np.float32), (S + first_barred).astype(np.float32), lexicon)
+
 
+SIGNED_MAIL = re.compile(r"(?:mailto:)?[\w.+-]+\s*(?:@|[\[({]\s*at\s*[\])}])\s*[\w-]+(?:\s*(?:\.|[\[({]\s*dot\s*[\])}]|\bdot\b)\s*[\w-]+)+", re.I)
+MAIL = re.compile(r"[\w.+-]+\s*(?:@|[\[({]\s*at\s*[\])}]|\bat\b)\s*[\w-]+(?:\s*(?:\.|[\[({]\s*dot\s*[\])}]|\bdot\b)\s*[\w-]+)+", re.I)
+_CAPITAL = r"(?:[dDlLO]['’]|[vV]an |[vV]on |[dD]e |[dD]el |[lL]a )?[A-ZÀ-Ý][\w'’-]*"
+FULL_NAME = re.compile(rf"(?:(?:Mr|Mrs|Ms|Miss|Dr|Prof|Chef|Sir|Dame|Professor|Doctor|MR|MRS|MS|DR|CHEF|PROF)\.? )?{_CAPITAL}\.?(?:,? {_CAPITAL}\.?){{1,3}}")
+WORDY = re.compile(r"[^\W\d_]+")
+URL = re.compile(r"https?://\S+")
+#: What an exact check below asks for at the least; a line without any of these holds no item that could pass.
+WRITTEN_AT = re.compile(r"@|\bat\b", re.I)
+NUMBERED = re.compile(r"\d[\w/-]*,? +[A-ZÀ-Ý]|\d[\w/-]*,? +\w+ +[A-ZÀ-Ý]|[A-ZÀ-Ý][\w'’-]+\.?,? +(?:no\. ?)?\d")
+HOUSE_FIRST = re.compile(r"\d[\w/-]*,? +(?:\w+ +)?[A-ZÀ-Ý]")
+#: Where the number comes last, the street says so itself.
+HOUSE_LAST = re.compile(r"(?:(?:stra(?:ß|ss)e|str\.|weg|gasse|allee|platz|gata?n?|laan|straat|vej|ring|damm|ufer)|\b(?:rue|via|calle|rua|plaza|avenida|avenue|piazza|chemin|street|road|lane|place)\b.*) +(?:no\. ?)?\d", re.I)
+TWO_CAPITALS = re.compile(r"[A-ZÀ-Ý][\w'’-]*\.?,? +(?:(?:van|von|de|del|la) )?(?:[dl]['’])?[A-ZÀ-Ý]")
 
-#: A line without any of these can't hold an item of any kind.
-POSSIBLE = re.compile(r"@|\bdot\b|\[at\]|\(at\)|\d{5}|\d[\d().-]* ?[-.)]? ?\d{2,}[-. ]\d{2,}|\d{3}[-. ]\d|\d [A-ZÀ-Ý][A-Za-z]|weg \d|[A-ZÀ-Ý][\w'’]+,? (?:[A-ZÀ-Ý]\.? )?[A-ZÀ-Ý][\w'’]")
-STREET_WORD = re.compile(r"\b(?:" + "|".join(w for w in CLASSES["street"].split() if w != "weg") + r")\b|weg\b|strasse\b|stra(?:ß|ss)e\b", re.I)
-MAIL = re.compile(r"[\w.+-]+\s*(?:@|\[at\]|\(at\)|\bat\b)\s*[\w-]+(?:\s*(?:\.|\[dot\]|\(dot\)|\bdot\b)\s*[\w-]+)+", re.I)
-FULL_NAME = re.compile(r"(?:(?:Mr|Mrs|Ms|Miss|Dr|Prof|Chef|Sir|Dame)\.? )?[A-ZÀ-Ý][\w'’-]+(?:(?: [A-ZÀ-Ý]\.?){0,2} |, (?:[A-ZÀ-Ý]\.? )?)[A-ZÀ-Ý][\w'’-]+(?: [A-ZÀ-Ý]\.?| [A-ZÀ-Ý][\w'’-]+)?")
+
+def possible(line: str) -> bool:
+    """Whether the line can hold a span that ``valid`` lets pass: it asks for no more than ``valid`` does."""
+    if "@" in line or TWO_CAPITALS.search(line) or sum(map(line.count, "0123456789")) >= 6 or NUMBERED.search(line):
+        return True
+    return " at" in line.lower() and WRITTEN_AT.search(line) is not None and "dot" in line.lower() or "(at)" in line.lower() or "[at]" in line.lower() or "{at}" in line.lower()
 
 
 def valid(kind: str, span: str) -> bool:
@@ -508,16 +874,28 @@ def valid(kind: str, span: str) -> bool:
     if kind == "email":
         return MAIL.search(span) is not None
     if kind == "phone":
-        return 9 <= digits <= 15 and re.search(r"-\d-|\t| {2}|[^\d\s().+-]", span) is None
+        return 7 <= digits <= 15 and re.search(r"-\d-|\t| {2}|[^\d\s()/.+-]", span) is None
     if kind == "id_number":
-        return digits >= 6 and re.search(r"[;%\t]", span) is None
+        return digits >= 6 and re.search(r"[;%\t]|  ", span) is None
     if kind == "address":
-        return digits >= 1 and STREET_WORD.search(span) is not None
-    return FULL_NAME.fullmatch(span) is not None
+        return digits >= 1 and (HOUSE_FIRST.search(span) or HOUSE_LAST.search(span)) is not None and re.search(r"[A-ZÀ-Ý][\w'’-]{2}", span) is not None
+    return FULL_NAME.fullmatch(span) is not None and len({w.lower() for w in WORDY.findall(span)}) > 1 and not any(v in span.lower() for v in LOOK_LIKE_NAMES)
+
+
+def brand_places(text: str, brand: str) -> list[tuple[int, int]]:
+    """Where a line spells the site's name, blanks and signs aside."""
+    if not brand or brand[:3] not in (low := text.lower()):
+        return []
+    pieces = [("and", i, i + 1) if c == "&" else (c, i, i + 1) for i, c in enumerate(low) if c == "&" or c.isascii() and c.isalnum()]
+    squeezed, starts, ends = "".join(p[0] for p in pieces), [i for p in pieces for i in [p[1]] * len(p[0])], [i for p in pieces for i in [p[2]] * len(p[0])]
+    return [(starts[m.start()], ends[m.end() - 1]) for m in re.finditer(re.escape(brand), squeezed)]
+
 
+def spans(text: str, places: list[tuple[int, int]], tags, brand: str = "", common: frozenset[str] = frozenset()) -> list[tuple[int, int, str]]:
+    """Checked ``(start, end, kind)`` of a tagged line. A site's own name is a brand, not a person.
 
-def spans(text: str, places: list[tuple[int, int]], tags) -> list[tuple[int, int, str]]:
-    """Checked ``(start, end, kind)`` of a tagged line."""
+    In a line of capitals alone a name must do without ``common`` words: nothing else tells it from them there.
+    """
     out: list[list] = []
     for (a, b), t in zip(places, tags):
         if t == 0:
@@ -527,46 +905,58 @@ def spans(text: str, places: list[tuple[int, int]], tags) -> list[tuple[int, int
             out.append([a, b, tag[2:]])
         else:
             out[-1][1] = b
-    return [(a, b, kind) for a, b, kind in out if valid(kind, text[a:b])]
+    for span in out:
+        # "me at" before an address with a sign of its own is no part of it
+        if span[2] == "email" and (m := SIGNED_MAIL.search(text, span[0], span[1])):
+            span[:2] = m.span()
+    own = brand_places(text, brand) if out else []
+    if common and out and text.isupper():
+        out = [x for x in out if x[2] != "name" or common.isdisjoint(w.lower() for w in WORDY.findall(text, x[0], x[1]))]
+    return [(a, b, kind) for a, b, kind in out if valid(kind, text[a:b]) and not (kind in ("name", "address") and any(x < b and a < y for x, y in own))]
 
 
-def find(model: Crf, texts: list[str | None]) -> list[list[tuple[int, str, list[tuple[int, int, str]]]]]:
+def find(model: Crf, texts: list[str | None], urls: list[str | None] | None = None) -> list[list[tuple[int, str, list[tuple[int, int, str]]]]]:
     """For each text its lines with items: ``(line index, folded line, spans)``; one batch of Viterbi for all."""
-    jobs, ids, where = [], [], []
+    jobs, ids = [], []
     for n, text in enumerate(texts):
-        if not text or POSSIBLE.search(folded := fold(text)) is None:
+        if not text:
             continue
-        for i, line in enumerate(folded.split("\n")):
-            if POSSIBLE.search(line) is not None and not line.startswith("[Image"):
-                tokens, places = tokenize(line)
+        for i, line in enumerate(fold(text).split("\n")):
+            # addresses of pages and pictures are no text; a mail address is none of these
+            shown = URL.sub(lambda m: " " * len(m[0]), line) if "://" in line else line
+            if possible(shown):
+                tokens, places = tokenize(shown)
                 jobs.append((n, i, line, places))
                 ids.append(model.ids(tokens))
     out: list[list] = [[] for _ in texts]
     for (n, i, line, places), tags in zip(jobs, model.decode(ids)):
-        if tags.any() and (got := spans(line, places, tags)):
+        if tags.any() and (got := spans(line, places, tags, brand_of(urls[n]) if urls else "", model.lexicon[0])):
             out[n].append((i, line, got))
     return out
 
 
-def _map(df: DataFrame, key: str, text: str, model: Crf, rows, ddl: str) -> DataFrame:
+def _map(df: DataFrame, key: str, text: str, url: str | None, model: Crf, rows, ddl: str) -> DataFrame:
     ship(df.sparkSession)
     schema = parsed_schema(ddl)
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            keys, texts = (c.to_pylist() for c in batch.columns)
+            keys, texts, urls = (c.to_pylist() for c in batch.columns)
             for at in range(0, len(keys), 512):
                 part = texts[at : at + 512]
-                made = [x for k, t, found in zip(keys[at : at + 512], part, find(model, part)) for x in rows(k, t, found)]
+                made = [x for k, t, found in zip(keys[at : at + 512], part, find(model, part, urls[at : at + 512])) for x in rows(k, t, found)]
                 if made:
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*made), arrow)], schema=arrow)
 
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.select(F.col(key), F.col(text), (F.col(url) if url else F.lit(None).cast("string")).alias("_url")).mapInArrow(run, schema)
+
 
+def found(df: DataFrame, key: str, text: str, model: Crf | None = None, url: str | None = None) -> DataFrame:
+    """``key, line_no, kind``: kinds of items on each line, one row for each kind. Null texts have none; no shuffle.
 
-def found(df: DataFrame, key: str, text: str, model: Crf | None = None) -> DataFrame:
-    """``key, line_no, kind``: kinds of items on each line, one row for each kind. Null texts have none; no shuffle."""
+    With ``url``, the name of a row's own site is no person's name.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def rows(k, t, lines):
@@ -574,7 +964,7 @@ def found(df: DataFrame, key: str, text: str, model: Crf | None = None) -> DataF
             for what in sorted({x[2] for x in got}):
                 yield k, i + 1, what
 
-    return _map(df, key, text, model or trained(), rows, f"`{key}` {kind}, line_no int, kind string")
+    return _map(df, key, text, url, model or trained(), rows, f"`{key}` {kind}, line_no int, kind string")
 
 
 def replaced(own: str, line: str, got: list[tuple[int, int, str]]) -> str:
@@ -588,7 +978,7 @@ def replaced(own: str, line: str, got: list[tuple[int, int, str]]) -> str:
     return own
 
 
-def masked(df: DataFrame, key: str, text: str, model: Crf | None = None) -> DataFrame:
+def masked(df: DataFrame, key: str, text: str, model: Crf | None = None, url: str | None = None) -> DataFrame:
     """``key, clean``: each text with its items replaced by placeholders of their kind.
 
     Everything else stays as it is, character by character. Null stays null,
@@ -604,4 +994,4 @@ def masked(df: DataFrame, key: str, text: str, model: Crf | None = None) -> Data
             t = "\n".join(own)
         yield k, t
 
-    return _map(df, key, text, model or trained(), rows, f"`{key}` {kind}, clean string")
+    return _map(df, key, text, url, model or trained(), rows, f"`{key}` {kind}, clean string")

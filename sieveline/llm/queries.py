@@ -30,11 +30,11 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.found(records(spark, sf_dir), "rec_no", "content")
+    return pii.found(records(spark, sf_dir), "rec_no", "content", url="url")
 
 
 def p2_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.masked(records(spark, sf_dir), "rec_no", "content")
+    return pii.masked(records(spark, sf_dir), "rec_no", "content", url="url")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
