@@ -1,10 +1,11 @@
 """Problem 1: markup residue to clean text.
 
-The standard-library parser streams its events over a text once; each event is
-booked on its line. Lines get a text-to-tag ratio, the ratios are smoothed by
-a Gaussian window and thresholded, and the regions above the threshold are
-content. Markdown, wiki and LaTeX marks are rewritten line by line so that
-headings, lists, code and formulas keep plain marks of their own.
+The standard-library parser streams its events over a text; each event is
+booked on its line, and a line of any event holds HTML. Lines get a text-to-tag
+ratio, the ratios are smoothed by a Gaussian window, and where they fall into
+two clusters the lines with tags in the lower one (rows of links, empty
+frames) are no content. Markdown, wiki and LaTeX marks are rewritten line by
+line so that headings, lists, code and formulas keep plain marks of their own.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ DROPPED = frozenset("script style noscript iframe head".split())
 
 STRUCTURE = re.compile(r"<(?:img|ol|ul|li|h[1-6]|pre|code|table|t[rdh]|br)\b|</(?:ol|ul|pre|code)>", re.I)
 
-ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|([A-Za-z][A-Za-z0-9]{1,30}));")
+LINK = re.compile(r"<a\b[^<>]*>.*?</a\s*>", re.I)
+TAGGED = re.compile(r"<[^<>]*>")
 HEADINGS = {f"h{i}": "#" * i for i in range(1, 7)}
 PLACE_NAME = r"[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+|[a-z]+|[A-Z][A-Z ]+"
 
@@ -187,60 +189,71 @@ class Events(HTMLParser):
         self._reference(f"&#{name};", True)
 
 
-def _entity_known(m: re.Match) -> bool:
-    return m[1] is None or f"{m[1]};" in html.entities.html5
+BARE_LESS = re.compile(r"<(?![/!?]?[A-Za-z!?-])")
+BARE_AMPERSAND = re.compile(r"&(?!#?\w+;)")
 
 
-def parse_html(text: str) -> tuple[set[int], dict[int, int], str]:
-    """Lines with HTML, tags by line, and the text without it; entities need their semicolon.
+def _stand_ins(text: str) -> list[str]:
+    """Two characters that no text is meant to hold, and that this one doesn't."""
+    return [c for c in map(chr, (*range(0xFDD0, 0xFDF0), *range(0xE000, 0xF8FF))) if c not in text][:2]
 
-    Escaped markup is unescaped once and streamed again, so it counts and goes like the plain kind.
+
+def parse_html(text: str) -> tuple[dict[int, int], str]:
+    """Events by line, and the text without its markup; entities need their semicolon.
+
+    Escaped markup is unescaped once; streamed again it counts and goes like the plain kind.
     """
-    marked: set[int] = set()
-    for i, line in enumerate(text.split("\n")):
-        if "&" in line and any(_entity_known(m) for m in ENTITY.finditer(line)):
-            marked.add(i)
     # a bare ampersand or less-than sign is text; the parser must not take it for a start
-    guarded = re.sub(r"&(?!#?\w+;)", "&amp;", re.sub(r"<(?![/!?]?[A-Za-z!?-])", "&lt;", text))
+    less, ampersand = _stand_ins(text)
     events = Events()
-    events.feed(guarded)
+    events.feed(BARE_AMPERSAND.sub(ampersand, BARE_LESS.sub(less, text)))
     events.close()
-    tags = {n: k for n, k in events.tags.items()}
-    for n in tags:
-        if n in marked or _LT.search(text.split("\n", n + 1)[n] if n else text.split("\n", 1)[0]):
-            if "<" in (line := text.split("\n")[n]) or n in marked:
-                if n in marked or _has_tag(line):
-                    marked.add(n)
-    return marked, tags, "".join(events.out)
+    return events.tags, "".join(events.out).replace(less, "<").replace(ampersand, "&")
 
 
-_TAG = re.compile(r"<!--|<!doctype|</?([A-Za-z][A-Za-z0-9]*)(?=[\s/>])[^<>]*>?", re.I)
+def smoothed(ratios: list[float], sigma: float = 1.0) -> list[float]:
+    """The ratios under a Gaussian window."""
+    reach = max(1, math.ceil(2 * sigma))
+    weights = [(d, math.exp(-0.5 * (d / sigma) ** 2)) for d in range(-reach, reach + 1)]
+    out = []
+    for i in range(len(ratios)):
+        near = [(w, ratios[i + d]) for d, w in weights if 0 <= i + d < len(ratios)]
+        out.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    return out
 
 
-def _has_tag(line: str) -> bool:
-    return any(m[1] is None or m[1].lower() in TAGS for m in _TAG.finditer(line))
+def clustered(values: list[float], apart: float = 1.5) -> float:
+    """The threshold between two clusters of logarithmic ratios (two means); minus infinity where they lie less than ``apart`` from each other."""
+    low, high = min(values), max(values)
+    for _ in range(20):
+        cut = (low + high) / 2
+        below, above = [v for v in values if v < cut], [v for v in values if v >= cut]
+        if not below or not above:
+            break
+        means = sum(below) / len(below), sum(above) / len(above)
+        if means == (low, high):
+            break
+        low, high = means
+    return (low + high) / 2 if high - low >= apart else -math.inf
 
 
-def content_regions(text: str, tags: dict[int, int], sigma: float = 1.0, share: float = 0.5) -> list[bool]:
+def content_regions(text: str, tags: dict[int, int], sigma: float = 1.0, apart: float = 1.5, most: float = 1.0) -> list[bool]:
     """For each line, whether it lies in a content region.
 
-    The text-to-tag ratio of a line is its characters outside tags over its
-    tags; ratios are smoothed by a Gaussian window, and lines at or above
-    ``share`` of the least smoothed ratio of untagged text cluster as content.
-    Lines without tags are always content: they carry no markup to judge by.
-    So are lines with text of their own, and those whose tags give structure.
+    The text-to-tag ratio of a line is its characters outside tags and links
+    over its tags. Smoothed ratios are clustered; lines with tags in the lower
+    cluster, of less than ``most`` characters a tag, are left out: rows of
+    links. Lines without tags carry no markup to judge by, and those whose tags
+    give structure (lists, headings, code, tables, images) stay. A text of one
+    cluster is content throughout.
     """
     lines = text.split("\n")
-    ratio = [len(re.sub(r"<[^<>]*>", "", line).strip()) / max(1, tags.get(i, 0)) for i, line in enumerate(lines)]
-    reach = max(1, math.ceil(2 * sigma))
-    weights = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-reach, reach + 1)]
-    smooth = []
-    for i in range(len(lines)):
-        near = [(weights[d + reach], ratio[i + d]) for d in range(-reach, reach + 1) if 0 <= i + d < len(lines)]
-        smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
-    spread = sum(smooth) / len(smooth)
-    threshold = share * min(spread, 4.0)
-    return [not tags.get(i) or s >= threshold or bool(r) or STRUCTURE.search(lines[i]) is not None for i, (s, r) in enumerate(zip(smooth, ratio))]
+    ratio = [len(TAGGED.sub("", LINK.sub("", line) if i in tags else line).strip()) / max(1, tags.get(i, 0)) for i, line in enumerate(lines)]
+    own = [math.log1p(r) for r in ratio]
+    smooth = smoothed(own, sigma)  # of logarithms, or a long line would speak for the short ones beside it
+    shown = [r for r, line in zip(own, lines) if line.strip()]
+    threshold = min(clustered(shown, apart), math.log1p(most)) if shown else -math.inf
+    return [not tags.get(i) or (s + own[i]) / 2 >= threshold or STRUCTURE.search(lines[i]) is not None for i, s in enumerate(smooth)]
 
 
 def clean_markdown(line: str) -> str:
@@ -290,19 +303,17 @@ def analyse(text: str) -> tuple[list[str], str]:
     A text without markup comes back as it is.
     """
     kinds = []
-    marked: set[int] = set()
     clean = text
     if _LT.search(text):
-        marked, tags, rendered = parse_html(text)
-        if marked:
+        tags, _ = parse_html(text)
+        if tags:
             kinds.append("html")
-            rounds = 0
-            while marked and rounds < 3:  # escaped markup appears once unescaped
+            while tags:  # escaped markup appears once unescaped; each round leaves fewer characters
                 keep = content_regions(clean, tags)
-                source = "\n".join(line for line, k in zip(clean.split("\n"), keep) if k)
-                _, _, clean = parse_html(source)
-                marked, tags, _ = parse_html(clean)
-                rounds += 1
+                before, (_, clean) = clean, parse_html("\n".join(line for line, k in zip(clean.split("\n"), keep) if k))
+                if len(clean) >= len(before):
+                    break
+                tags, _ = parse_html(clean)
             clean = re.sub(r"[ \t]*\n(?:[ \t]*\n)+", "\n", clean).strip("\n")
     lines = text.split("\n")
     own = clean.split("\n")
