@@ -27,12 +27,14 @@ from .visual import fold
 NAME = r"[A-Za-z][A-Za-z0-9]*(?:[_. ][A-Za-z0-9]+){0,3}"
 #: Marks that only templates use, and marks that prose uses too.
 SURE = [("{{", re.compile(r"\{\{ ?(" + NAME + r") ?\}\}")), ("${", re.compile(r"\$\{(" + NAME + r")\}")), ("@@", re.compile(r"@@(" + NAME + r")@@")), ("%%", re.compile(r"%%(" + NAME + r")%%")),
-        ("insert", re.compile(r"\[+INSERT (" + NAME + r") HERE\]+")), ("<%", re.compile(r"<%=? ?(" + NAME + r") ?%>"))]
+        ("insert", re.compile(r"\[+INSERT (" + NAME + r") HERE\]+")), ("<%", re.compile(r"<%=? ?(" + NAME + r") ?%>")), ("[%", re.compile(r"\[%=? ?(" + NAME + r") ?%\]")), ("#{", re.compile(r"#\{ ?(" + NAME + r") ?\}")),
+        ("[[", re.compile(r"\[\[ ?([A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+) ?\]\]")), ("$", re.compile(r"\$([A-Za-z]+(?:[_.][A-Za-z]+)+)\$")), ("<", re.compile(r"<((?:your|insert|enter|add|put|type) [^<>\n]{1,60})>", re.I))]
 OPEN = [("[", re.compile(r"(?<!\[)\[(" + NAME + r")\](?![\](])")), ("{", re.compile(r"(?<![{$\\\w])\{(" + NAME + r")\}(?!\})")), ("%", re.compile(r"(?<![%\w])%(" + NAME + r")%(?![%\w])")),
         ("#", re.compile(r"(?<![#\w])#(" + NAME + r")#(?![#\w])")), ("__", re.compile(r"(?<![_\w])__(" + NAME + r")__(?![_\w])"))]
 TODO = ("todo", re.compile(r"^(?:.{0,40}\b)?(?:TODO|TBD|FIXME): (" + NAME + r")\b"))
-GOES_HERE = ("here", re.compile(r"^(?:your |the )?(" + NAME + r") (?:goes|comes|will be) here[.!]?$", re.I))
-MARK = re.compile(r"\{|@@|%|\[|#|__|TODO|TBD|FIXME|<%| here[.!]?$", re.M)
+GOES_HERE = ("here", re.compile(r"^[\[<(]?(?:your |the )?(" + NAME + r") (?:goes|comes|will be) here[.!\])>]*$", re.I))
+PUT_HERE = ("put", re.compile(r"^[\[<(]?(?:please )?(?:insert|enter|add|put|type|write|paste) (?:your |the |an? |some )?(" + NAME + r") here[.!\])>]*$|^click (?:here )?to (?:edit|add|change) (?:this |the |your |some )?(?:text|title|content|caption|heading|description|paragraph)[.!]?$", re.I))
+MARK = re.compile(r"\{|@@|%|\[|#|__|TODO|TBD|FIXME|<[%yieaptYIEAPT]|\$[A-Za-z]| here[.!\])>]*$|^[Cc]lick (?:here )?to ", re.M)
 VARIABLE = re.compile(r"[A-Za-z0-9]+(?:[_.][A-Za-z0-9]+)+|[A-Z]{4,}(?: [A-Z]+)*")
 
 # Wording of error messages, of script notices, and of filler.
@@ -43,6 +45,7 @@ ERROR = re.compile(
     r"please sign in again|something went wrong|went wrong on our side|(?:page|post|entry|article|document|recipe|guide|listing|content|resource|item) (?:was |could |can |is )?(?:not found|not be found|is gone|does not exist|doesn.t exist|no longer exists)|"
     r"could not be found|does not exist (?:any ?more|right now|yet|or)|(?:may have|has|have) been (?:moved|removed|deleted)|no longer available|link is (?:broken|dead)|nothing (?:was found|here\b|to see)|not available in your (?:area|country|region)|"
     r"verify (?:that )?you are (?:a )?human|are you a robot|checking your browser|slow down and reload|cannot show this|can.?not be (?:shown|displayed|loaded)|could not (?:be )?load(?:ed)?\b|page is gone|that (?:page|recipe) is gone|"
+    r"(?:responded|replied|response|returned|failed) with (?:an? )?(?:code |status |error )*[45]\d\d|connection (?:has )?(?:timed out|was refused|refused|was reset|reset)|requested (?:url|address)|(?:page|post|entry|article|document|recipe|guide|listing|content|resource|item|website) (?:is |was )?(?:currently )?unavailable|"
     r"site (?:has been|is) (?:suspended|disabled)|must renew the plan|account (?:has been )?suspended|domain (?:has expired|is parked|is for sale)|bandwidth limit|quota exceeded|please (?:try again|reload|refresh))",
     re.I,
 )
@@ -52,11 +55,11 @@ FOLLOW_UP = re.compile(
     re.I,
 )
 SCRIPT = re.compile(r"java ?script|\bscripts?\b|client-side scripting|script engine|\bnoscript\b", re.I)
-SCRIPT_NEED = re.compile(r"\b(?:enable|turn(?:ed)? on|switch\b.*\bon|requires?|needs?|need to|without it|disabled|blocks?|runs on|is off|out of date|not supported|must be|activate|allow)\b", re.I)
+SCRIPT_NEED = re.compile(r"\b(?:enable|turn(?:ed)? on|switch\b.*\bon|requires?|needs?|need to|without it|disabled|blocks?|runs on|is off|out of date|not supported|must be|must have|enabled|(?:does|do) not support|activate|allow)\b", re.I)
 FILLER = re.compile(r"^(?:sample|placeholder|dummy|example|demo|filler|default)\b.{0,30}\b(?:text|caption|paragraph|content|title|heading|entry|image|publishing|layout)\b|^(?:test[ ,.!]*){3,}|\bplease ignore this\b|\breplace (?:this |me )?before publishing\b|^(?:just |this is )?(?:an? )?(?:dummy|placeholder|filler) (?:text|content|paragraph)\b|^(?:blah[ ,.]*){2,}|^(?:asdf|qwerty|foo bar)\b", re.I)
 LATIN = frozenset("lorem ipsum dolor amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua".split())
 EVERYDAY = frozenset("the of and a to in is it you that was for on are with as at be this from or by not but all can an your if then until when about up out into them over so".split())
-BLANK = re.compile(r"^[\W_]*(?:n/?a|null|none|undefined|nan|untitled|tbd|todo|_{3,}|\.{4,}|-{1,2}|x{3,})[\W_]*$", re.I)
+BLANK = re.compile(r"^[\W_]*(?:n/?a|null|none|undefined|nan|untitled|tbd|tba|todo|_{3,}|\.{4,}|-{1,2}|x{3,}(?:[ -]x{3,})*)[\W_]*$", re.I)
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -64,17 +67,22 @@ WORDS = re.compile(r"[^\W\d_]+")
 COMMAND = re.compile(r"\\[A-Za-z]+\*?(?:\[[^\[\]]*\])?(?:\{[^{}]*\})*$")
 
 
+CODE = re.compile(r"[\\\"=;()]|\{\{|^\s*[{}]")
+
+
 def slots(line: str) -> list[tuple[str, str, int, int]]:
     """``(marks, name, start, end)`` of the marked slots of a line."""
     out = []
-    for marks, pattern in (*SURE, *OPEN, TODO, GOES_HERE):
+    for marks, pattern in (*SURE, *OPEN, TODO, GOES_HERE, PUT_HERE):
         for m in pattern.finditer(line):
             if marks != "{" or not COMMAND.search(line[: m.start()]):
-                out.append((marks, m[1], m.start(), m.end()))
+                # a bare word in braces is no prose; only formulas and code hold others
+                sure = marks == "{" and len(m[1]) > 2 and m[1].isalpha() and CODE.search(line) is None
+                out.append(("{}" if sure else marks, m[1] or "", m.start(), m.end()))
     return out
 
 
-SURE_MARKS = frozenset([k for k, _ in SURE] + ["todo", "here"])
+SURE_MARKS = frozenset([k for k, _ in SURE] + ["todo", "here", "put", "{}"])
 
 
 def is_variable(marks: str, name: str) -> bool:
@@ -129,7 +137,7 @@ def state(line: str) -> str:
 
 # Beginnings of six and of four letters: every wording above but that of blanks and scripts holds a word that begins so.
 # Ends of words are open, as the patterns leave them open.
-GATE_LONG = frozenset(x[:6] for x in "forbidden gateway unauthorized service internal access permission authorized temporarily maintenance database undefined http status upstream server request session please deleted removed available nothing verify checking displayed suspended disabled account domain bandwidth search return problem support contact apologize spelling reference sample placeholder example filler default replace qwerty".split())
+GATE_LONG = frozenset(x[:6] for x in "respond responded replied response returned failed connection requested unavailable forbidden gateway unauthorized service internal access permission authorized temporarily maintenance database undefined http status upstream server request session please deleted removed available nothing verify checking displayed suspended disabled account domain bandwidth search return problem support contact apologize spelling reference sample placeholder example filler default replace qwerty".split())
 GATE_SHORT = frozenset(x[:4] for x in "error found gone many perm fatal undefined stack wrong exist moved link robot browser reload load show renew quota try back check sorry owner dummy demo test blah asdf foo".split())
 
 
@@ -162,6 +170,8 @@ def examine(text: str, url: str | None = None) -> tuple[bool, list[tuple[str, st
     sections: list[list[tuple[str, str]] | None] = [[]]
     evident, named = False, []
     for i, line in enumerate(lines):
+        if not line and marked[i]:  # a place in angle brackets is a tag to the reader of lines
+            evident = evident or any(is_variable(marks, name) for marks, name, _, _ in marked[i])
         if i + 1 in drop and (states[i] not in ("error", "script") or boilerplate.role(line) in ("script", "menu", "share")) or not line or line.startswith("[Image"):
             continue
         if boilerplate.HEADING.match(line):
@@ -395,7 +405,7 @@ def _induced(df: DataFrame, text: str, url: str, holes: DataFrame, min_urls: int
     return held.join(varying, places, "left_semi").join(fillers.select(*places, "_word").distinct(), [*places, "_word"], "left_anti").select("_id")
 
 
-def residue(df: DataFrame, key: str, text: str, url: str, min_urls: int = 3, max_names: int = 10_000) -> DataFrame:
+def residue(df: DataFrame, key: str, text: str, url: str, min_urls: int = 3) -> DataFrame:
     """``key`` of every row whose text, or a section of it, is residue.
 
     Names in open marks, defaults and blanks are residue where aligned lines of

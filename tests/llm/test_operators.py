@@ -38,6 +38,25 @@ def test_markup_clean_keeps_structure():
     assert markup.analyse("# H\n**b** [t](http://u) ![i](http://v)")[1] == "# H\nb t [Image: http://v]"
 
 
+def test_regions_of_links_are_no_content():
+    links = ['<a href="/">Home</a> | <a href="/r">Recipes</a> | <a href="/a">About us</a>', '<div><a href="/s">Soups</a> <a href="/c">Cakes</a></div>', '<span><a href="/l">Log in</a></span>']
+    body = ["<p>Boil the rice in plenty of salted water.</p>", "<div>Oil</div>", "<p>See <a href='/x'>the notes</a> for other grains, and read them first.</p>", "<ul>", "<li><a href='/f'>flour</a></li>", "<li>salt</li>", "</ul>"]
+    page = "\n".join([*links, *body])
+    tags, _ = markup.parse_html(page)
+    assert markup.content_regions(page, tags) == [False] * 3 + [True] * 7
+    assert markup.analyse(page)[1] == "Boil the rice in plenty of salted water.\nOil\nSee the notes for other grains, and read them first.\n- flour\n- salt"
+    # one cluster: nothing to tell apart
+    assert all(markup.content_regions("\n".join(links), markup.parse_html("\n".join(links))[0]))
+
+
+def test_escapes_of_any_depth():
+    text = "<b>Salt</b>"
+    for _ in range(6):
+        text = text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    assert markup.analyse(text) == (["html"], "Salt")
+    assert markup.analyse("a < b & c") == ([], "a < b & c") and markup.analyse("a < b &amp; <i>c</i>") == (["html"], "a < b & c")
+
+
 # personal information
 
 
@@ -163,6 +182,15 @@ def test_statistics():
     assert s["mean_word_length"] == pytest.approx(17 / 6) and s["top_2gram_share"] == pytest.approx(3 * 6 / 51)
 
 
+def test_repetition_decides_about_junk():
+    line = "The cat sat on the mat and then it looked at me for a while."
+    assert quality.line_kind(line, residue.EVERYDAY) == "sentence"
+    assert quality.shape(quality.statistics("\n".join([line] * 12))) == "junk"
+    assert quality.shape(quality.statistics(" ".join(["the oats are in the pot and"] * 40))) == "junk"
+    assert quality.shape(quality.statistics("\n".join([line, *BODY[:8]]))) == "prose"
+    assert quality.line_kind("橄榄油 两勺", residue.EVERYDAY) == "entry" and quality.line_kind("把水倒在锅里，再煮一下。", residue.EVERYDAY) == "sentence"
+
+
 # repeated lines
 
 
@@ -186,8 +214,44 @@ def test_repeated_lines_against_brute_force(spark):
     excess = {k for k, v in seen.items() if len(v) >= 5 and len(v) >= 0.1 * len(urls[k[0]])}
     want = sorted((k, i) for k, u, t in rows if t is not None for i, line in enumerate(t.split("\n"), 1) if (site(u), form(line)) in excess)
     assert want and sorted((x.k, x.line_no) for x in repeated.excess_occurrences(df, "k", "t", "u").collect()) == want
-    cleaned = {x.k: x.clean for x in repeated.remove_excess(df, "k", "t", "u").collect()}
+    cleaned = {x.k: x.clean for x in repeated.remove_excess(df, "k", "t", "u", significant=False).collect()}
     assert cleaned == {k: None if t is None else "\n".join(line for line in t.split("\n") if (site(u), form(line)) not in excess) for k, u, t in rows}
+    # the same lines stand on every site, so hardly any is in excess of the others; the control keeps what isn't
+    sure = significant_lines(excess, seen, urls)
+    assert sure < excess
+    cleaned = {x.k: x.clean for x in repeated.remove_excess(df, "k", "t", "u").collect()}
+    assert cleaned == {k: None if t is None else "\n".join(line for line in t.split("\n") if (site(u), form(line)) not in sure) for k, u, t in rows}
+
+
+def significant_lines(excess, seen, urls, fdr=0.01):
+    """Benjamini-Hochberg over the p-values themselves, without bins."""
+    import math
+
+    total, p, more = sum(map(len, urls.values())), {}, {}
+    for s, f in excess:
+        k, n = len(seen[s, f]), len(urls[s])
+        k2, n2 = sum(len(v) for (a, b), v in seen.items() if b == f) - k, total - n
+        e = (k + k2) / (n + n2)
+        term = lambda x, y: x * math.log(x / y) if x else 0.0
+        g = 2 * (term(k, n * e) + term(n - k, n * (1 - e)) + term(k2, n2 * e) + term(n2 - k2, n2 * (1 - e)))
+        p[s, f], more[s, f] = math.erfc(math.sqrt(max(g, 0) / 2)), k / n > k2 / max(n2, 1)
+    order = sorted(p, key=p.get)
+    last = max((i for i, x in enumerate(order, 1) if p[x] <= fdr * i / len(order)), default=0)
+    return {x for x in order[:last] if more[x]}
+
+
+def test_a_line_of_one_site_is_significant(spark):
+    rows = [(i, f"https://{'abcd'[i % 4]}.test/{i}", f"Body {chr(97 + i % 26)}{chr(97 + i // 26)} alone\n" + ("Subscribe to the letter of a.test every week" if i % 4 == 0 else "")) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, u string, t string")
+    assert {x.k: x.clean for x in repeated.remove_excess(df, "k", "t", "u").collect()} == {k: "\n".join(x for x in t.split("\n") if "Subscribe" not in x) for k, _, t in rows}
+
+
+def test_lines_joined_by_site_where_the_table_is_large(spark, monkeypatch):
+    rows = [(i, f"https://{'abcd'[i % 4]}.test/{i}" if i % 7 else None, "Subscribe to the letter of this site every week\nx" if i % 4 == 0 else "y") for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, u string, t string")
+    want = sorted(map(tuple, repeated.remove_excess(df, "k", "t", "u").collect()))
+    monkeypatch.setattr(repeated, "MAX_SENT_LINES", 0)
+    assert sorted(map(tuple, repeated.remove_excess(df, "k", "t", "u").collect())) == want and (0, "Subscribe to the letter of this site every week\nx") in want and (4, "x") in want
 
 
 # look-alikes
@@ -206,7 +270,21 @@ def test_fold_and_pairs(spark):
     pairs = sorted(tuple(r) for r in visual.lookalike_pairs(df, "k", "t", ["rice"]).collect())
     assert pairs == [(0, 1), (0, 2), (1, 2), (1, 3), (2, 3)]
     words = visual.Canonicalizer(["rice", "boil"])
-    assert all(words(t) == visual.fold_table(t) for t in texts if t)  # the vocabulary never decides
+    assert all(words(t) == visual.fold_table(t) for t in texts if t)  # what the table lists needs no vocabulary
+    classes = sorted(tuple(r) for r in visual.lookalike_classes(df, "k", "t", ["rice"]).collect())
+    assert classes == [(0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 0, 0)]
+
+
+def test_vocabulary_settles_letters_that_no_table_lists(spark):
+    # a Cyrillic izhitsa, a Latin alpha and an Armenian letter within English words
+    texts = ["Add vanilla and a carrot", "Add \u0475anilla and a carrot", "Add vanilla and a c\u0251rrot", "Add van\u056cla and a carrot", "Add vanilla and a parrot"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    vocabulary = visual.vocabulary_of(["vanilla", "carrot", "parrot", "rice"])
+    assert sorted(r.k for r in visual.lookalike_classes(df, "k", "t", vocabulary).collect()) == [0, 1, 2]
+    assert visual.lookalike_classes(df, "k", "t").count() == 0  # without the vocabulary nothing is settled
+    words = visual.Canonicalizer(vocabulary)
+    assert words("\u0475\u0475nilla") == "\u0475\u0475nilla".replace("\u0475\u0475", "va") and words("\u03c0arrot") == "\u03c0arrot"  # carrot or parrot
+    assert words("ванилла") == visual.fold_table("ванилла") and words("猫 π = 3") == "猫 π = 3"
 
 
 # residue
@@ -225,6 +303,20 @@ def test_residue_wording(text, is_residue):
     assert residue.examine(text)[0] == is_residue
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["[[first_name]], your order is ready", "<your text here>", "Server responded with 522", "Dear {customer}, welcome", "Insert title here", "Click to edit this text", "Please add your description here", "<insert ingredients>", "We're sorry, this content is unavailable.",
+     "The connection timed out.", "You must have JavaScript enabled to use this recipe.", "$recipe.title$", "[%= name %]", "#{title}", "The requested URL was not found on this server.", "Your browser does not support JavaScript"],
+)
+def test_residue_of_other_forms(text):
+    assert residue.examine(text)[0]
+
+
+@pytest.mark.parametrize("text", ["\\frac{cup}{two} of oats", "print(f'{tray}')", "a {x} b", "The server responded with a smile.", "See [[Category:Soup_dishes|soups]]", "It costs $5.50 or $6.20 here.", "The <b>best</b> rice", "Add your own spices here and there."])
+def test_what_looks_like_residue_and_is_none(text):
+    assert not residue.examine(text)[0]
+
+
 def test_open_slots_are_induced_from_the_corpus(spark):
     rows = [(i, f"https://a.test/{i}", t) for i, t in enumerate(["Add [servings] now.", "Add {servings} now.", "Serve #servings# hot.", "Pick [mild] now.", "Pick [mild] now.", "Pick [mild] now."])]
     df = spark.createDataFrame(rows, "k int, u string, t string")
