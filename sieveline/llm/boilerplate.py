@@ -21,7 +21,7 @@ import html
 import math
 import re
 from functools import lru_cache
-from operator import mul
+from math import sumprod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,6 +115,7 @@ FUNCTION_WORDS = frozenset("the of and a an to in is it that was for on with as
 #: Lines beyond this length tell no more by it.
 LONG = 200
 SENTENCE_PARTS = ".,!?;。，！？；"
+ASCII_PARTS = SENTENCE_PARTS[:5]
 #: Template places are nobody's words; names in them count for nothing.
 PLACES = re.compile(r"[{}_]|%\w+%|\[\[|@@|^\[\w+\]$|\w\(\S|^(?:TODO|TBD|FIXME)\b")
 QUANTITY = re.compile(r"^(?:\d|[¼-¾⅐-⅞])")
@@ -160,7 +161,7 @@ def _role(low: str, words: list[str], brand: str) -> str:
 class Node:
     """One line: its path and what is read of it."""
 
-    __slots__ = ("block", "density", "function", "leaf", "length", "line", "part", "punctuation", "role", "words")
+    __slots__ = ("block", "density", "function", "leaf", "length", "line", "log", "part", "punctuation", "role", "words")
 
 
 def nodes(text: str, url: str | None = None) -> list[Node | None]:
@@ -189,10 +190,12 @@ def nodes(text: str, url: str | None = None) -> list[Node | None]:
                 block = "paragraph" if len(line) > 80 else "short"
             n.leaf = n.role or ("quantity" if QUANTITY.match(line) else "title" if TITLE.match(line) else "sentence" if line[-1] in ".!?。" else "other")
         n.part, n.block, n.length = part, block, min(len(line), LONG)
-        n.punctuation = sum(map(line.count, SENTENCE_PARTS))
+        n.punctuation = sum(map(line.count, ASCII_PARTS if line.isascii() else SENTENCE_PARTS))
         count = len(words) or 1
-        n.density = 0.0 if PLACES.search(line) else sum([SITE_WORDS.get(w, 0.0) for w in words]) / count
+        hits = [SITE_WORDS[w] for w in words if w in SITE_WORDS]
+        n.density = sum(hits) / count if hits and PLACES.search(line) is None else 0.0
         n.function = len([w for w in words if w in FUNCTION_WORDS]) / count
+        n.log = math.log1p(n.length)
         out.append(n)
     return out
 
@@ -209,29 +212,37 @@ def features(page: list[Node | None], sigma: float = 1.0) -> list[tuple[float, .
     paths: dict[tuple, list[float]] = {}
     blocks: dict[tuple, list[float]] = {}
     for n in shown:
-        for table, key in ((paths, (n.part, n.block, n.leaf)), (blocks, (n.part, n.block))):
-            sums = table.setdefault(key, [0.0, 0.0, 0.0, 0.0])
-            sums[0] += 1
-            sums[1] += n.length
-            sums[2] += n.punctuation
-            sums[3] += n.density
-    window, last, out = _window(sigma), len(shown), []
+        key = (n.part, n.block, n.leaf)
+        if (sums := paths.get(key)) is None:
+            sums = paths[key] = [0, 0, 0, 0.0]
+        sums[0] += 1
+        sums[1] += n.length
+        sums[2] += n.punctuation
+        sums[3] += n.density
+    for (part, block, _), sums in paths.items():
+        above = blocks.setdefault((part, block), [0, 0.0])
+        above[0] += sums[0]
+        above[1] += sums[3]
+    # what lines of one path share is computed once
+    shared = {k: (math.log1p(v[1] / v[0]), math.log1p(v[2] / v[0]), v[3] / v[0], blocks[k[:2]][1] / blocks[k[:2]][0]) for k, v in paths.items()}
+    densities, logs, last = [n.density for n in shown], [n.log for n in shown], len(shown)
+    window, out = _window(sigma), []
     for i, n in enumerate(shown):
-        count, length, punctuation, density = paths[n.part, n.block, n.leaf]
-        above = blocks[n.part, n.block]
+        length, punctuation, density, block = shared[n.part, n.block, n.leaf]
         weight = near = far = 0.0
         for d, w in window:
-            if 0 <= i + d < last:
+            j = i + d
+            if 0 <= j < last:
                 weight += w
-                near += w * shown[i + d].density
-                far += w * math.log1p(shown[i + d].length)
+                near += w * densities[j]
+                far += w * logs[j]
         weight = weight or 1.0
-        what, few = n.role, len(n.words) <= 6
-        cue = what not in ("", "menu", "sidebar")  # the site's own name among them
+        what, own = n.role, n.density
         out.append((
-            1.0, math.log1p(length / count), math.log1p(punctuation / count), n.density, density / count, above[3] / above[0], near / weight, far / weight,
-            float(cue), float(what == "menu"), float(what == "sidebar"), float(not n.density and not what), float(not what and n.leaf == "title"), float(QUANTITY.match(n.line) is not None), float(n.line[-1] in ".!?。"),
-            float(n.part == "top"), n.function, math.log1p(n.length), n.density if few else 0.0, n.function if what else 0.0,
+            1.0, length, punctuation, own, density, block, near / weight, far / weight,
+            1.0 if what and what not in ("menu", "sidebar") else 0.0,  # the site's own name among them
+            1.0 if what == "menu" else 0.0, 1.0 if what == "sidebar" else 0.0, 0.0 if own or what else 1.0, 1.0 if n.leaf == "title" else 0.0, 1.0 if QUANTITY.match(n.line) else 0.0,
+            1.0 if n.line[-1] in ".!?。" else 0.0, 1.0 if n.part == "top" else 0.0, n.function, n.log, own if len(n.words) <= 6 else 0.0, n.function if what else 0.0,
         ))
     return out
 
@@ -242,7 +253,7 @@ def furniture(text: str, url: str | None = None, weights: tuple[float, ...] | No
     weights, out = weights or WEIGHTS, []
     scored = iter(features(page))
     for i, n in enumerate(page, 1):
-        if n is not None and sum(map(mul, next(scored), weights)) < THRESHOLD and n.leaf != "heading":
+        if n is not None and sumprod(next(scored), weights) < THRESHOLD and n.leaf != "heading":
             out.append(i)
     return out
 

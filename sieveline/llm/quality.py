@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,12 @@ def _common_words() -> frozenset[str]:
     return residue.EVERYDAY
 
 
+@lru_cache(maxsize=8)
+def _wide(common: frozenset[str]) -> frozenset[str]:
+    """The common words that are written without blanks."""
+    return frozenset(w for w in common if CJK.match(w)) or frozenset("的了在是不也和就")
+
+
 def line_kind(line: str, common: frozenset[str]) -> str:
     """``sentence``, ``entry``, ``value``, ``noise`` or empty (too little to tell)."""
     text = line.strip()
@@ -55,7 +62,8 @@ def line_kind(line: str, common: frozenset[str]) -> str:
     if not text.isascii():
         zh = len(CJK.findall(text))
         if zh >= 4 and zh * 3 >= len(text):
-            return "sentence"
+            # without a common word or an end, a short line of characters is an entry
+            return "sentence" if zh > 12 or END.search(text) or any(w in text for w in _wide(common)) else "entry"
         if 5 * len(MOJIBAKE.findall(text)) >= max(20, len(text)):
             return "noise"
     words = WORDS.findall(text.lower())
@@ -146,13 +154,29 @@ def statistics(text: str, url: str | None = None, common: frozenset[str] | None
     }
 
 
+#: From so many words on, a text can be judged by its repetitions.
+LEAST_WORDS = 30
+
+
+def repetition(stats: dict[str, float]) -> float:
+    """How much of a text says again what it said: the largest of the shares of duplicate lines and paragraphs and of what the dominant n-grams cover."""
+    return max(stats["duplicate_line_share"], stats["duplicate_paragraph_share"], stats["top_2gram_share"], stats["top_3gram_share"], stats["top_4gram_share"])
+
+
 def shape(stats: dict[str, float]) -> str:
-    """``prose``, ``list``, ``table`` or ``junk`` by combined rules; a text without words or marks is prose."""
+    """``prose``, ``list``, ``table`` or ``junk`` by combined rules; a text without words or marks is prose.
+
+    A text of some length that hardly does anything but repeat itself is junk,
+    whatever its lines look like: by its lines and paragraphs, or by one n-gram
+    over few distinct words. Otherwise the kinds of its lines decide, junk the
+    more so the more it repeats.
+    """
+    few = stats["distinct_word_share"] < 0.1
+    if stats["words"] >= LEAST_WORDS and (stats["duplicate_line_share"] >= 0.7 or stats["duplicate_paragraph_share"] >= 0.7 or few and max(stats["top_3gram_share"], stats["top_4gram_share"]) >= 0.5):
+        return "junk"
     if stats["sentence_share"] >= 0.35:
         return "prose"
-    shares = {"junk": stats["noise_share"], "table": stats["value_share"], "list": stats["entry_share"]}
-    if stats["top_2gram_share"] > 0.5 and stats["distinct_word_share"] < 0.1:
-        shares["junk"] += 0.5
+    shares = {"junk": stats["noise_share"] + (0.5 if few and repetition(stats) > 0.5 else 0.0), "table": stats["value_share"], "list": stats["entry_share"]}
     best = max(shares, key=lambda k: (shares[k], k))
     return best if shares[best] > 0.3 else "prose"
 
