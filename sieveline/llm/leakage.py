@@ -9,16 +9,19 @@ bit-parallel distance over words.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import arrow_flat_map
 
 WINDOW = 13
 HEAD = 4
 WORD = re.compile(r"[^\W_]+")
-#: The items are a held-out set of known size; more than this is refused rather than sent to every task.
+#: So many characters of items are sent to the tasks at once; more items go in parts, each with a scan of its own.
 MAX_ITEM_CHARS = 16_000_000
 
 
@@ -56,20 +59,20 @@ class Pieces:
     """The pieces of all windows of all items, by their first words."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, errors: int = 0):
-        self.errors = errors
         # by the number of words looked up, at most HEAD, then by those words
         self.by_head: dict[int, dict[tuple[str, ...], list[tuple[tuple[str, ...], int, int]]]] = defaultdict(lambda: defaultdict(list))
-        self.windows: list[tuple[int, list[str]]] = []
+        self.windows: list[tuple[int, list[str], int]] = []
         seen = set()
         for item, text in items:
             words = words_of(text or "")
             if not words:
                 continue
             size = min(window, len(words))
-            parts = min(errors + 1, size)
+            budget = min(errors, size - 1)
+            parts = budget + 1
             cuts = [size * i // parts for i in range(parts + 1)]
             for at in range(len(words) - size + 1):
-                self.windows.append((item, words[at : at + size]))
+                self.windows.append((item, words[at : at + size], budget))
                 for a, b in zip(cuts, cuts[1:]):
                     piece = tuple(words[at + a : at + b])
                     if (key := (piece, item, at, a)) not in seen:
@@ -85,35 +88,36 @@ class Pieces:
                 if head not in heads:
                     continue
                 for piece, w, offset in heads[head]:
-                    item, window = self.windows[w]
+                    item, window, budget = self.windows[w]
                     if found.get(item) == 0 or tuple(words[i : i + len(piece)]) != piece:
                         continue
-                    begin = max(0, i - offset - self.errors)
-                    stretch = words[begin : i - offset + len(window) + self.errors]
-                    if len(stretch) + self.errors < len(window):
+                    begin = max(0, i - offset - budget)
+                    stretch = words[begin : i - offset + len(window) + budget]
+                    if len(stretch) + budget < len(window):
                         continue
-                    distance = myers(window, stretch, self.errors)
-                    if distance <= self.errors and distance < found.get(item, distance + 1):
+                    distance = myers(window, stretch, budget)
+                    if distance <= budget and distance < found.get(item, distance + 1):
                         found[item] = distance
         return found
 
 
-def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, window: int = WINDOW, errors: int = 0) -> DataFrame:
-    """``key, item_key, distance``: every document with the items it holds a passage of.
+#: The last index that this Python worker built; tasks of one scan share it.
+_BUILT: dict[tuple, Pieces] = {}
 
-    A passage is ``window`` consecutive words of an item, or the whole of a
-    shorter one, within ``errors`` words inserted, dropped or changed. Null and
-    empty texts hold and are nothing. Documents are scanned once, without a
-    shuffle; the items go to every task after a check of their size.
-    """
-    chosen = items.select(item_key, item_text).dropna()
-    chars = chosen.selectExpr(f"coalesce(sum(length(`{item_text}`)), 0) AS n").first()["n"]
-    if chars > MAX_ITEM_CHARS:
-        raise ValueError(f"test items of {chars} characters; split them into parts of {MAX_ITEM_CHARS}")
-    rows = [tuple(r) for r in chosen.collect()]
+
+def _pieces(number: str, rows: list[tuple[int, str]], window: int, errors: int) -> Pieces:
+    key = (number, window, errors)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Pieces(rows, window, errors)
+    return _BUILT[key]
+
+
+def _scan(docs: DataFrame, key: str, text: str, rows: list[tuple], window: int, errors: int, ddl: str) -> DataFrame:
+    sent, number = docs.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
 
     def make():
-        pieces = Pieces(rows, window, errors)
+        pieces = _pieces(number, sent.value, window, errors)
 
         def row(k, t):
             if t:
@@ -122,5 +126,25 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
 
         return row
 
+    return arrow_flat_map(docs.select(key, text), make, ddl)
+
+
+def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, window: int = WINDOW, errors: int = 0, most_chars: int = MAX_ITEM_CHARS) -> DataFrame:
+    """``key, item_key, distance``: every document with the items it holds a passage of.
+
+    A passage is ``window`` consecutive words of an item, or the whole of a
+    shorter one, within ``errors`` words inserted, dropped or changed (of a
+    short item all but one at most);
+    ``distance`` is the least number of these. Null and empty texts hold and
+    are nothing. Documents are scanned without a shuffle. Items are broadcast
+    after a check of their size: beyond ``most_chars`` they go in parts by hash
+    of their key, one scan of the documents for each part; a part may exceed
+    the size by chance or by one long item, and none is dropped.
+    """
+    chosen = items.select(item_key, item_text).dropna()
+    chars = chosen.agg(F.coalesce(F.sum(F.length(item_text)), F.lit(0))).first()[0]
+    parts = max(1, -(-chars // most_chars))
     kinds = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
-    return arrow_flat_map(docs.select(key, text), make, f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, distance int")
+    ddl = f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, distance int"
+    each = [chosen.where(F.pmod(F.xxhash64(item_key), F.lit(parts)) == p) if parts > 1 else chosen for p in range(parts)]
+    return reduce(DataFrame.unionByName, [_scan(docs, key, text, [tuple(r) for r in part.collect()], window, errors, ddl) for part in each])

@@ -467,6 +467,33 @@ def test_myers_equals_dynamic_programming():
         assert leakage.myers(a, b, 99) == edit(a, b)
 
 
+def edited(r, words, n):
+    """``words`` with ``n`` words changed, dropped or inserted."""
+    words = list(words)
+    for _ in range(n):
+        at, how = r.randrange(1, len(words) - 1), r.choice("cdi")
+        words[at : at + (how != "i")] = [] if how == "d" else [f"zz{r.randrange(10**6)}"]
+    return words
+
+
+def test_near_passages_are_all_found(spark):
+    r = random.Random(8)
+    items = [(x.item_id, x.text) for x in table(spark, "/root/testdata/sf0.01", "eval_items").dropna().collect() if len(leakage.words_of(x.text)) >= 13]
+    docs, want = [], set()
+    for i in range(300):
+        item, text = r.choice(items)
+        words = leakage.words_of(text)
+        at = r.randrange(len(words) - 12)
+        docs.append((i, " ".join(["stir", "the", "pot"] + edited(r, words[at : at + 13], 2) + ["until", "done"])))
+        want.add((i, item))
+    df, held = spark.createDataFrame(docs, "d int, t string"), spark.createDataFrame(items, "i bigint, x string")
+    got = {(x.d, x.i) for x in leakage.leaks(df, "d", "t", held, "i", "x", errors=2).collect()}
+    assert want <= got
+    # in parts: the same rows
+    parted = leakage.leaks(df, "d", "t", held, "i", "x", errors=2, most_chars=5_000)
+    assert {(x.d, x.i) for x in parted.collect()} == got and parted.count() == len(got)
+
+
 def test_matches_equal_brute_force():
     r = random.Random(6)
     words = [f"w{i}" for i in range(12)]
