@@ -7,7 +7,7 @@ cleaning and assembly are Columns.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,43 +60,50 @@ def as_list(value) -> list:
     return [] if value is None else value if isinstance(value, list) else [value]
 
 
-def jsonld_images(value) -> list[str]:
-    found = (v if isinstance(v, str) else (v.get("url") or v.get("@id")) if isinstance(v, dict) else None for v in as_list(value))
-    return unique(v.strip() for v in found if isinstance(v, str) and v.strip().startswith("http"))
+def spoken(thing) -> str:
+    """What a JSON-LD value says: a string itself, an object by its text or else its name, in whatever type these are given."""
+    said = thing if isinstance(thing, str) else (thing.get("text") or thing.get("name") or "") if isinstance(thing, dict) else ""
+    return str(said).strip()
 
 
-def jsonld_steps(value) -> str:
-    """Texts of the steps; sections are opened one level."""
-    if isinstance(value, str):
-        return value.strip()
-    lines: list[str] = []
+def steps_in(value, depth: int = 1) -> Iterator[str]:
+    """Texts of instruction steps in their order; what an object lists below itself follows it, one level deep."""
+    for thing in as_list(value):
+        yield spoken(thing)
+        if depth and isinstance(thing, dict) and thing.get("itemListElement"):
+            yield from steps_in(thing["itemListElement"], depth - 1)
 
-    def say(x) -> None:
-        text = x if isinstance(x, str) else (x.get("text") or x.get("name")) if isinstance(x, dict) else None
-        if isinstance(text, str) and text.strip():
-            lines.append(text.strip())
 
-    for step in as_list(value):
-        say(step)
-        for inner in as_list(step.get("itemListElement")) if isinstance(step, dict) else []:
-            say(inner)
-    return "\n".join(lines)
+def addresses_in(value) -> Iterator[str]:
+    """Web addresses of pictures given as strings or objects."""
+    for thing in as_list(value):
+        at = (thing.get("url") or thing.get("@id")) if isinstance(thing, dict) else thing
+        if isinstance(at, str) and at.startswith("http"):
+            yield at
 
 
-def jsonld_recipe(root: Node) -> tuple[str, list[str], str, str, str] | None:
-    """The first object typed as a recipe among the page's JSON-LD blocks; blocks that don't parse are passed over."""
+def typed_objects(root: Node) -> Iterator[dict]:
+    """The objects of a page's JSON-LD blocks, graphs opened; blocks that don't parse are passed over."""
     for script in select(root, 'script[type="application/ld+json"]'):
         try:
             data = json.loads("".join(c for c in script.children if isinstance(c, str)))
-        except ValueError:
+        except (ValueError, RecursionError):
             continue
-        objects: list = []
-        for x in as_list(data):
-            objects += x["@graph"] if isinstance(x, dict) and isinstance(x.get("@graph"), list) else [x]
-        for x in objects:
-            if isinstance(x, dict) and "recipe" in [t.lower() for t in as_list(x.get("@type")) if isinstance(t, str)]:
-                ingredients = "\n".join(str(i).strip() for i in as_list(x.get("recipeIngredient")) if str(i).strip())
-                return str(x.get("name") or "").strip(), jsonld_images(x.get("image")), ingredients, jsonld_steps(x.get("recipeInstructions")), ""
+        for thing in as_list(data):
+            if isinstance(thing, dict):
+                graph = thing.get("@graph")
+                yield from (x for x in (graph if isinstance(graph, list) else [thing]) if isinstance(x, dict))
+
+
+def jsonld_recipe(root: Node) -> tuple[str, list[str], str, str, str] | None:
+    """Title, pictures, ingredients, instructions and (never given) notes of the first object typed as a recipe."""
+    for thing in typed_objects(root):
+        if any(isinstance(t, str) and t.lower() == "recipe" for t in as_list(thing.get("@type"))):
+            lines = lambda texts: "\n".join(t for t in texts if t)
+            return (
+                str(thing.get("name") or "").strip(), unique(addresses_in(thing.get("image"))), lines(str(x).strip() for x in as_list(thing.get("recipeIngredient"))),
+                lines(steps_in(thing.get("recipeInstructions"))), "",
+            )
     return None
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import pstrip
-from ..session import checkpoint, ship
+from ..session import checkpoint
+from ..sources.arrow import arrow_flat_map
 
 
 def rule_parts(rules) -> tuple[list[str], list[str]]:
@@ -54,14 +55,16 @@ def url_allowed(url: Column, allow, deny) -> Column:
 
 def parsed_rules(configs: DataFrame, domain: str, allow: str, deny: str) -> DataFrame:
     """Rule lists of many sites as columns: ``domain`` and patterns and substrings of each side."""
-    ship(configs.sparkSession)
 
-    @F.udf("struct<patterns: array<string>, substrings: array<string>>")
-    def parts(rules):
-        patterns, substrings = rule_parts(rules)
-        return patterns, substrings
+    def make():
+        def row(site, allowed, denied):
+            sides = (dict(zip(("patterns", "substrings"), rule_parts(rules))) for rules in (allowed, denied))
+            yield site, *sides
+
+        return row
 
-    return configs.select(F.col(domain).alias("domain"), parts(allow).alias("allow"), parts(deny).alias("deny"))
+    side = "struct<patterns:array<string>,substrings:array<string>>"
+    return arrow_flat_map(configs.select(domain, allow, deny), make, f"domain string, allow {side}, deny {side}")
 
 
 def url_allowed_by(url: Column, allow: Column, deny: Column) -> Column:
@@ -114,6 +117,12 @@ def frontier(index_urls: DataFrame, sitemap_urls: DataFrame) -> DataFrame:
     return index_urls.select("url").union(sitemap_urls.select("url")).distinct()
 
 
+def discovered(anchors: DataFrame, prefixes: list[str], blocked: list[str]) -> DataFrame:
+    """``url, entry, pos``: allowed addresses of anchors (``entry, base, pos, href``), resolved against their page, in normal form, each where it is seen first."""
+    resolved = anchors.select(normalize_url(absolute_url(F.col("base"), F.col("href"))).alias("url"), "entry", "pos")
+    return first_seen_links(resolved.where(prefix_allowed(F.col("url"), prefixes, blocked)), "url", ["entry", "pos"])
+
+
 def first_seen_links(links: DataFrame, url: str, order: list[str]) -> DataFrame:
     """Of each url the row that comes first by ``order``. A url repeated a billion times costs one row a partition: the least is pre-aggregated."""
     rest = [c for c in links.columns if c != url]

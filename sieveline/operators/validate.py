@@ -370,9 +370,9 @@ def short_files(paths: DataFrame, checked: DataFrame, least: int = STRICT_LINES)
     return short.select("path", F.lit(0).alias("line"), F.lit("R1").alias("tag"), F.lit(f"strict 模式：单文件行数 < {least}").alias("msg"))
 
 
-def unreadable_files(files: DataFrame) -> DataFrame:
-    """Of ``path, content binary``: files that are not UTF-8."""
-    return files.where(~F.is_valid_utf8(F.col("content").cast("string"))).select("path", F.lit(0).alias("line"), F.lit("R1").alias("tag"), F.lit("UTF-8/读文件失败").alias("msg"))
+def unreadable_files(paths: DataFrame) -> DataFrame:
+    """The finding of each ``path`` that is not UTF-8."""
+    return paths.select("path", F.lit(0).alias("line"), F.lit("R1").alias("tag"), F.lit("UTF-8/读文件失败").alias("msg"))
 
 
 def report_line(path: Column, line: Column, tag: Column, msg: Column) -> Column:

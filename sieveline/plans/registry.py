@@ -290,7 +290,7 @@ def rolling_parts(spark, sf_dir):
 
 def rejected_json(spark, sf_dir):
     rows = table(spark, sf_dir, "rejected")
-    return rows.select(sinks.ascii_json(F.to_json(F.struct("url", "reason"), {"ignoreNullFields": "false"})).alias("value"))
+    return rows.select(sinks.rejected_line(F.col("url"), F.col("reason")).alias("value"))
 
 
 def report_lines(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,39 @@ from pyspark.sql.window import Window
 from .arrow import arrow_flat_map
 
 
-def expand_paths(inputs: list[str] | str) -> list[str]:
-    """Folders to their ``*.jsonl``, anything else as a pattern; sorted, each file once."""
+def expand_paths(inputs: list[str] | str, spark: SparkSession | None = None) -> list[str]:
+    """Folders to their ``*.jsonl``, anything else as a pattern; sorted, each file once.
+
+    With a session, names are looked up in the file system that each input
+    belongs to; without one, on the local disk.
+    """
     inputs = [inputs] if isinstance(inputs, str) else inputs
+    if spark is not None:
+        return sorted({f for x in inputs for f in _shared_files(spark, x)})
     found: set[str] = set()
     for x in inputs:
         found.update(glob.glob(os.path.join(x, "*.jsonl")) if os.path.isdir(x) else [p for p in glob.glob(x) if os.path.isfile(p)])
     return sorted(found)
 
 
+def plain_path(uri: str) -> str:
+    """A local file's address as a path; others as they are."""
+    return re.sub("^file:/*", "/", uri)
+
+
+def _shared_files(spark: SparkSession, pattern: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: list[str] = []
+    for status in fs.globStatus(path) or []:
+        if status.isFile():
+            found.append(status.getPath().toString())
+        elif pattern.rstrip("/") == plain_path(status.getPath().toString()).rstrip("/") or status.getPath().toString().rstrip("/") == pattern.rstrip("/") or not re.search(r"[*?\[{]", pattern):
+            found += [x.getPath().toString() for x in fs.globStatus(jvm.org.apache.hadoop.fs.Path(status.getPath(), "*.jsonl")) or [] if x.isFile()]
+    return [plain_path(x) for x in found]
+
+
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``path, line, value``: every line with its 1-based number, in universal newlines.
 
@@ -40,11 +65,9 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return numbered.select(path.alias("path"), (F.col("_before") + F.col("_row")).cast("int").alias("line"), "value")
 
 
-def read_binary(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path, content`` of whole files, for the check of their encoding."""
-    if not paths:
-        return spark.createDataFrame([], "path string, content binary")
-    return spark.read.format("binaryFile").load(paths).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
+def not_utf8(lines: DataFrame) -> DataFrame:
+    """``path`` of the files of which a line is no valid UTF-8. Files are read in splits, so they may be of any length."""
+    return lines.where(~F.is_valid_utf8("value")).select("path").distinct()
 
 
 def tolerant(lines: DataFrame) -> DataFrame:

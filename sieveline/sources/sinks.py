@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.validate import report_line
@@ -33,13 +34,64 @@ def write_jsonl(df: DataFrame, record: str, out: str) -> None:
     df.select(json_line(F.col(record)).alias("value")).write.mode("overwrite").text(out)
 
 
-def write_rejected(df: DataFrame, out: str) -> None:
-    df.select(ascii_json(F.to_json(F.struct("url", "reason"))).alias("value")).write.mode("overwrite").text(out)
+def rejected_line(url: Column, reason: Column) -> Column:
+    """A rejected record as JSON beyond ASCII escaped, null members kept."""
+    return ascii_json(json_line(F.struct(url.alias("url"), reason.alias("reason"))))
 
 
-def write_volumes(merged: DataFrame, value: str, out: str) -> None:
-    """One folder for each volume, its rows in order."""
-    merged.repartition("volume").sortWithinPartitions("volume", "idx").select(F.col(value).alias("value"), "volume").write.mode("overwrite").partitionBy("volume").text(out)
+def write_rejected(df: DataFrame, out: str) -> None:
+    df.select(rejected_line(F.col("url"), F.col("reason")).alias("value")).write.mode("overwrite").text(out)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def write_named(df: DataFrame, name: str, order: list[str], text: str, out: str, always: tuple[str, ...] = ()) -> list[str]:
+    """Lines of ``text`` into files of the given names under ``out``, in order; returns the names.
+
+    Each file is written by one task and moved to its name; the driver sees
+    names only. Files of these names are replaced, others stay. ``always``:
+    names that get an empty file where no row has them.
+    """
+    spark = df.sparkSession
+    fs, folder = _file_system(spark, out)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    apart = path(folder, f"_writing-{uuid.uuid4().hex}")
+    rows = df.select(F.col(name).alias("_file"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)], F.col(text).alias("value"))
+    rows.repartition("_file").sortWithinPartitions("_file", *[f"_order{i}" for i in range(len(order))]).select("value", "_file").write.partitionBy("_file").text(apart.toString())
+    names = []
+    try:
+        for each in fs.listStatus(apart):
+            if each.isDirectory() and each.getPath().getName().startswith("_file="):
+                own = unescape(each.getPath().getName()[len("_file=") :])
+                target = path(folder, own)
+                fs.mkdirs(target.getParent())
+                fs.delete(target, False)
+                for part in fs.listStatus(each.getPath()):
+                    if part.getPath().getName().startswith("part-"):
+                        fs.rename(part.getPath(), target)
+                names.append(own)
+    finally:
+        fs.delete(apart, True)
+    for own in always:
+        if own not in names:
+            fs.create(path(folder, own), True).close()
+            names.append(own)
+    return sorted(names)
+
+
+def write_volumes(merged: DataFrame, value: str, out: str, day: str) -> list[str]:
+    """One file for each volume, named by day and number, its rows in order; no row at all gives one empty volume."""
+    first = f"{day}_clean_file_1.jsonl"
+    return write_named(merged.withColumn("_name", volume_name(day, F.col("volume"))), "_name", ["idx"], value, out, always=(first,))
+
+
+def write_parts(parts: DataFrame, value: str, out: str, stamp: str) -> list[str]:
+    """One file for each rolling part."""
+    return write_named(parts.withColumn("_name", part_name(stamp, F.col("part"))), "_name", ["idx"], value, out)
 
 
 def rolling(df: DataFrame, group: list[str], order: list[str], chunk: int = 10_000) -> DataFrame:
@@ -88,7 +140,7 @@ def overall_report(findings: DataFrame, summary: DataFrame, run_time: str) -> Da
 
 
 def write_files(df: DataFrame, path: str, text: str, out: str) -> int:
-    """Small texts, one file each, streamed through the driver one partition at a time; for reports and pages of some files."""
+    """A few small texts to the driver's own disk, one file each and character by character, streamed one partition at a time; ``write_named`` is for any number, in shared folders."""
     n = 0
     for row in df.select(path, text).toLocalIterator():
         target = os.path.join(out, row[0])

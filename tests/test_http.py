@@ -45,3 +45,19 @@ def test_data_source(spark, server):
     http.register(spark)
     df = spark.read.format("pages").option("urls", f"{base}/ok {base}/broken").option("perTask", "1").option("pause", "0").load()
     assert {r.url.rsplit("/", 1)[1]: (r.status, r.html) for r in df.collect()} == {"ok": (200, "<h1>é</h1>"), "broken": (None, None)}
+
+
+def test_frontier_is_fetched(spark, server):
+    base, hits = server
+    frontier = spark.createDataFrame([(f"{base}/ok",), (f"{base}/ok",), (f"{base}/broken",), (None,)], "url string")
+    got = {r.url.rsplit("/", 1)[1]: (r.status, r.html) for r in http.fetched(frontier, pause=0, between=0).collect()}
+    assert got == {"ok": (200, "<h1>é</h1>"), "broken": (None, None)} and hits["/ok"] == 1
+
+
+@pytest.mark.parametrize(
+    ("body", "said", "sniff", "text"),
+    [("é".encode(), None, False, "é"), ("é".encode("latin-1"), "latin-1", False, "é"), ("é".encode("latin-1"), None, True, "é"), ('<meta charset="gbk">汤'.encode("gbk"), None, True, '<meta charset="gbk">汤'), ("番茄炒蛋".encode("gb18030"), "latin-1", True, "番茄炒蛋"),
+     (b"\xef\xbb\xbfa", None, True, "a"), ("aé".encode("utf-16"), None, True, "aé"), (b"a", "no-such", False, "a"), (b"", None, True, "")],
+)
+def test_charsets(body, said, sniff, text):
+    assert http.decoded(body, said, sniff) == text

@@ -149,6 +149,35 @@ def test_scrape(spark):
     assert ok.count() == 1 and [r.reason for r in rejected.collect()] == ["exception:RuntimeError"]
 
 
+def test_many_sites(spark, tmp_path):
+    (tmp_path / "conf").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "conf" / f"{name}.yml").write_text(f"domain: {name}.test\ndiscover: {{index_pages: ['http://{name}.test/'], sitemap: false, deny: [skip]}}\nselectors: {{ingredients: .ing li}}\nmeta: {{type: HowTo}}\n")
+    (tmp_path / "conf" / "c.yml").write_text("selectors: {}\n")
+    index = lambda n: f'<a href="http://{n}.test/1">x</a><a href="http://{n}.test/gone">x</a><a href="http://{n}.test/skip">x</a>'
+    pages = spark.createDataFrame([(f"http://{n}.test/", index(n)) for n in "ab"] + [(f"http://{n}.test/1", PAGE) for n in "ab"], "url string, html string")
+    said = []
+    runs = pipeline.run_sites(spark, str(tmp_path / "conf"), str(tmp_path / "out"), "2025-01-01", "T", pages, min_chars=10, say=said.append)
+    assert sorted((r.site.rsplit("/", 1)[-1], r.accepted, r.rejected, r.error is None) for r in runs) == [("a.test", 1, 1, True), ("b.test", 1, 1, True), ("c.yml", 0, 0, False)]
+    record = json.loads((tmp_path / "out" / "a.test.clean.jsonl").read_text())
+    assert record["meta"]["data_info"]["url"] == "http://a.test/1" and record["meta"]["data_info"]["source"] == "a.test"
+    assert json.loads((tmp_path / "out" / "b.test.rejected.jsonl").read_text()) == {"url": "http://b.test/gone", "reason": "exception:RuntimeError"}
+    assert said[-1] == f"[BATCH DONE T] sites=3 total_ok=2 total_rejected=2 out_dir={tmp_path}/out"
+
+
+def test_discovery_from_entry_pages(spark):
+    pages = spark.createDataFrame([("http://s/x/", '<a href="b#f">1</a><a href="/x/a/">2</a><a href="http://o/x/">3</a>'), ("http://s/x/2", '<a href="/x/a">4</a><a href="c?shop">5</a><a href="d">6</a>')], "url string, html string")
+    found = pipeline.discover_entries(["http://s/x/", "http://s/x/2", "http://s/gone"], pages, ["http://s/x/"], ["shop"], max_pages=2)
+    assert [r.url for r in found.orderBy("entry", "pos").collect()] == ["http://s/x/b", "http://s/x/a", "http://s/x/d"]
+
+
+def test_jsonld_of_odd_types(spark):
+    block = json.dumps([{"@graph": "no"}, 5, {"@type": ["X", "RECIPE"], "name": 7, "image": [" http://i/no", {"@id": "http://i/a"}, {"url": 3}, "http://i/a", "x"], "recipeIngredient": ["salt", 2, " "], "recipeInstructions": [{"text": 12}, {"name": " Mix ", "itemListElement": {"text": True}}, None, "end", {"itemListElement": ["a", {"name": "b", "itemListElement": ["too deep"]}]}]}])
+    page = f'<script type="application/ld+json">{block}</script>'
+    got = extract.raw_fields(spark.createDataFrame([(1, page)], "k int, h string"), "k", "h", {}).first().ld
+    assert (got.title, got.images, got.ingredients, got.instructions) == ("7", ["http://i/a"], "salt\n2", "12\nMix\nTrue\nend\na\nb")
+
+
 def test_lines_and_preview(spark, tmp_path):
     (tmp_path / "x.clean.jsonl").write_text(json.dumps({"id": "1", "meta": {"data_info": {"title": "T<", "content": "## H\na\nb\n\n[Image: https://i]\n[Image: no]"}}}) + "\n\nbad\n")
     lines = jsonl.read_lines(spark, jsonl.expand_paths(str(tmp_path)))
@@ -181,6 +210,11 @@ def test_merge(spark, tmp_path):
         (tmp_path / "in" / f"{name}.jsonl").write_text("".join(f"{name}{i}\n" for i in range(12)))
     sizes = pipeline.merge(spark, str(tmp_path / "in" / "*.jsonl"), str(tmp_path / "out"), min_lines=5, soft_max=9)
     assert [r.lines for r in sizes.orderBy("volume").collect()] == [10, 14]
+    pipeline.merge(spark, str(tmp_path / "in" / "*.jsonl"), str(tmp_path / "out"), min_lines=5, soft_max=9, day="20250101")
+    both = [(tmp_path / "out" / f"20250101_clean_file_{i}.jsonl").read_text().split() for i in (1, 2)]
+    assert both == [[f"a{i}" for i in range(10)], ["a10", "a11"] + [f"b{i}" for i in range(12)]]
+    none = pipeline.merge(spark, str(tmp_path / "nothing*.jsonl"), str(tmp_path / "empty"), day="20250101")
+    assert [tuple(r) for r in none.collect()] == [(1, 0)] and (tmp_path / "empty" / "20250101_clean_file_1.jsonl").read_text() == ""
 
 
 def test_stream(spark, tmp_path):
