@@ -137,15 +137,26 @@ def state(line: str) -> str:
 
 # Beginnings of six and of four letters: every wording above but that of blanks and scripts holds a word that begins so.
 # Ends of words are open, as the patterns leave them open.
-GATE_LONG = frozenset(x[:6] for x in "respond responded replied response returned failed connection requested unavailable forbidden gateway unauthorized service internal access permission authorized temporarily maintenance database undefined http status upstream server request session please deleted removed available nothing verify checking displayed suspended disabled account domain bandwidth search return problem support contact apologize spelling reference sample placeholder example filler default replace qwerty".split())
-GATE_SHORT = frozenset(x[:4] for x in "error found gone many perm fatal undefined stack wrong exist moved link robot browser reload load show renew quota try back check sorry owner dummy demo test blah asdf foo".split())
+GATE_LONG = frozenset(x[:6] for x in "respond responded replied response returned connection requested unavailable forbidden gateway unauthorized service internal access permission authorized temporarily maintenance database undefined http status upstream server request session deleted removed available verify displayed suspended disabled account domain bandwidth problem support apologize spelling reference sample placeholder filler default qwerty browser refresh cannot failed administrator".split())
+GATE_SHORT = frozenset(x[:4] for x in "error found gone many perm fatal stack wrong exist moved robot reload load renew quota owner dummy demo blah asdf foo".split())
+# Words that prose is full of: the wordings that need one of them say it in one of these phrases ("^" is the line's beginning).
+VAGUE = {
+    "test": ("^test",), "exampl": ("^example",), "return": ("return to the ",), "nothin": ("nothing was found", "nothing here", "nothing to see"), "show": ("show this", "be shown"), "link": ("link is ",), "try": ("try again", "try one of our other"),
+    "please": ("please try", "please reload", "please refresh", "please sign in again", "please ignore this"), "back": ("go back to", "come back later"), "contac": ("contact the ", "contact our ", "contact admin", "contact webm", "contact support", "contact owner"),
+    "replac": ("replace this", "replace me", "replace before"), "search": ("use the search box",), "sorr": ("sorry for",), "slow": ("slow down and reload",), "can": ("can not be ", "can't be ", "can’t be "),
+}
+VAGUE_LONG, VAGUE_SHORT = frozenset(k for k in VAGUE if len(k) == 6), frozenset(k for k in VAGUE if len(k) < 6)
 
 
 def may_tell(line: str) -> bool:
     """Whether ``state`` can be other than empty; true too often, never false too often."""
     low = line.casefold()
     words = WORDS.findall(low)
-    return "script" in low or not (GATE_LONG.isdisjoint([w[:6] for w in words]) and GATE_SHORT.isdisjoint([w[:4] for w in words]) and LATIN.isdisjoint(words)) or BLANK.match(line.strip()) is not None
+    long, short = [w[:6] for w in words], [w[:4] for w in words]
+    if "script" in low or not (GATE_LONG.isdisjoint(long) and GATE_SHORT.isdisjoint(short) and LATIN.isdisjoint(words)):
+        return True
+    vague = [*VAGUE_LONG.intersection(long), *VAGUE_SHORT.intersection(short)]
+    return any(low.startswith(x[1:]) if x[0] == "^" else x in low for k in vague for x in VAGUE[k]) or BLANK.match(line.strip()) is not None
 
 
 EVIDENT = frozenset(("error", "script", "filler", "latin"))
