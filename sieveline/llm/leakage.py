@@ -58,21 +58,21 @@ def myers(pattern: list[str], text: list[str], budget: int) -> int:
 class Pieces:
     """The pieces of all windows of all items, by their first words."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, errors: int = 0):
+    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, errors: int = 0, words_per_error: int = 1):
         # by the number of words looked up, at most HEAD, then by those words
         self.by_head: dict[int, dict[tuple[str, ...], list[tuple[tuple[str, ...], int, int]]]] = defaultdict(lambda: defaultdict(list))
-        self.windows: list[tuple[int, list[str], int]] = []
+        self.windows: list[tuple[int, list[str], int, frozenset[str]]] = []
         seen = set()
         for item, text in items:
             words = words_of(text or "")
             if not words:
                 continue
             size = min(window, len(words))
-            budget = min(errors, size - 1)
+            budget = min(errors, size - 1, size // words_per_error)
             parts = budget + 1
             cuts = [size * i // parts for i in range(parts + 1)]
             for at in range(len(words) - size + 1):
-                self.windows.append((item, words[at : at + size], budget))
+                self.windows.append((item, words[at : at + size], budget, frozenset(words[at : at + size])))
                 for a, b in zip(cuts, cuts[1:]):
                     piece = tuple(words[at + a : at + b])
                     if (key := (piece, item, at, a)) not in seen:
@@ -88,12 +88,13 @@ class Pieces:
                 if head not in heads:
                     continue
                 for piece, w, offset in heads[head]:
-                    item, window, budget = self.windows[w]
+                    item, window, budget, distinct = self.windows[w]
                     if found.get(item) == 0 or tuple(words[i : i + len(piece)]) != piece:
                         continue
                     begin = max(0, i - offset - budget)
                     stretch = words[begin : i - offset + len(window) + budget]
-                    if len(stretch) + budget < len(window):
+                    # an error takes at most one word away, so more missing ones are out of reach
+                    if len(stretch) + budget < len(window) or len(distinct.difference(stretch)) > budget:
                         continue
                     distance = myers(window, stretch, budget)
                     if distance <= budget and distance < found.get(item, distance + 1):
@@ -105,19 +106,19 @@ class Pieces:
 _BUILT: dict[tuple, Pieces] = {}
 
 
-def _pieces(number: str, rows: list[tuple[int, str]], window: int, errors: int) -> Pieces:
-    key = (number, window, errors)
+def _pieces(number: str, rows: list[tuple[int, str]], *how: int) -> Pieces:
+    key = (number, *how)
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = Pieces(rows, window, errors)
+        _BUILT[key] = Pieces(rows, *how)
     return _BUILT[key]
 
 
-def _scan(docs: DataFrame, key: str, text: str, rows: list[tuple], window: int, errors: int, ddl: str) -> DataFrame:
+def _scan(docs: DataFrame, key: str, text: str, rows: list[tuple], how: tuple[int, int, int], ddl: str) -> DataFrame:
     sent, number = docs.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
 
     def make():
-        pieces = _pieces(number, sent.value, window, errors)
+        pieces = _pieces(number, sent.value, *how)
 
         def row(k, t):
             if t:
@@ -129,12 +130,12 @@ def _scan(docs: DataFrame, key: str, text: str, rows: list[tuple], window: int,
     return arrow_flat_map(docs.select(key, text), make, ddl)
 
 
-def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, window: int = WINDOW, errors: int = 0, most_chars: int = MAX_ITEM_CHARS) -> DataFrame:
+def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, window: int = WINDOW, errors: int = 0, words_per_error: int = 1, most_chars: int = MAX_ITEM_CHARS) -> DataFrame:
     """``key, item_key, distance``: every document with the items it holds a passage of.
 
     A passage is ``window`` consecutive words of an item, or the whole of a
-    shorter one, within ``errors`` words inserted, dropped or changed (of a
-    short item all but one at most);
+    shorter one, within ``errors`` words inserted, dropped or changed (one for
+    each ``words_per_error`` words at most, and never all);
     ``distance`` is the least number of these. Null and empty texts hold and
     are nothing. Documents are scanned without a shuffle. Items are broadcast
     after a check of their size: beyond ``most_chars`` they go in parts by hash
@@ -147,4 +148,4 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     kinds = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     ddl = f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, distance int"
     each = [chosen.where(F.pmod(F.xxhash64(item_key), F.lit(parts)) == p) if parts > 1 else chosen for p in range(parts)]
-    return reduce(DataFrame.unionByName, [_scan(docs, key, text, [tuple(r) for r in part.collect()], window, errors, ddl) for part in each])
+    return reduce(DataFrame.unionByName, [_scan(docs, key, text, [tuple(r) for r in part.collect()], (window, errors, words_per_error), ddl) for part in each])

@@ -121,13 +121,13 @@ def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(per_bin, "capacity_id").select("capacity_id", "documents", "wrong_documents", F.col("over").alias("over_full"), tight.alias("tight"))
 
 
-#: Words of a passage that may be inserted, dropped or changed.
-NEAR = 2
+#: Words of a passage that may be inserted, dropped or changed, one for each so many words of it.
+NEAR, WORDS_PER_ERROR = 2, 5
 
 
 def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")
-    return leakage.leaks(docs, "doc_id", "text", items, "item_id", "text", errors=NEAR)
+    return leakage.leaks(docs, "doc_id", "text", items, "item_id", "text", errors=NEAR, words_per_error=WORDS_PER_ERROR)
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
