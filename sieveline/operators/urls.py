@@ -68,14 +68,15 @@ def parsed_rules(configs: DataFrame, domain: str, allow: str, deny: str) -> Data
 
 
 def url_allowed_by(url: Column, allow: Column, deny: Column) -> Column:
-    """``url_allowed`` with rules from columns, as ``parsed_rules`` gives them."""
+    """``url_allowed`` with rules from columns, as ``parsed_rules`` gives them; null rules are no rules."""
     low = F.lower(url)
 
     def hit(rules: Column) -> Column:
-        return F.exists(rules["patterns"], lambda p: F.regexp_like(low, F.concat(F.lit("(?iu)"), p))) | F.exists(rules["substrings"], lambda s: low.contains(s))
+        none = F.array().cast("array<string>")
+        return F.exists(F.coalesce(rules["patterns"], none), lambda p: F.regexp_like(low, F.concat(F.lit("(?iu)"), p))) | F.exists(F.coalesce(rules["substrings"], none), lambda s: low.contains(s))
 
-    some = (F.size(allow["patterns"]) + F.size(allow["substrings"])) > 0
-    return F.coalesce(~hit(deny) & (~some | hit(allow)), F.lit(False))
+    some = F.coalesce((F.size(allow["patterns"]) + F.size(allow["substrings"])) > 0, F.lit(False))
+    return F.coalesce(url.isNotNull() & ~hit(deny) & (~some | hit(allow)), F.lit(False))
 
 
 def host_of(url: Column) -> Column:

@@ -26,7 +26,7 @@ _NORMAL = f"regexp_replace(regexp_replace({_strip('url')}, '(?s)#.*$', ''), '/+$
 _HOST = r"nullif(regexp_replace(lower(regexp_extract(coalesce(url, ''), '^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#\s]+)', 1)), '^www\.', ''), '')"
 _SYMBOLS = [("…", "..."), ("±", "+/-"), ("÷", "/"), ("√", "sqrt"), ("∑", "sum"), ("∏", "prod"), ("≈", "~"), ("≤", "<="), ("≥", ">="), ("∞", "inf"), ("∫", "integral"), ("∂", "d"), ("∆", "delta"), ("∇", "nabla")]
 _GUARD = [("±", "plus/minus"), ("×", "x"), ("÷", "divided by"), ("√", "square root"), ("∞", "infinity"), ("≈", "approx"), ("≠", "not equal"), ("≤", "<="), ("≥", ">="), ("°", " degrees ")]
-_GATE = r"CASE WHEN content IS NULL THEN 'exception:RuntimeError' WHEN regexp_matches(content, '(?i)^\s*\[Image:\s*https?://[^\]]+\]\s*$') THEN 'image_only' WHEN length(coalesce(text, '')) < 900 THEN 'too_short' END"
+_GATE = r"CASE WHEN content IS NULL THEN 'exception:RuntimeError' WHEN regexp_matches(content, '(?i)^\s*\[Image:\s*https?://[^\]]+\]\s*$') THEN 'image_only' WHEN length(coalesce(text, '')) < 220 THEN 'too_short' END"
 _GATED = f"(SELECT rec_no, url, {_GATE} AS reason FROM (SELECT rec_no, text, {_C} AS content, meta.data_info.url AS url FROM example_clean))"
 _LINES = r"'\r\n|[\n\x{0b}\x{0c}\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]'"
 _WIDE = "，。！？【】（）％＃＠＆：；“”‘’《》"
@@ -96,14 +96,16 @@ ORACLES: dict[str, str] = {
     "url_allow_deny": f"""
 WITH s AS (SELECT domain, coalesce(discover.allow, []) AS a, coalesce(discover.deny, []) AS d FROM site_config), r AS (SELECT rec_no, lower(url) AS u, {_HOST} AS domain FROM ({_R}))
 SELECT rec_no,
-  len(list_filter(d, lambda x: CASE WHEN starts_with(x, '/') AND ends_with(x, '/') AND length(x) > 1 THEN regexp_matches(u, '(?i)' || x[2:-2]) ELSE contains(u, lower(x)) END)) = 0
+  u IS NOT NULL AND len(list_filter(d, lambda x: CASE WHEN starts_with(x, '/') AND ends_with(x, '/') AND length(x) > 1 THEN regexp_matches(u, '(?i)' || x[2:-2]) ELSE contains(u, lower(x)) END)) = 0
   AND (len(a) = 0 OR len(list_filter(a, lambda x: CASE WHEN starts_with(x, '/') AND ends_with(x, '/') AND length(x) > 1 THEN regexp_matches(u, '(?i)' || x[2:-2]) ELSE contains(u, lower(x)) END)) > 0) AS allowed
-FROM r JOIN s ON r.domain = s.domain""",
+FROM (SELECT r.*, coalesce(s.a, []) AS a, coalesce(s.d, []) AS d FROM r LEFT JOIN s ON r.domain = s.domain)""",
     "url_rule_semi_anti": f"SELECT rec_no, url FROM ({_R}) WHERE NOT (contains(lower(url), '?') OR regexp_matches(lower(url), 'tag')) AND (regexp_matches(lower(url), '-(?:bake|soup|pie)-') OR regexp_matches(lower(url), 'recipe'))",
     "frontier_union": "SELECT unnest(discover.index_pages) AS url FROM site_config UNION SELECT coalesce(nullif(discover.sitemap_url, ''), 'https://' || domain || '/sitemap.xml') FROM site_config WHERE discover.sitemap",
     "fetch_left_join": f"WITH w AS (SELECT url FROM rejected WHERE url IS NOT NULL UNION SELECT url FROM ({_R}) WHERE url IS NOT NULL), p AS (SELECT url, max(content) AS content FROM ({_R}) GROUP BY url) SELECT w.url, CASE WHEN p.content IS NULL THEN 'exception:RuntimeError' ELSE 'fetched' END AS status FROM w LEFT JOIN p ON w.url = p.url",
     "links_first_seen": f"SELECT {_NORMAL} AS url, min(rec_no) AS rec_no FROM ({_R}) WHERE url IS NOT NULL GROUP BY 1",
     "links_absolute": rf"SELECT rec_no, regexp_extract(lower(trim(url)), '^([a-z]+://[^/?#]*)', 1) || '/tips/' || rec_no || '/' AS url FROM ({_R}) WHERE url IS NOT NULL",
+    "links_discovered": rf"SELECT url, min(rec_no) AS entry, 0 AS pos FROM (SELECT rec_no, regexp_extract(lower(trim(url)), '^([a-z]+://[^/?#]*)', 1) || '/tips/' || rec_no % 50 AS url FROM ({_R}) WHERE url IS NOT NULL) WHERE starts_with(url, 'https://') AND NOT contains(url, '/tips/7') GROUP BY url",
+    "seen_urls": f"SELECT DISTINCT url FROM ({_R})",
     "limit_sorted": f"SELECT DISTINCT url FROM ({_R}) WHERE url IS NOT NULL ORDER BY url LIMIT 200",
     "clean_translate": f"SELECT rec_no, translate(content, '　' || chr(160) || '{_WIDE}', '  {_NARROW}') AS clean FROM ({_R})",
     "clean_tags_entities": f"SELECT rec_no, regexp_replace(regexp_replace(content, '<[^>]+>', '', 'g'), '&[a-zA-Z0-9#]+;', ' ', 'g') AS clean FROM ({_R})",
@@ -208,3 +210,106 @@ ORACLES["report_overall"] = (
     f"WITH f AS (SELECT * FROM {_ALL} UNION ALL SELECT * FROM ({ORACLES['v_dup_url']}) UNION ALL SELECT * FROM ({ORACLES['v_dup_id']})), s AS ({ORACLES['v_summary']}) SELECT unnest(['Validate Report (2025-01-01T00:00:00Z)', 'Files:', repeat('=', 80), repeat('-', 80), printf('Summary: total=%d passed=%d pass_rate=%.2f%%', total, passed, pass_rate)]) AS text FROM s WHERE path IS NULL "
     "UNION ALL SELECT '  - ' || path FROM s WHERE path IS NOT NULL UNION ALL SELECT path || ':' || line || ': ERROR [' || tag || '] ' || msg FROM f"
 )
+
+# JSON lines: what is absent, null, a string or of another type is told apart by the type of each member.
+_J = "CASE WHEN json_valid(v) THEN v END"
+_RAW = f"""
+WITH raw AS (SELECT path, line, value, replace(value, ':NaN', ':0') AS v FROM raw_line),
+t AS (SELECT path, line, value, coalesce({_strip('value')}, '') = '' AS blank, json_valid(v) AS good, {_J} AS j FROM raw),
+o AS (SELECT *, NOT blank AND good AND json_type(j) = 'OBJECT' AS obj, json_type(j, '$.id') AS id_type, json_type(j, '$.text') AS text_type, json_type(j, '$.meta') AS meta_type, json_type(j, '$.meta.data_info') AS info_type,
+  json_type(j, '$.meta.content_info') AS kind_type, json_type(j, '$.meta.data_info.content') AS content_type, json_type(j, '$.meta.data_info.lang') AS lang_type FROM t),
+s AS (SELECT *, obj AND coalesce(meta_type = 'OBJECT', false) AS m, obj AND coalesce(meta_type = 'OBJECT', false) AND coalesce(info_type = 'OBJECT', false) AS i, obj AND coalesce(meta_type = 'OBJECT' AND info_type = 'OBJECT' AND kind_type = 'OBJECT', false) AS k FROM o),
+f AS (SELECT path, line, blank, good, obj, m, i, k, j, id_type, text_type, content_type, lang_type, j ->> '$.id' AS id, {{text}} AS text, {{collector}} AS collector, {{collected_time}} AS collected_time, {{lang}} AS lang, {{type}} AS type, {{processing_date}} AS processing_date,
+  {{delivery_version}} AS delivery_version, {{domain}} AS domain, {{subdomain}} AS subdomain, CASE WHEN obj AND coalesce(content_type = 'VARCHAR', true) THEN coalesce(j ->> '$.meta.data_info.content', '') END AS c FROM s)
+"""
+
+
+def _only(at: str) -> str:
+    return f"CASE WHEN json_type(j, '{at}') = 'VARCHAR' THEN j ->> '{at}' END"
+
+
+for _name, _at in [("text", "$.text"), ("collector", "$.meta.collector"), ("collected_time", "$.meta.collected_time"), ("domain", "$.meta.content_info.domain"), ("subdomain", "$.meta.content_info.subdomain"), *[(k, f"$.meta.data_info.{k}") for k in ("lang", "type", "processing_date", "delivery_version")]]:
+    _RAW = _RAW.replace("{" + _name + "}", _only(_at))
+_KEYS = [("data_info", "i", ["lang", "url", "source", "type", "processing_date", "delivery_version", "title", "content"]), ("content_info", "k", ["domain", "subdomain"])]
+_LINE_RULES = [
+    ("R1", "'空行/非 JSON 对象'", "blank"), ("R1", "'JSON 解析失败：'", "NOT blank AND NOT good"), ("R1", "'记录必须为 JSON 对象'", "NOT blank AND good AND NOT obj"),
+    ("R1", "'缺少字段 `id`'", "obj AND id_type IS NULL"), ("R1", "'缺少字段 `text`'", "obj AND text_type IS NULL"), ("R1", "'缺少或非法字段 `meta`'", "obj AND NOT m"),
+    ("R1", "'缺少或非法字段 `meta.data_info`'", "m AND NOT i"), ("R1", "'缺少或非法字段 `meta.content_info`'", "i AND NOT k"),
+    *[("R1", f"'缺少字段 `meta.{part}.{key}`'", f"{when} AND json_type(j, '$.meta.{part}.{key}') IS NULL") for part, when, keys in _KEYS for key in keys],
+]
+
+
+def _raw_when(tag: str, msg: str, when: str) -> str:
+    """The condition of a rule over typed records, for lines whose members may be absent or of any type."""
+    if "domain 不在" in msg:
+        return f"k AND {when}"
+    if "id 需为" in msg:
+        return f"i AND id_type IS NOT NULL AND {when}"
+    if "`text` 必须" in msg:
+        return "obj AND text_type IS NOT NULL AND text_type <> 'VARCHAR'"
+    if "文本长度" in msg:
+        return "obj AND (text_type IS NULL OR text_type = 'VARCHAR') AND length(coalesce(text, '')) < 200"
+    if "data_info.content`" in msg:
+        return "obj AND content_type IS NOT NULL AND content_type <> 'VARCHAR'"
+    if msg.startswith("'meta."):
+        return f"i AND {when}"
+    return when.replace("lang = 'en'", "(lang_type IS NULL OR lang = 'en')")
+
+
+_LINE_FOUND = ", ".join(f"CASE WHEN {_raw_when(tag, msg, when)} THEN {{'tag': '{tag}', 'msg': {msg}}} END" for tag, msg, when in [*_LINE_RULES, *_RULES])
+_LINE_MANY = f"list_transform({_BARE}, lambda u: {{'tag': 'R5', 'msg': '图片需用 ''[Image: URL]'' 行表示：' || u}})".replace("content", "c")
+_LINE_MATH = f"CASE WHEN {_OUTSIDE.replace('content', 'c')} THEN {{'tag': 'R5', 'msg': '检出未被 $...$ 或 \\[...\\] 包裹的数学符号（±×÷√∑ 等）'}} END"
+ORACLES["v_line_rules"] = _RAW + f"SELECT path, line, f.tag AS tag, f.msg AS msg FROM (SELECT path, line, unnest(list_concat([{_LINE_FOUND}, {_LINE_MATH}], {_LINE_MANY})) AS f FROM f) WHERE f IS NOT NULL AND f.tag IS NOT NULL"
+
+
+def _cleaned(rows: str) -> str:
+    """The whole cleaner over ``rec_no, content``."""
+    chain = f"SELECT rec_no, coalesce(content, '') AS content FROM ({rows})"
+    for step in ("clean_translate", "clean_tags_entities", "clean_symbols", "clean_emoji", "clean_noise", "clean_lines"):
+        chain = "SELECT rec_no, clean AS content FROM (" + ORACLES[step].replace(f"({_R})", f"({chain})") + ")"
+    return chain
+
+
+# Articles of four shapes of pages: fields by selectors, then what a recipe object fills in. Fields are cleaned in one pass, four numbers for each record.
+_FIELDS = f"""
+SELECT rec_no, rec_no % 4 AS shape, {_strip("coalesce(meta.data_info.title, '')")} AS title, {_C} AS content,
+  CASE WHEN rec_no % 4 = 1 THEN '' ELSE {_strip(f"coalesce(regexp_extract({_C}, '(?s)Ingredients:" + chr(92) + "n(.*?)" + chr(92) + "nInstructions:', 1), '')")} END AS ing,
+  CASE WHEN rec_no % 4 = 1 THEN '' ELSE {_strip(f"coalesce(regexp_extract({_C}, '(?s)Instructions:" + chr(92) + "n(.*?)(?:" + chr(92) + "nNotes:|$)', 1), '')")} END AS ins,
+  CASE rec_no % 4 WHEN 0 THEN 'https://img.example/' WHEN 2 THEN 'https://img.example/og/' WHEN 3 THEN 'https://img.example/set/' END || rec_no || '.jpg' AS own, 'https://img.example/ld/' || rec_no || '.jpg' AS ld_image,
+  array_to_string(list_filter(list_transform(CASE WHEN rec_no % 4 = 3 THEN list_concat([coalesce(meta.data_info.title, '')], coalesce(string_split({_C}, chr(10)), [])) ELSE string_split({_C}, chr(10)) END, lambda x: {_strip('x')}), lambda x: x <> ''), chr(10)) AS steps
+FROM example_clean"""
+_HEADLESS = ORACLES["strip_ui_headers"].replace(f"({_R})", "(SELECT rec_no * 4 + 0 AS rec_no, ing AS content FROM fields UNION ALL SELECT rec_no * 4 + 1, ins FROM fields)")
+_PARTS = _cleaned(f"SELECT rec_no, content FROM ({_HEADLESS}) UNION ALL SELECT rec_no * 4 + 2 AS rec_no, steps AS content FROM fields")
+_WHOLE = f"""
+WITH fields AS MATERIALIZED ({_FIELDS}), parts AS MATERIALIZED ({_PARTS}),
+joined AS (SELECT f.*, a.content AS ingredients, b.content AS instructions, coalesce(c.content, '') AS ld_steps FROM fields f JOIN parts a ON a.rec_no = f.rec_no * 4 JOIN parts b ON b.rec_no = f.rec_no * 4 + 1 JOIN parts c ON c.rec_no = f.rec_no * 4 + 2),
+used AS (SELECT *, shape <> 2 AND (length(ingredients) < 10 OR length(instructions) < 10 OR title = '' OR own IS NULL) AS use FROM joined),
+filled AS (SELECT rec_no, title, CASE WHEN use AND own IS NULL THEN ld_image ELSE own END AS image, CASE WHEN use AND length(ingredients) < 10 THEN '' ELSE ingredients END AS ingredients,
+  CASE WHEN use AND length(instructions) < 10 THEN ld_steps ELSE instructions END AS instructions FROM used),
+built AS MATERIALIZED ({_cleaned("SELECT rec_no, concat_ws(chr(10), '[Image: ' || image || ']', CASE WHEN ingredients <> '' THEN 'Ingredients:' || chr(10) || ingredients END, CASE WHEN instructions <> '' THEN 'Instructions:' || chr(10) || instructions END) AS content FROM filled")}),
+told AS (SELECT f.rec_no, title, content, {_strip("title || chr(10) || content")} AS text FROM filled f JOIN built ON f.rec_no = built.rec_no),
+judged AS (SELECT *, CASE WHEN regexp_matches(content, '(?i)^\\s*\\[Image:\\s*https?://[^\\]]+\\]\\s*$') THEN 'image_only' WHEN length(text) < 220 THEN 'too_short' END AS reason FROM told)
+"""
+ORACLES["article_shapes"] = _WHOLE + "SELECT 'https://p.example/' || rec_no AS url, reason, CASE WHEN reason IS NULL THEN sha256('https://p.example/' || rec_no) END AS id, CASE WHEN reason IS NULL THEN text END AS text, CASE WHEN reason IS NULL THEN title END AS title, CASE WHEN reason IS NULL THEN content END AS content, CASE WHEN reason IS NULL THEN '2025-01-01T00:00' END AS collected_time FROM judged"
+
+
+def _escaped(x: str) -> str:
+    return _fold(x, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")])
+
+
+def _details(name: str, value: str) -> str:
+    return f"""'<details class="{name}" open><summary>{name}</summary><pre>' || {value} || '</pre></details>'"""
+
+
+_IMAGE = "'<div class=''img-line''><div class=''img-box''><img src=' || chr(39) || " + _escaped("value") + " || chr(39) || ' alt=''image'' loading=''lazy''></div><div class=''img-url''>' || " + _escaped("value") + " || '</div></div>'"
+ORACLES["preview_html"] = f"""
+WITH b AS ({ORACLES["preview_blocks"]}), g AS (SELECT *, sum(CASE WHEN kind <> 'text' THEN 1 ELSE 0 END) OVER (PARTITION BY rec_no ORDER BY pos) AS run FROM b),
+p AS (SELECT rec_no, min(pos) AS pos, '<p>' || string_agg({_escaped('value')}, '<br>' ORDER BY pos) || '</p>' AS html FROM g WHERE kind = 'text' GROUP BY rec_no, run
+  UNION ALL SELECT rec_no, pos, CASE kind WHEN 'image' THEN {_IMAGE} ELSE '<h3>' || {_escaped('value')} || '</h3>' END FROM g WHERE kind IN ('image', 'heading')),
+r AS (SELECT rec_no, string_agg(html, chr(10) ORDER BY pos) AS html FROM p GROUP BY rec_no),
+e AS (SELECT path, line, coalesce(id, '') AS id, meta.data_info.title AS title, meta.data_info.url AS url, {_C} AS content, r.html FROM example_clean x LEFT JOIN r ON x.rec_no = r.rec_no),
+c AS (SELECT path, line, '<section class="card"><p class="index">#' || line || '</p>' || CASE WHEN url IS NULL THEN '<p>解析错误</p>' || {_details('error', "'no &lt;url&gt;'")} || CASE WHEN id <> '' THEN {_details('raw', _escaped('id'))} ELSE '' END
+  ELSE '<code>' || {_escaped('id')} || '</code><p class="text">见下方渲染</p>' || CASE WHEN coalesce(title, '') = '' THEN '<h2 class=''title missing''>（无标题）</h2>' ELSE '<h2 class=''title''>' || {_escaped('title')} || '</h2>' END
+    || CASE WHEN content IS NULL THEN '<div class=''content-empty''>（无内容）</div>' ELSE coalesce(html, '<div class=''content-empty''>（无渲染内容）</div>') END END || '</section>' AS card FROM e)
+SELECT path, CAST((line - 1) // 40 AS INTEGER) AS page, '<!doctype html><html><head><meta charset="utf-8"><title>' || path || '</title></head><body><h1>' || path || ' (' || count(*) || ')</h1>' || string_agg(card, chr(10) ORDER BY line) || '</body></html>' AS html
+FROM c GROUP BY path, (line - 1) // 40"""

@@ -50,7 +50,7 @@ def url_normalize_dedup(spark, sf_dir):
 def url_allow_deny(spark, sf_dir):
     rules = urls.parsed_rules(config.flat(table(spark, sf_dir, "site_config")), "domain", "allow", "deny")
     rows = records(spark, sf_dir, "url").select("rec_no", "url", urls.host_of(F.col("url")).alias("domain"))
-    return rows.join(rules, "domain").select("rec_no", urls.url_allowed_by(F.col("url"), F.col("allow"), F.col("deny")).alias("allowed"))
+    return rows.join(rules, "domain", "left").select("rec_no", urls.url_allowed_by(F.col("url"), F.col("allow"), F.col("deny")).alias("allowed"))
 
 
 def url_rule_semi_anti(spark, sf_dir):
@@ -83,6 +83,17 @@ def links_absolute(spark, sf_dir):
     return rows.select("rec_no", urls.absolute_url(F.lower("url"), href).alias("url"))
 
 
+def links_discovered(spark, sf_dir):
+    """Anchors of all pages against their page, in normal form, allowed, each where it is seen first."""
+    rows = records(spark, sf_dir, "url").where("url IS NOT NULL")
+    anchors = rows.select(F.col("rec_no").alias("entry"), F.lower(F.trim("url")).alias("base"), F.lit(0).alias("pos"), F.concat(F.lit("/tips/"), (F.col("rec_no") % 50).cast("string"), F.lit("/#top")).alias("href"))
+    return urls.discovered(anchors, ["https://"], ["/tips/7"])
+
+
+def seen_urls(spark, sf_dir):
+    return clean.first_seen(records(spark, sf_dir, "url").select("url"), ["url"])
+
+
 def limit_sorted(spark, sf_dir):
     """The article limit is the operator itself: the first urls in order."""
     return clean.limit_articles(records(spark, sf_dir, "url").select("url").where("url IS NOT NULL").distinct(), "url", 200)
@@ -99,7 +110,7 @@ def build_content(spark, sf_dir):
 def _gated(spark, sf_dir) -> DataFrame:
     rows = table(spark, sf_dir, "example_clean").select("rec_no", F.col("meta.data_info.url").alias("url"), F.col("meta.data_info.content").alias("content"), "text")
     error = F.when(F.col("content").isNull(), F.lit("RuntimeError"))
-    return rows.withColumn("reason", clean.reject_reason(F.col("content"), F.col("text"), error, 900))
+    return rows.withColumn("reason", clean.reject_reason(F.col("content"), F.col("text"), error))
 
 
 def gate_split(spark, sf_dir):
@@ -174,6 +185,31 @@ def extract_article(spark, sf_dir):
     return made.select("url", "reason", "record.id", "record.text", "record.meta.data_info.title")
 
 
+def _shaped_pages(spark, sf_dir) -> DataFrame:
+    """Every record as a page of one of four shapes, by its number: sections beside a recipe object, a recipe in a graph alone, sections and metadata alone, a recipe of nested steps."""
+    rows = records(spark, sf_dir, "title")
+    shape, no = F.pmod("rec_no", F.lit(4)), F.col("rec_no").cast("string")
+    section = lambda name, pattern: F.coalesce(F.concat(F.lit(f'<div class="card-{name}"><p>'), escape_html(F.regexp_extract("content", pattern, 1)), F.lit("</div>")), F.lit(""))
+    sections = F.concat(section("ingredients", r"(?s)Ingredients:\n(.*?)\nInstructions:"), section("steps", r"(?s)Instructions:\n(.*?)(?:\nNotes:|$)"))
+    lines = F.split("content", "\n", -1)
+    plain = F.struct(F.lit("Recipe").alias("@type"), F.col("title").alias("name"), lines.alias("recipeInstructions"))
+    picture = F.struct(F.concat(F.lit("https://img.example/ld/"), no, F.lit(".jpg")).alias("url"))
+    graph = F.struct(F.array(F.struct(F.array(F.lit("Thing"), F.lit("recipe")).alias("@type"), F.col("title").alias("name"), picture.alias("image"), lines.alias("recipeInstructions"))).alias("@graph"))
+    nested = F.array(F.struct(F.col("title").alias("name"), F.transform(lines, lambda x: F.struct(x.alias("text"))).alias("itemListElement")))
+    data = F.when(shape == 0, F.to_json(plain)).when(shape == 1, F.to_json(graph)).when(shape == 3, F.to_json(F.struct(F.lit("Recipe").alias("@type"), F.col("title").alias("name"), nested.alias("recipeInstructions"))))
+    ld = F.coalesce(F.concat(F.lit('<script type="application/ld+json">'), F.replace(data, F.lit("</"), F.lit("<\\/")), F.lit("</script>")), F.lit(""))
+    meta = F.when(shape == 2, F.concat(F.lit('<meta property="og:image" content="https://img.example/og/'), no, F.lit('.jpg">'))).otherwise("")
+    shown = F.when(shape == 0, F.concat(F.lit('<img data-src="https://img.example/'), no, F.lit('.jpg">'))).when(shape == 3, F.concat(F.lit('<source srcset="https://img.example/set/'), no, F.lit('.jpg 1x, https://img.example/other.jpg 2x">'))).otherwise("")
+    html = F.concat(F.lit("<html><head>"), ld, meta, F.lit("</head><body><h1>"), escape_html(F.coalesce("title", F.lit(""))), F.lit("</h1>"), F.when(shape == 1, "").otherwise(sections), F.lit("<article>"), shown, F.lit("</article></body></html>"))
+    return rows.select("rec_no", html.alias("html"))
+
+
+def article_shapes(spark, sf_dir):
+    pages = _shaped_pages(spark, sf_dir).select(F.concat(F.lit("https://p.example/"), F.col("rec_no").cast("string")).alias("url"), "html")
+    made = extract.articles(pages, "url", "html", SELECTORS, {"type": "Recipe/HowTo", "delivery_version": "V1.0", "collector": "joy"}, "2025-01-01", "2025-01-01T00:00")
+    return made.select("url", "reason", "record.id", "record.text", "record.meta.data_info.title", "record.meta.data_info.content", F.col("record.meta.collected_time").alias("collected_time"))
+
+
 def extract_parts(spark, sf_dir):
     got = extract.parts(_pages(spark, sf_dir).groupBy("url").agg(F.max("html").alias("html")), "url", "html", SELECTORS)
     return got.select("url", "title", extract.fragment_text(F.col("ingredients_html")).alias("ingredients"), F.size("step_images").alias("step_images"))
@@ -245,6 +281,11 @@ def v_line_findings(spark, sf_dir):
     return validate.findings(validate.with_findings(validate.from_lines(table(spark, sf_dir, "raw_line")))).select("path", "line", "tag", "msg")
 
 
+def v_line_rules(spark, sf_dir):
+    """Findings of JSON lines, the parser's own words left out of its messages."""
+    return v_line_findings(spark, sf_dir).select("path", "line", "tag", F.regexp_replace("msg", "^(JSON 解析失败：).*$", "$1").alias("msg"))
+
+
 def v_dup_url(spark, sf_dir):
     return validate.duplicate_urls(_checked(spark, sf_dir))
 
@@ -315,13 +356,20 @@ def preview_pages(spark, sf_dir):
     return preview.pages(rows.select("path", "line", card.alias("card"))).select("path", "page", F.length("html").alias("html_length"))
 
 
+def preview_html(spark, sf_dir):
+    """Pages of cards without the indented JSON, whole."""
+    rows = table(spark, sf_dir, "example_clean")
+    card = preview.card(F.col("line"), F.col("id"), F.col("meta.data_info.title"), F.lit(None).cast("string"), F.col("meta.data_info.content"), error=F.when(F.col("meta.data_info.url").isNull(), F.lit("no <url>")), raw=F.col("id"))
+    return preview.pages(rows.select("path", "line", card.alias("card")), per_page=40)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        record_id, url_normalize, url_normalize_dedup, url_allow_deny, url_rule_semi_anti, frontier_union, fetch_left_join, links_first_seen, links_absolute, limit_sorted,
+        record_id, url_normalize, url_normalize_dedup, url_allow_deny, url_rule_semi_anti, frontier_union, fetch_left_join, links_first_seen, links_absolute, links_discovered, seen_urls, limit_sorted,
         build_content, gate_split, gate_counts, norm_line, noise_blocks, blank_collapse, assemble_paragraphs,
-        page_title_h1, image_urls, jsonld_recipe, page_links, extract_article, extract_parts, strip_ui_headers, sitemap_walk,
-        v_findings, v_findings_native, v_findings_by_tag, v_summary, v_first_noise_keyword, v_bare_image_url, v_unprotected_math, v_dates, v_json_status, v_line_findings, v_dup_url, v_dup_id, v_short_files,
-        finding_counts, reject_reasons, pass_rates, merge_volumes, merge_volume_sizes, rolling_parts, rejected_json, report_lines, report_overall, preview_blocks, preview_pages,
+        page_title_h1, image_urls, jsonld_recipe, page_links, extract_article, article_shapes, extract_parts, strip_ui_headers, sitemap_walk,
+        v_findings, v_findings_native, v_findings_by_tag, v_summary, v_first_noise_keyword, v_bare_image_url, v_unprotected_math, v_dates, v_json_status, v_line_findings, v_line_rules, v_dup_url, v_dup_id, v_short_files,
+        finding_counts, reject_reasons, pass_rates, merge_volumes, merge_volume_sizes, rolling_parts, rejected_json, report_lines, report_overall, preview_blocks, preview_pages, preview_html,
     ]
     steps = {
         "clean_translate": over_content(clean.narrow_punctuation), "clean_tags_entities": over_content(clean.drop_tags_and_entities), "clean_symbols": over_content(clean.ascii_symbols),
