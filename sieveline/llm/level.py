@@ -189,6 +189,13 @@ def border(predicted: np.ndarray, above: np.ndarray) -> float:
     return float((predicted[order[k]] + lower) / 2)
 
 
+def borders_of(predicted: np.ndarray, levels_: np.ndarray) -> tuple[float, float]:
+    """The calibrated borders of levels 2 and 3."""
+    low = border(predicted, levels_ >= 2) if (levels_ >= 2).any() and (levels_ < 2).any() else 1.5
+    high = border(predicted, levels_ >= 3) if (levels_ >= 3).any() and (levels_ < 3).any() else 2.5
+    return low, max(low, high)
+
+
 class LevelModel:
     """The trees with the calibrated borders of levels 2 and 3, and what cross-validation said."""
 
@@ -238,10 +245,16 @@ def train(docs: DataFrame, key: str, text: str, source: str, labels: DataFrame,
     seen = ~np.isnan(out)
     if not seen.any():
         out, seen = np.full(len(y), y.mean()), np.ones(len(y), bool)
-    low = border(out[seen], y[seen] >= 2) if (y[seen] >= 2).any() and (y[seen] < 2).any() else 1.5
-    high = border(out[seen], y[seen] >= 3) if (y[seen] >= 3).any() and (y[seen] < 3).any() else 2.5
-    accuracy = float(np.mean((1 + (out[seen] > low) + (out[seen] > high)) == y[seen]))
-    return LevelModel(Trees().fit(x, y), (low, max(low, high)), accuracy, len(set(fold)))
+    low, high = borders_of(out[seen], y[seen])
+    # each fold is judged by borders that the other folds set
+    hits = []
+    for f in sorted(set(fold[seen])):
+        test, rest = seen & (fold == f), seen & (fold != f)
+        if rest.any():
+            a, b = borders_of(out[rest], y[rest])
+            hits.append((1 + (out[test] > a) + (out[test] > b)) == y[test])
+    accuracy = float(np.mean(np.concatenate(hits))) if hits else float(np.mean((1 + (out[seen] > low) + (out[seen] > high)) == y[seen]))
+    return LevelModel(Trees().fit(x, y), (low, high), accuracy, len(set(fold)))
 
 
 def levels(docs: DataFrame, key: str, text: str, model: LevelModel) -> DataFrame:
