@@ -32,7 +32,12 @@ def selectors_of(value) -> list[str]:
 
 
 def first_text(root: Node, selectors: list[str]) -> str:
-    return next((t for t in (n.text(" ") for n in select_all(root, selectors)) if t), "")
+    return next((t for t in map(text_or_none, select_all(root, selectors)) if t), "")
+
+
+def text_or_none(node: Node | None) -> str | None:
+    """The text of a node that is there and has some."""
+    return (node.text(" ") or None) if node is not None else None
 
 
 def joined_texts(root: Node, selectors: list[str]) -> str:
@@ -255,7 +260,7 @@ def parts(pages: DataFrame, url: str, html: str, selectors: dict) -> DataFrame:
             head = first(root, chosen["title"])
             nodes = {f: first(root, chosen[f]) for f in ("ingredients", "instructions", "notes")}
             steps = [n.attrs.get("src", "") for n in select(nodes["instructions"], "img[src]")] if nodes["instructions"] else []
-            yield k, (head.text(" ") if head else "") or meta("og:title"), meta("og:image") or None, *(inner_html(n) if n else None for n in nodes.values()), [u for u in steps if u.startswith(("http://", "https://"))], k
+            yield k, text_or_none(head) or meta("og:title"), meta("og:image") or None, *(inner_html(n) if n else None for n in nodes.values()), [u for u in steps if u.startswith(("http://", "https://"))], k
 
         return row
 

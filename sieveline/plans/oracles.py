@@ -24,14 +24,17 @@ def _fold(x: str, pairs: list[tuple[str, str]]) -> str:
 
 _NORMAL = f"regexp_replace(regexp_replace({_strip('url')}, '(?s)#.*$', ''), '/+$', '')"
 _HOST = r"nullif(regexp_replace(lower(regexp_extract(coalesce(url, ''), '^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#\s]+)', 1)), '^www\.', ''), '')"
+# The signs that the cleaner and the line normaliser rewrite.
 _SYMBOLS = [("…", "..."), ("±", "+/-"), ("÷", "/"), ("√", "sqrt"), ("∑", "sum"), ("∏", "prod"), ("≈", "~"), ("≤", "<="), ("≥", ">="), ("∞", "inf"), ("∫", "integral"), ("∂", "d"), ("∆", "delta"), ("∇", "nabla")]
 _GUARD = [("±", "plus/minus"), ("×", "x"), ("÷", "divided by"), ("√", "square root"), ("∞", "infinity"), ("≈", "approx"), ("≠", "not equal"), ("≤", "<="), ("≥", ">="), ("°", " degrees ")]
 _GATE = r"CASE WHEN content IS NULL THEN 'exception:RuntimeError' WHEN regexp_matches(content, '(?i)^\s*\[Image:\s*https?://[^\]]+\]\s*$') THEN 'image_only' WHEN length(coalesce(text, '')) < 220 THEN 'too_short' END"
 _GATED = f"(SELECT rec_no, url, {_GATE} AS reason FROM (SELECT rec_no, text, {_C} AS content, meta.data_info.url AS url FROM example_clean))"
 _LINES = r"'\r\n|[\n\x{0b}\x{0c}\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]'"
+# Full-width punctuation and what it becomes.
 _WIDE = "，。！？【】（）％＃＠＆：；“”‘’《》"
 _NARROW = ",.!?[]()%#@&:;\"\"''''<>"
 
+# Keywords of the validator, in the order in which they are tried.
 _NOISE = ["home >", "site map", "copyright", "all rights reserved", "terms of use", "privacy policy", "contact us", "menu", "footer", "sponsored", "advertisement", "buy now", "add to cart", "shop now", "affiliate", "amazon", "ebay", "photo credit", "image source", "stock image", "watch the video", "play video", "related posts", "related recipes", "leave a reply", "comments", "like & share", "share this", "pin it", "newsletter", "subscribe", "get updates", "popular posts", "latest posts", "seo keywords", "hot posts", "faq"]
 _HEADS = ["table of contents", "jump to recipe", "print recipe", "as seen on", "related posts", "related recipes"]
 
@@ -56,6 +59,7 @@ _COUNTRY = rf"\p{{Nd}}{{1,3}}{_SEP}"
 _AREA = r"\(?\p{Nd}{3}\)?"
 _PHONE = rf"regexp_matches(c, '(?:^|{_W})(?:{_COUNTRY}{_AREA}|\p{{Nd}}{{3}}\)?){_TAIL}|[\p{{L}}\p{{N}}_](?:\+{_COUNTRY}{_AREA}|\(\p{{Nd}}{{3}}\)?){_TAIL}')"
 
+# Tags and messages.
 # (tag, message, condition) of the content and structure rules over typed records, in the order in which they report.
 _RULES = [
     ("R1", "'meta.collector 必须为 ''joy'''", "collector IS DISTINCT FROM 'joy'"),
