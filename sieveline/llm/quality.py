@@ -48,17 +48,20 @@ def _wide(common: frozenset[str]) -> frozenset[str]:
     return frozenset(w for w in common if CJK.match(w)) or frozenset("的了在是不也和就")
 
 
-def line_kind(line: str, common: frozenset[str]) -> str:
-    """``sentence``, ``entry``, ``value``, ``noise`` or empty (too little to tell)."""
+def line_kind(line: str, common: frozenset[str], words: list[str] | None = None) -> str:
+    """``sentence``, ``entry``, ``value``, ``noise`` or empty (too little to tell). ``words``: those of the line in lower case, where they are at hand."""
     text = line.strip()
-    words = WORDS.findall(text.lower())
+    words = WORDS.findall(text.lower()) if words is None else words
     hits = len(common.intersection(words))
     # most lines of prose end here
     if len(words) >= 8 and hits >= 2 and 6 * hits >= len(words) and ";" not in text and len(set(words)) > 1 + len(words) // 8:
         return "sentence"
-    text = ENTRY_MARK.sub("", text).strip()
-    if not text:
+    bare = ENTRY_MARK.sub("", text).strip()
+    if not bare:
         return ""
+    if bare != text:
+        text = bare
+        words = WORDS.findall(text.lower())
     if not text.isascii():
         zh = len(CJK.findall(text))
         if zh >= 4 and zh * 3 >= len(text):
@@ -66,8 +69,7 @@ def line_kind(line: str, common: frozenset[str]) -> str:
             return "sentence" if zh > 12 or END.search(text) or any(w in text for w in _wide(common)) else "entry"
         if 5 * len(MOJIBAKE.findall(text)) >= max(20, len(text)):
             return "noise"
-    words = WORDS.findall(text.lower())
-    hits = sum(1 for w in words if w in common)
+    hits = len([w for w in words if w in common])
     if not words:
         return "noise" if len(text) >= 5 else ""
     cells = [c for c in CELLS.split(text) if c]
@@ -97,14 +99,23 @@ def line_kind(line: str, common: frozenset[str]) -> str:
     return "sentence" if hits else "noise" if not END.search(text) else ""
 
 
-def _top_ngram_share(words: list[str], n: int) -> float:
-    """Characters of the most frequent n-gram, all its occurrences, over all characters of words."""
-    if len(words) < n:
-        return 0.0
-    grams = Counter(zip(*(words[i:] for i in range(n))))
-    gram, k = grams.most_common(1)[0]
-    total = sum(map(len, words))
-    return min(1.0, k * sum(map(len, gram)) / total) if k > 1 else 0.0
+def top_ngram_shares(words: list[str]) -> tuple[float, float, float]:
+    """For two, three and four words: characters of the most frequent n-gram, all its occurrences, over all characters of words; zero where none comes twice.
+
+    Only where a shorter n-gram and the one after it come again can a longer one.
+    """
+    total, out = sum(map(len, words)), [0.0, 0.0, 0.0]
+    places = range(len(words) - 1)
+    for n in (2, 3, 4):
+        grams = list(zip(words, words[1:])) if n == 2 else [tuple(words[i : i + n]) for i in places]
+        counts = Counter(grams)
+        gram = max(counts, key=counts.get, default=())
+        if not gram or counts[gram] < 2:
+            break
+        out[n - 2] = min(1.0, counts[gram] * sum(map(len, gram)) / total)
+        again = {i for i, g in zip(places, grams) if counts[g] > 1}
+        places = [i for i in sorted(again) if i + 1 in again]
+    return tuple(out)
 
 
 def lines_of_body(text: str, url: str | None, blank: bool = False) -> list[str]:
@@ -120,14 +131,16 @@ def statistics(text: str, url: str | None = None, common: frozenset[str] | None
     spaced = lines_of_body(text, url, blank=True)
     lines = [line for line in spaced if line.strip()]
     whole = "\n".join(lines)
-    words = WORDS.findall(whole.lower())
+    each = [WORDS.findall(line.lower()) for line in lines]
+    words = [w for ws in each for w in ws]
     chars = sum(map(len, lines)) or 1
     counts = Counter(words)
     kinds = Counter()
-    for line in lines:
+    for line, ws in zip(lines, each):
         if not boilerplate.HEADING.match(boilerplate.plain(line)):
-            kinds[line_kind(line, common)] += len(line)
+            kinds[line_kind(line, common, ws)] += len(line)
     weight = sum(kinds.values()) or 1
+    top2, top3, top4 = top_ngram_shares(words)
     paragraphs = [p for p in re.split(r"\n\s*\n", "\n".join(spaced)) if p.strip()]
 
     def duplicates(parts: list[str]) -> float:
@@ -143,9 +156,9 @@ def statistics(text: str, url: str | None = None, common: frozenset[str] | None
         "mean_line_words": len(words) / len(lines) if lines else 0.0,
         "duplicate_line_share": duplicates(lines),
         "duplicate_paragraph_share": duplicates(paragraphs),
-        "top_2gram_share": _top_ngram_share(words, 2),
-        "top_3gram_share": _top_ngram_share(words, 3),
-        "top_4gram_share": _top_ngram_share(words, 4),
+        "top_2gram_share": top2,
+        "top_3gram_share": top3,
+        "top_4gram_share": top4,
         "distinct_word_share": len(counts) / len(words) if words else 0.0,
         "sentence_share": kinds["sentence"] / weight,
         "entry_share": kinds["entry"] / weight,
