@@ -25,6 +25,7 @@ NOISE = (
     r"related\s+(?:posts|recipes)|read\s+more|share|pin\s+it|follow\s+me|amazon|world\s+market|copyright|all\s+rights\s+reserved|"
     r"watch\s+the\s+video(?:\s+(?:above|below))?|video\s+tutorial|tiktok|faqs?"
 )
+NOISE_FIRST = "piabscnrfwvt"
 BULLETS = r"[\-–—/*•·▪●◦]"
 MIN_CHARS = 220
 
@@ -51,7 +52,7 @@ def drop_decoration(col: Column) -> Column:
 
 def drop_noise(col: Column) -> Column:
     """Noise phrases go, the text around them stays."""
-    return F.regexp_replace(col, words_rx(NOISE), "")
+    return F.regexp_replace(col, words_rx(NOISE, NOISE_FIRST), "")
 
 
 def tidy_lines(col: Column) -> Column:

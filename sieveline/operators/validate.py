@@ -31,6 +31,8 @@ NOISE_KEYWORDS = [
 EMOJI = r"[\x{1F300}-\x{1FAFF}\x{2700}-\x{27BF}\x{2600}-\x{26FF}]"
 FANCY_BULLETS = "[•●○■□▢◆◇▪▫]"
 CJK_PUNCTUATION = "[，。！？【】（）％＃＠：；、“”‘’—…《》·]"
+#: Characters among which all emoji, fancy bullets and Chinese marks lie.
+BEYOND = r"[\x{b7}\x{2010}-\x{10ffff}]"
 MATH_SYMBOLS = "±×÷√∑∏≈≠≤≥∞∫∂∆∇"
 MATH_SPANS = (r"\$(?=[^$])(?:[^$]*\\\$)*[^$]*\$", r"(?s)\\\[.+?\\\]")
 MARKDOWN_IMAGE = r"!\[[^\]]*\]\([^)]+\)"
@@ -241,18 +243,21 @@ def text_rules(p: Policy) -> list[Rule]:
 
 
 def content_rules() -> list[Rule]:
-    """Rules over ``_c``, the content where it is a text (``_low`` in lower case)."""
+    """Rules over ``_c``, the content where it is a text (``_low`` in lower case; ``_beyond``: whether ``BEYOND`` is found in it)."""
     obj = F.col("status") == "object"
     c, low = F.col("_c"), F.col("_low")
     english = F.when(F.col("lang_state") == "absent", F.lit(True)).otherwise(F.coalesce(F.col("lang") == "en", F.lit(False)))
     has = lambda pattern, **kw: c.rlike(rx(pattern, **kw))
+    # the same matches, but a look at the first character spares the test for a word's edge nearly everywhere
+    numbered = lambda pattern, first: c.rlike("(?dU)" + first + rx(pattern)[len("(?dU)") :])
+    beyond = lambda pattern: F.when(F.col("_beyond"), c.rlike(pattern)).otherwise(F.lit(False) & c.isNotNull())
     return [
         Rule("R1", "`meta.data_info.content` 必须为字符串", obj & ~F.col("content_state").isin("string", "absent")),
         Rule("R2", "正文内禁止 Markdown 标题（# 开头的行）", c.contains("#") & has(r"^#+\s", multiline=True)),
         Rule("R2", "疑似模板头/多主题内容触发关键字：", word=first_word(low, TEMPLATE_HEADS)),
         Rule("R3", "存在连续 >=2 个换行符", c.contains("\n\n")),
-        Rule("R3", "含 emoji/艺术字/特殊装饰符", c.rlike(EMOJI) | c.rlike(FANCY_BULLETS)),
-        Rule("R3", "中英文标点混用或与 lang 不匹配", english & c.rlike(CJK_PUNCTUATION)),
+        Rule("R3", "含 emoji/艺术字/特殊装饰符", beyond(EMOJI) | beyond(FANCY_BULLETS)),
+        Rule("R3", "中英文标点混用或与 lang 不匹配", english & beyond(CJK_PUNCTUATION)),
         Rule("R3", "存在异常缩进行", (c.contains("    ") | c.contains("\t")) & has(r"^(?: {4,}|\t+)\S", multiline=True)),
         Rule("R4", "存在 HTML 标签或实体残留", (c.contains("<") & has(r"<\s*/?\s*[a-zA-Z][^>]*>")) | (c.contains("&") & c.rlike(r"&[a-zA-Z0-9#]+;"))),
         Rule("R4", "检出网页噪音（广告/导航/版权/推荐/FAQ/社交/HTML 等）：", word=noise_keyword(c, low)),
@@ -262,9 +267,9 @@ def content_rules() -> list[Rule]:
         Rule("R5", "图片需用 '[Image: URL]' 行表示：", many=bare_image_urls(c)),
         Rule("R6", "PII 掩码只能为 'xxx'，不允许 'xxxx' 或 'xxx@/ @xxx' 等变体", c.contains("xxx") & (has(r"\bxxxx+\b") | has(r"\bxxx@|@xxx\b"))),
         Rule("R6", "检测到邮箱明文，应匿名为 'xxx'", c.contains("@") & has(EMAIL)),
-        Rule("R6", "检测到电话号码明文，应匿名为 'xxx'", has(PHONE)),
-        Rule("R6", "检测到银行卡号/信用卡号明文，应匿名为 'xxx'", has(CARD)),
-        Rule("R6", "检测到社会安全号明文，应匿名为 'xxx'", has(SSN)),
+        Rule("R6", "检测到电话号码明文，应匿名为 'xxx'", numbered(PHONE, r"(?=[+(\p{Nd}])")),
+        Rule("R6", "检测到银行卡号/信用卡号明文，应匿名为 'xxx'", numbered(CARD, r"(?=\p{Nd})")),
+        Rule("R6", "检测到社会安全号明文，应匿名为 'xxx'", numbered(SSN, r"(?=\p{Nd})")),
         Rule("R3", "仍存在列表前缀（-/*/▢ 等），应在清洗阶段去除", has(r"^\s*[-*▢]\s+\S", multiline=True)),
     ]
 
@@ -294,7 +299,7 @@ def with_findings(checked: DataFrame, policy: Policy | None = None) -> DataFrame
             bits = bits + F.when(r.when, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
         elif r.word is not None:
             words[i] = f"_word{i}"
-    judged = checked.withColumn("_c", text).withColumn("_low", F.lower("_c")).select("*", bits.alias("_bits"), *[rules[i].word.alias(name) for i, name in words.items()])
+    judged = checked.withColumn("_c", text).withColumn("_low", F.lower("_c")).withColumn("_beyond", F.col("_c").rlike(BEYOND)).select("*", bits.alias("_bits"), *[rules[i].word.alias(name) for i, name in words.items()])
     none = F.array().cast("array<struct<ord:int,tag:string,msg:string>>")
 
     def finding(i: int, msg: Column) -> Column:
@@ -316,7 +321,7 @@ def with_findings(checked: DataFrame, policy: Policy | None = None) -> DataFrame
     any_fires = fires[0]
     for x in fires[1:]:
         any_fires = any_fires | x
-    return judged.withColumn("findings", F.concat(*parts)).withColumn("passed", (F.col("status") == "object") & ~any_fires).drop("_c", "_low", "_bits", *words.values())
+    return judged.withColumn("findings", F.concat(*parts)).withColumn("passed", (F.col("status") == "object") & ~any_fires).drop("_c", "_low", "_beyond", "_bits", *words.values())
 
 
 #: What findings, rates and duplicates need of a checked record.
