@@ -15,6 +15,7 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,6 +197,12 @@ class Canonicalizer:
         return fold_table(TOKEN.sub(self.token, text))
 
 
+@lru_cache(maxsize=1)
+def _canonicalizer(vocabulary: tuple[str, ...]) -> Canonicalizer:
+    """One trie for all tasks of a Python worker."""
+    return Canonicalizer(vocabulary)
+
+
 def vocabulary_of(words: Iterable[str], more: Iterable[str] = ()) -> list[str]:
     """Lists of words in lower case and with a capital, for the trie. Lists are fixed: no count over a corpus decides what a text becomes."""
     plain = dict.fromkeys(w.lower() for w in (*words, *more) if len(w) > 3)
@@ -207,10 +214,10 @@ def canonical(df: DataFrame, key: str, text: str, vocabulary: list[str] = ()) ->
 
     Null texts give null in all three; an empty text is a text of its own.
     """
-    vocabulary = list(vocabulary)
+    vocabulary = tuple(vocabulary)
 
     def make():
-        c = Canonicalizer(vocabulary)
+        c = _canonicalizer(vocabulary)
 
         def row(k, t):
             if t is None:
