@@ -11,18 +11,18 @@ def operators(spark, model):
     capacities = spark.createDataFrame([(1, 7), (2, 64)], "capacity_id int, max_tokens int")
     trained = level.LevelModel(level.Trees(0).fit(__import__("numpy").zeros((1, 1)), __import__("numpy").array([2.0])), (1.5, 2.5), 0.0, 0)
     return {
-        "markup": lambda d: markup.markup(d, "rec_no", "content"), "pii": lambda d: pii.masked(d, "rec_no", "content", model), "pii_found": lambda d: pii.found(d, "rec_no", "content", model),
+        "markup": lambda d: markup.markup(d, "rec_no", "content"), "pii": lambda d: pii.masked(d, "rec_no", "content", model), "pii_found": lambda d: pii.found(d, "rec_no", "content", model), "pii_url": lambda d: pii.found(d, "rec_no", "content", model, url="url"),
         "body": lambda d: boilerplate.main_content(d, "rec_no", "content", "url"), "furniture": lambda d: boilerplate.furniture_lines(d, "rec_no", "content", "url"),
         "excess": lambda d: repeated.excess_lines(d, "content", "url"), "occurrences": lambda d: repeated.excess_occurrences(d, "rec_no", "content", "url"), "removed": lambda d: repeated.remove_excess(d, "rec_no", "content", "url"),
         "stats": lambda d: quality.text_statistics(d, "rec_no", "content", "url"), "shape": lambda d: quality.not_prose(d, "rec_no", "content", "url"),
-        "canonical": lambda d: visual.canonical(d, "rec_no", "content"), "pairs": lambda d: visual.lookalike_pairs(d, "rec_no", "content"),
+        "canonical": lambda d: visual.canonical(d, "rec_no", "content"), "pairs": lambda d: visual.lookalike_pairs(d, "rec_no", "content"), "classes": lambda d: visual.lookalike_classes(d, "rec_no", "content"),
         "residue": lambda d: residue.residue(d, "rec_no", "content", "url"), "kept": lambda d: residue.without_residue(d, "rec_no", "content", "url"),
         "pack": lambda d: packing.pack(packing.token_sizes(d, "rec_no", "content"), "rec_no", "n_tokens", capacities), "leaks": lambda d: leakage.leaks(d, "rec_no", "content", items, "item_id", "text"), "near": lambda d: leakage.leaks(d, "rec_no", "content", items, "item_id", "text", errors=2),
         "levels": lambda d: level.levels(d, "rec_no", "content", trained),
     }
 
 
-NAMES = ["markup", "pii", "pii_found", "body", "furniture", "excess", "occurrences", "removed", "stats", "shape", "canonical", "pairs", "residue", "kept", "pack", "leaks", "near", "levels"]
+NAMES = ["markup", "pii", "pii_found", "pii_url", "body", "furniture", "excess", "occurrences", "removed", "stats", "shape", "canonical", "pairs", "classes", "residue", "kept", "pack", "leaks", "near", "levels"]
 
 
 @pytest.mark.parametrize("name", NAMES)

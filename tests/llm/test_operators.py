@@ -545,7 +545,7 @@ def test_english():
 def test_queries_against_sql(spark, name):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for t in ("example_clean", "documents", "eval_items"):
+    for t in ("example_clean", "documents", "eval_items", "capacities"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = queries.queries()[name](spark, sf)
     cols = ", ".join(df.columns)
