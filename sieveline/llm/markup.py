@@ -15,6 +15,7 @@ import html.entities
 import math
 import re
 from html.parser import HTMLParser
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 
@@ -195,7 +196,7 @@ BARE_AMPERSAND = re.compile(r"&(?!#?\w+;)")
 
 def _stand_ins(text: str) -> list[str]:
     """Two characters that no text is meant to hold, and that this one doesn't."""
-    return [c for c in map(chr, (*range(0xFDD0, 0xFDF0), *range(0xE000, 0xF8FF))) if c not in text][:2]
+    return list(islice((c for c in map(chr, chain(range(0xFDD0, 0xFDF0), range(0xE000, 0xF8FF))) if c not in text), 2))
 
 
 def parse_html(text: str) -> tuple[dict[int, int], str]:
