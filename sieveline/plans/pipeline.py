@@ -16,6 +16,16 @@ from ..sources import http, jsonl, sinks
 from ..sources.config import SiteConfig, load_configs
 
 
+# The lines that a run tells.
+FOUND_CONFIGS = "[BATCH] Found {n} site configs in: {configs}"
+DISCOVERED = "[DISCOVER_DONE] {site} total_urls={n}"
+SITE_DONE = "[DONE {time}] site={run.site} ok={run.accepted} rejected={run.rejected} out_dir={out}"
+SITE_FAILED = "[ERROR] {run.site}: {run.error}"
+ALL_DONE = "[BATCH DONE {time}] sites={n} total_ok={ok} total_rejected={rejected} out_dir={out}"
+RATE = "[SUMMARY] total={r.total} passed={r.passed} pass_rate={r.pass_rate:.2f}%"
+PREVIEWED = "Preview written to: {path}"
+
+
 @dataclass
 class Validation:
     findings: DataFrame
@@ -76,10 +86,10 @@ def run_sites(
     """
     ship(spark)
     good, bad = load_configs(configs)
-    say(f"[BATCH] Found {len(good) + len(bad)} site configs in: {configs}")
+    say(FOUND_CONFIGS.format(n=len(good) + len(bad), configs=configs))
     runs = [SiteRun(name, error=error) for name, error in bad]
     for run in runs:
-        say(f"[ERROR] {run.site}: {run.error}")
+        say(SITE_FAILED.format(run=run))
     for config in good:
         run = SiteRun(config.domain)
         runs.append(run)
@@ -89,7 +99,7 @@ def run_sites(
                 index = spark.createDataFrame([(u,) for u in config.index_pages], "url string")
                 held = checkpoint(http.fetched(index, **fetching).select("url", "html"))
             frontier = checkpoint(discover(spark, config, held, sitemaps, max_pages))
-            say(f"[DISCOVER_DONE] {config.domain} total_urls={frontier.count()}")
+            say(DISCOVERED.format(site=config.domain, n=frontier.count()))
             wanted = clean.limit_articles(frontier, "url", max_articles)
             texts = pages if pages is not None else checkpoint(http.fetched(wanted, **fetching).select("url", "html"))
             accepted, rejected = scrape(spark, config, frontier, texts, run_date, run_time, min_chars, max_articles)
@@ -98,11 +108,11 @@ def run_sites(
             lines = lines.unionByName(rejected.select(F.lit(f"{config.domain}.rejected.jsonl").alias("name"), "url", sinks.rejected_line(F.col("url"), F.col("reason")).alias("value")))
             sinks.write_named(lines, "name", ["url"], "value", out, always=(f"{config.domain}.clean.jsonl", f"{config.domain}.rejected.jsonl"))
             run.accepted, run.rejected = accepted.count(), rejected.count()
-            say(f"[DONE {run_time}] site={run.site} ok={run.accepted} rejected={run.rejected} out_dir={out}")
+            say(SITE_DONE.format(time=run_time, run=run, out=out))
         except Exception as e:  # noqa: BLE001 - one site must not stop the others
             run.error = f"{type(e).__name__}: {e}"
-            say(f"[ERROR] {config.domain}: {run.error}")
-    say(f"[BATCH DONE {run_time}] sites={len(runs)} total_ok={sum(r.accepted for r in runs)} total_rejected={sum(r.rejected for r in runs)} out_dir={out}")
+            say(SITE_FAILED.format(run=run))
+    say(ALL_DONE.format(time=run_time, n=len(runs), ok=sum(r.accepted for r in runs), rejected=sum(r.rejected for r in runs), out=out))
     return runs
 
 
@@ -142,7 +152,7 @@ def write_reports(result: Validation, run_time: str, out: str | None = None, say
         written += sinks.write_named(overall.withColumn("name", F.lit("ALL.report.txt")), "name", ["path", "line", "seq", "text"], "text", root)
     total = result.summary.where("path IS NULL").first()
     if total and total.total:
-        say(f"[SUMMARY] total={total.total} passed={total.passed} pass_rate={total.pass_rate:.2f}%")
+        say(RATE.format(r=total))
     return [os.path.join(root, x) for x in written]
 
 
@@ -172,5 +182,5 @@ def write_previews(spark: SparkSession, inputs: list[str] | str, out: str | None
     numbered = F.when(F.col("page") == 0, name).otherwise(F.concat(F.regexp_replace(name, r"\.html$", ""), F.lit("."), (F.col("page") + 1).cast("string"), F.lit(".html")))
     written = [os.path.join(folder, x) for x in sinks.write_named(made.select(numbered.alias("name"), "html"), "name", [], "html", folder)]
     for x in written:
-        say(f"Preview written to: {x}")
+        say(PREVIEWED.format(path=x))
     return written
