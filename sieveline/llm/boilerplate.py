@@ -258,6 +258,12 @@ def furniture(text: str, url: str | None = None, weights: tuple[float, ...] | No
     return out
 
 
+def labelled(text: str, url: str | None = None) -> list[tuple[tuple[float, ...], bool]]:
+    """What ``fit`` takes of a page: the features of each line, and whether a known wording makes it furniture; headings of the body left out."""
+    page = [n for n in nodes(text, url) if n is not None]
+    return [(x, bool(n.role)) for x, n in zip(features(page), page) if n.leaf != "heading"]
+
+
 def fit(rows: list[tuple[tuple[float, ...], bool]], rounds: int = 500, penalty: float = 3e-3, withheld: float = 0.2, seed: int = 3) -> tuple[float, ...]:
     """Weights by logistic regression over (features, furniture or not), by Adam.
 

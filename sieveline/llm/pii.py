@@ -17,6 +17,7 @@ import random
 import re
 from collections import Counter
 from functools import lru_cache
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -730,19 +731,19 @@ def tokenize(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[int, in
     return tokens, places
 
 
-MODEL = os.path.join(os.path.dirname(os.path.abspath(__file__)), "pii_model.npz")
+MODEL = "pii_model.npz"
 
 
-def save(model: Crf, path: str = MODEL) -> None:
+def save(model: Crf, path: str = os.path.join(os.path.dirname(os.path.abspath(__file__)), MODEL)) -> None:
     """Weights as half floats and one text of their keys; the lexicon stays where it is."""
     keys = sorted(model.weights)
     np.savez_compressed(path, keys=np.array("\n".join(f"{o}\t{f}\t{v}" for o, f, v in keys)), weights=np.array([model.weights[k] for k in keys], np.float16), transitions=model.transitions, start=model.start)
 
 
 @lru_cache(maxsize=2)
-def trained(path: str = MODEL, tokenizers: str = TOKENIZERS) -> Crf:
-    """The field as ``save(train())`` left it; ``train`` makes it anew from the labelled table in a minute or two."""
-    with np.load(path) as z:
+def trained(tokenizers: str = TOKENIZERS) -> Crf:
+    """The field as ``save(train())`` left it in the package; ``train`` makes it anew from the labelled table in a minute or two."""
+    with resources.files(__package__).joinpath(MODEL).open("rb") as f, np.load(f) as z:
         keys = [k.split("\t") for k in str(z["keys"]).split("\n")]
         return Crf({(int(o), f, v): w for (o, f, v), w in zip(keys, z["weights"].astype(np.float32))}, z["transitions"], z["start"], lexicon_of(tokenizers))
 

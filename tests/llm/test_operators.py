@@ -159,6 +159,15 @@ def test_furniture_of_unseen_wording(seed):
     assert len(missed) <= 5 and len(taken) <= 3, (missed, taken)
 
 
+def test_weights_come_from_labelled_lines(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "example_clean").selectExpr("meta.data_info.content AS c", "meta.data_info.url AS u").dropna().collect()
+    rows = [x for r in pages[:400] for x in boilerplate.labelled(r.c, r.u)]
+    weights = boilerplate.fit(rows, rounds=300)
+    page = "\n".join(BODY[:8] + FURNITURE[:8])
+    right = set(boilerplate.furniture(page, weights=weights)) ^ set(range(9, 17))
+    assert len(weights) == len(boilerplate.WEIGHTS) == len(boilerplate.FEATURES) and len(right) <= 2, right
+
+
 def test_ratios_decide_about_furniture():
     # a wording in running text is body, and without the ratios nearly nothing is told apart
     page = "\n".join(BODY[:6] + ["Accept all the help you can get, share the chopping and follow the steps until the sauce is done."] + FURNITURE[:3])
