@@ -23,6 +23,8 @@ HEAD = 4
 WORD = re.compile(r"[^\W_]+")
 #: So many characters of items are sent to the tasks at once; more items go in parts, each with a scan of its own.
 MAX_ITEM_CHARS = 16_000_000
+#: Where many parts still hold too much, items share their keys and go together.
+MAX_PARTS = 4096
 
 
 def words_of(text: str) -> list[str]:
@@ -139,12 +141,17 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     ``distance`` is the least number of these. Null and empty texts hold and
     are nothing. Documents are scanned without a shuffle. Items are broadcast
     after a check of their size: beyond ``most_chars`` they go in parts by hash
-    of their key, one scan of the documents for each part; a part may exceed
-    the size by chance or by one long item, and none is dropped.
+    of their key, one scan of the documents for each part. Parts are halved
+    until none holds more, one item that is longer by itself aside.
     """
     chosen = items.select(item_key, item_text).dropna()
     chars = chosen.agg(F.coalesce(F.sum(F.length(item_text)), F.lit(0))).first()[0]
     parts = max(1, -(-chars // most_chars))
+    while parts > 1:
+        sizes = chosen.groupBy(F.pmod(F.xxhash64(item_key), F.lit(parts))).agg(F.sum(F.length(item_text)).alias("chars"), F.count(F.lit(1)).alias("n"))
+        if not sizes.where(f"chars > {int(most_chars)} and n > 1").limit(1).count() or parts > MAX_PARTS:
+            break
+        parts *= 2
     kinds = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     ddl = f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, distance int"
     each = [chosen.where(F.pmod(F.xxhash64(item_key), F.lit(parts)) == p) if parts > 1 else chosen for p in range(parts)]
