@@ -255,6 +255,21 @@ def test_a_line_of_one_site_is_significant(spark):
     assert {x.k: x.clean for x in repeated.remove_excess(df, "k", "t", "u").collect()} == {k: "\n".join(x for x in t.split("\n") if "Subscribe" not in x) for k, _, t in rows}
 
 
+def test_occurrences_count_no_other_sites(spark, monkeypatch):
+    rows = [(i, f"https://{'abcd'[i % 4]}.test/{i}", "All rights reserved by whoever wrote this\ny") for i in range(80)]
+    df = spark.createDataFrame(rows, "k int, u string, t string")
+    # no site has the line more often than others: listed by the definition, kept by the control
+    assert {x.significant for x in repeated.excess_lines(df, "t", "u").collect()} == {False}
+    assert {x.k: x.clean for x in repeated.remove_excess(df, "k", "t", "u").collect()} == {k: t for k, _, t in rows}
+    monkeypatch.setattr(repeated, "excess_lines", None)  # the rows don't depend on the ratio, so it is no stage of theirs
+    assert sorted(map(tuple, repeated.excess_occurrences(df, "k", "t", "u").collect())) == [(i, 1) for i in range(80)]
+    monkeypatch.setattr(repeated, "MAX_SENT_LINES", 0)
+    assert sorted(map(tuple, repeated.excess_occurrences(df, "k", "t", "u").collect())) == [(i, 1) for i in range(80)]
+    # one count of the lines, one join with the sites' urls
+    plan = repeated._excessive(*repeated._counts(df, "t", "u", 25), 5, 0.1)._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("Generate posexplode"), plan.count("Join ")) == (1, 1)
+
+
 def test_lines_joined_by_site_where_the_table_is_large(spark, monkeypatch):
     rows = [(i, f"https://{'abcd'[i % 4]}.test/{i}" if i % 7 else None, "Subscribe to the letter of this site every week\nx" if i % 4 == 0 else "y") for i in range(200)]
     df = spark.createDataFrame(rows, "k int, u string, t string")
